@@ -46,7 +46,7 @@ def group_sizes(rows: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
 def axis(rows: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """Every column number of every alignment."""
     sized = group_sizes(rows, by).where(F.col("width") > 0)
-    return sized.select(*by, "n", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).cast("bigint").alias("col"))
+    return sized.select(*by, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("width") - 1)).alias("col"))
 
 
 def consensus_columns(
@@ -281,7 +281,8 @@ def insertion_columns(
     )
     found = carried.select(*by, "_run.start", "_run.size").distinct()
     return found.select(
-        *by, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).cast("bigint").alias("col")
+        *by,
+        F.explode(F.sequence(F.col("start").cast("bigint"), (F.col("start") + F.col("size") - 1).cast("bigint"))).alias("col"),
     )
 
 

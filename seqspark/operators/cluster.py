@@ -149,7 +149,7 @@ def density_cluster(
     graph, core = core_distances(points, min_samples, "id", "x", "y")
     if eps is None:
         found = quantiles(core.withColumn("_g", F.lit("all")), "core_distance", ["_g"], [EPS_QUANTILE]).collect()
-        eps = found[0]["q0"] if found else 0.0
+        eps = found[0]["p0"] if found else 0.0
     reached = points.join(core.where(F.col("core_distance") <= eps), "id")
     side = eps / math.sqrt(2) * (1 - 1e-9)
     if side > 0:
@@ -178,9 +178,8 @@ def density_cluster(
         links = _close_cells(boxes, labels, member, eps, block)
         tops = labels.select(F.col("component").alias("node")).distinct()
         merged = connected_components(tops, links)
-        labels = labels.join(merged.withColumnsRenamed({"node": "component", "component": "top"}), "component").select(
-            "node", F.col("top").alias("component")
-        )
+        tops = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
+        labels = labels.join(tops, "component").select("node", F.col("top").alias("component"))
     assigned = settle(node_of.join(labels, "node").select("id", "component"))
     sizes = assigned.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
     ranked = with_rank(sizes.where(F.col("size") >= smallest), [F.desc("size"), "first"], "cluster", first=0)
@@ -242,17 +241,20 @@ def _close_cells(boxes: DataFrame, labels: DataFrame, member: DataFrame, eps: fl
     )
     meeting = ["a", "b", "left_part", "right_part"]
 
+    def side_by_side(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(f"{prefix}{c}") for c in (*meeting, "ca", "cb", "x", "y")])
+
     def touch(_key: tuple, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        others = two[["x", "y"]].to_numpy()
+        others = two[["r_x", "r_y"]].to_numpy()
         if len(others):
-            for p in one[["x", "y"]].to_numpy():
+            for p in one[["l_x", "l_y"]].to_numpy():
                 if (np.sqrt(((others - p) ** 2).sum(axis=1)) <= eps).any():
-                    return pd.DataFrame({"a": [one["ca"].iat[0]], "b": [one["cb"].iat[0]]})
+                    return pd.DataFrame({"a": [one["l_ca"].iat[0]], "b": [one["l_cb"].iat[0]]})
         return pd.DataFrame({"a": [], "b": []})
 
     return (
-        left.select(*meeting, "ca", "cb", "x", "y").groupBy(*meeting)
-        .cogroup(right.select(*meeting, "ca", "cb", "x", "y").groupBy(*meeting))
+        side_by_side(left, "l_").groupBy(*[f"l_{c}" for c in meeting])
+        .cogroup(side_by_side(right, "r_").groupBy(*[f"r_{c}" for c in meeting]))
         .applyInPandas(touch, "a bigint, b bigint")
     )
 

@@ -19,9 +19,12 @@ from seqspark.session import settle
 MAX_NEIGHBOURS = 30
 MIN_NEIGHBOURS = 2
 
-PIVOTS = 64
 BLOCK = 2048
 
+# Rows per pivot aimed at, and the most pivots: both sides of a pivot's use are bounded by the latter.
+PIVOT_ROWS = 1024
+MAX_PIVOTS = 1024
+
 
 def neighbour_count(rows: int) -> int:
     """30, but fewer for a small table, and never below 2."""
@@ -53,14 +56,16 @@ def _distinct_vectors(df: DataFrame, keep: int, row_id: str, vector: str) -> Dat
 
 
 def knn(
-    df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", pivots: int = PIVOTS, block: int = BLOCK
+    df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", pivots: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """The ``k`` nearest other rows of every row by Euclidean distance, lower id first on ties:
     ``(id, rank, neighbour, distance)``."""
     keep = k + 1
     groups = settle(_distinct_vectors(df, keep, row_id, vector))
 
-    # A sample of fixed size goes to the driver, chosen by hash so that it is reproducible.
+    if pivots is None:
+        pivots = max(1, min(MAX_PIVOTS, groups.count() // PIVOT_ROWS))
+    # A sample of bounded size goes to the driver, chosen by hash so that it is reproducible.
     drawn = groups.orderBy(F.xxhash64("gid"), "gid").limit(pivots).select("vector").collect()
     if not drawn:
         return df.sparkSession.createDataFrame([], _graph_schema())
@@ -116,11 +121,12 @@ def knn(
     meeting = ["from_cell", "from_part", "to_cell", "to_part"]
     wanted = routed.select(*meeting).distinct()
     offered = stored.withColumnsRenamed({"cell": "to_cell", "part": "to_part"}).join(wanted, ["to_cell", "to_part"])
+    offered = offered.select(*[F.col(c).alias(f"at_{c}") for c in ("gid", "vector", *meeting)])
 
     def compare(_key: tuple, asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or offering.empty:
             return pd.DataFrame({"gid": [], "other": [], "distance": []})
-        ids, points = offering["gid"].to_numpy(), _matrix(offering["vector"])
+        ids, points = offering["at_gid"].to_numpy(), _matrix(offering["at_vector"])
         rows = []
         for gid, v in zip(asking["gid"], _matrix(asking["vector"])):
             d = _distances(v, points)
@@ -131,7 +137,7 @@ def knn(
     best = (
         routed.select("gid", "vector", *meeting)
         .groupBy(*meeting)
-        .cogroup(offered.select("gid", "vector", *meeting).groupBy(*meeting))
+        .cogroup(offered.groupBy(*[f"at_{c}" for c in meeting]))
         .applyInPandas(compare, "gid bigint, other bigint, distance double")
     )
     place = F.row_number().over(Window.partitionBy("gid").orderBy("distance", "other"))

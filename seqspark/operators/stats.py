@@ -21,7 +21,7 @@ NOISE = -1
 def quantiles(
     df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float] = QUARTILES, buckets: int = BUCKETS
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group: columns ``q0``, ``q1``, ...
+    """Exact, linearly interpolated quantiles per group: columns ``p0``, ``p1``, ...
 
     The built-in exact percentile holds every distinct value of a group in one task. Here values are
     counted first, cut into buckets at approximate quantiles of the group, and only the few buckets in
@@ -76,7 +76,7 @@ def quantiles(
     return found.select(
         *by,
         *[
-            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_share{i}")).alias(f"q{i}")
+            (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_share{i}")).alias(f"p{i}")
             for i in range(len(probs))
         ],
     )
@@ -102,7 +102,7 @@ def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> D
         (F.count_if(F.col(value) > 0) * 100.0 / F.count(F.lit(1))).alias("nonzero_pct"),
     )
     return join_on(summary, quantiles(long, value, by), by, "left").withColumnsRenamed(
-        {"q0": "q1", "q1": "median", "q2": "q3"}
+        {"p0": "q1", "p1": "median", "p2": "q3"}
     )
 
 
@@ -172,7 +172,7 @@ def cluster_summary(
     )
     medians = quantiles(long_form(features, metrics, [cluster]), "value", [cluster, "metric"], [0.5])
     wide = medians.groupBy(cluster).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("q0"))).alias(f"median_{m}") for m in metrics]
+        *[F.max(F.when(F.col("metric") == m, F.col("p0"))).alias(f"median_{m}") for m in metrics]
     )
     return join_on(means, wide, [cluster], "left")
 
@@ -219,15 +219,15 @@ def box_summary(df: DataFrame, column: str, cluster: str = "cluster") -> DataFra
     """Quartiles and whiskers (outermost values within 1.5 interquartile ranges) per cluster."""
     values = df.select(cluster, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     quarts = quantiles(values, "_v", [cluster])
-    reach = (F.col("q2") - F.col("q0")) * 1.5
+    reach = (F.col("p2") - F.col("p0")) * 1.5
     # Distinct values are enough for the whiskers, and far fewer than rows.
     distinct = values.groupBy(cluster, "_v").agg(F.count(F.lit(1)).alias("_n"))
     whiskers = join_on(distinct, quarts, [cluster]).groupBy(cluster).agg(
         F.sum("_n").alias("n"),
-        F.max("q0").alias("q1"),
-        F.max("q1").alias("median"),
-        F.max("q2").alias("q3"),
-        F.min(F.when(F.col("_v") >= F.col("q0") - reach, F.col("_v"))).alias("whisker_low"),
-        F.max(F.when(F.col("_v") <= F.col("q2") + reach, F.col("_v"))).alias("whisker_high"),
+        F.max("p0").alias("q1"),
+        F.max("p1").alias("median"),
+        F.max("p2").alias("q3"),
+        F.min(F.when(F.col("_v") >= F.col("p0") - reach, F.col("_v"))).alias("whisker_low"),
+        F.max(F.when(F.col("_v") <= F.col("p2") + reach, F.col("_v"))).alias("whisker_high"),
     )
     return whiskers.withColumn("label", cluster_label(cluster))
