@@ -18,14 +18,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def fold_case(seq: Column | str) -> Column:
-    """Upper-case the letters a-z only, so that a length never changes."""
-    return F.translate(_col(seq), LOWER, UPPER)
+    """Upper-case the letters a-z only, so that a length never changes.
+
+    Plain `upper` does the same to ASCII text and is faster; other text goes letter by letter.
+    """
+    seq = _col(seq)
+    return F.when(_is_ascii(seq), F.upper(seq)).otherwise(F.translate(seq, LOWER, UPPER))
 
 
 def fold_lower(seq: Column | str) -> Column:
     """Lower-case the letters A-Z only."""
-    return F.translate(_col(seq), UPPER, LOWER)
+    seq = _col(seq)
+    return F.when(_is_ascii(seq), F.lower(seq)).otherwise(F.translate(seq, UPPER, LOWER))
 
 
 def reverse_complement(seq: Column | str) -> Column:
@@ -36,8 +45,7 @@ def reverse_complement(seq: Column | str) -> Column:
 def gc_fraction(seq: Column | str) -> Column:
     """Share of G and C; NULL for an empty sequence."""
     seq = _col(seq)
-    length = F.length(seq)
-    return F.when(length > 0, (length - F.length(F.translate(seq, "GC", ""))) / length)
+    return F.when(F.length(seq) > 0, F.regexp_count(seq, F.lit("[GC]")) / F.length(seq))
 
 
 def coord_label(chrom: Column | str, start: Column | str, stop: Column | str) -> Column:
@@ -74,6 +82,10 @@ def wrap_lines(seq: Column | str, line: int = 80) -> Column:
     return F.regexp_replace(_col(seq), f"(?s)(.{{{line}}})(?=.)", "$1\n")
 
 
+def without_gaps(seq: Column | str) -> Column:
+    return F.replace(_col(seq), F.lit(GAP), F.lit(""))
+
+
 def ungapped_length(seq: Column | str) -> Column:
     """Number of characters that are not gaps."""
-    return F.length(F.translate(_col(seq), GAP, ""))
+    return F.length(without_gaps(seq))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqspark.functions.sequence import GAP, fold_case, ungapped_length
+from seqspark.functions.sequence import GAP, fold_case, pieces, ungapped_length, without_gaps
 from seqspark.operators.kmers import UNKNOWN, by_row, positions
 from seqspark.session import broadcast_if_small, join_on, settle
 
@@ -26,13 +26,15 @@ MIN_LENGTH = 50
 
 _PART = 1024
 
+# Characters per piece when cells are listed.
+_PIECE = 4096
+
 
 def cells(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id", gaps: bool = False) -> DataFrame:
     """Long form ``(by, row_id, col, base)``; gap cells only when asked for."""
-    folded = rows.select(*by, row_id, fold_case("seq").alias("_seq"))
-    long = positions(folded, 1, "_seq", [*by, row_id]).select(
-        *by, row_id, F.col("pos").alias("col"), F.col("kmer").alias("base")
-    )
+    cut = rows.select(*by, row_id, F.posexplode(pieces(fold_case("seq"), _PIECE)).alias("_piece", "_text"))
+    split = cut.select(*by, row_id, "_piece", F.posexplode(F.split("_text", "")).alias("_i", "base"))
+    long = split.select(*by, row_id, (F.col("_piece").cast("bigint") * _PIECE + F.col("_i")).alias("col"), "base")
     return long if gaps else long.where(F.col("base") != GAP)
 
 
@@ -97,7 +99,7 @@ def positional_consensus(
     """Most frequent character per raw position without a threshold, and the same without gaps."""
     rows = df.select(*by, row_id, F.col(seq).alias("seq"))
     text = assemble(consensus_columns(rows, 0.0, by, row_id, gaps=True), by)
-    return text.withColumn("gap_reduced", F.translate("consensus", GAP, ""))
+    return text.withColumn("gap_reduced", without_gaps("consensus"))
 
 
 def alignment_profile(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
@@ -128,7 +130,7 @@ def consensus_summary(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str
     text = consensus(rows, CONSENSUS_SHARE, by, row_id)
     return join_on(group_sizes(rows, by), text, by, "left").select(
         *by, F.col("n").alias("size"),
-        F.coalesce(ungapped_length("consensus"), F.lit(0)).alias("consensus_length"),
+        F.coalesce(ungapped_length("consensus"), F.lit(0)).cast("bigint").alias("consensus_length"),
         F.col("width").alias("alignment_length"),
     )
 
@@ -336,6 +338,6 @@ def cleaned_summary(cleaned: DataFrame, by: Sequence[str] = ("grp",), row_id: st
     """Consensus of each cleaned alignment with its lengths."""
     return consensus(cleaned, CONSENSUS_SHARE, by, row_id).select(
         *by, "consensus",
-        ungapped_length("consensus").alias("length_no_gaps"),
-        F.length("consensus").alias("length_with_gaps"),
+        ungapped_length("consensus").cast("bigint").alias("length_no_gaps"),
+        F.length("consensus").cast("bigint").alias("length_with_gaps"),
     )

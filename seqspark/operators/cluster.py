@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_lower, pieces
-from seqspark.operators.kmers import PIECE, kmer_vocabulary
+from seqspark.operators.kmers import PIECE
 from seqspark.operators.knn import BLOCK, knn
 from seqspark.operators.ordering import with_rank
 from seqspark.operators.stats import NOISE, quantiles
@@ -268,13 +268,23 @@ def apply_fallbacks(
 ) -> DataFrame:
     """Put all rows of a group in cluster 0 if the group is too small, has fewer than two different
     k-mers, or is all noise."""
-    facts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.max(cluster).alias("_best"))
-    words = kmer_vocabulary(df, k, seq, by).select(*by, F.col("vocabulary").alias("_words"))
-    joined = join_on(join_on(df, facts, by), words, by, "left")
-    fallen = (
-        (F.col("_rows") < min_sequences) | (F.coalesce("_words", F.lit(0)) < 2) | (F.col("_best") == NOISE)
+    # A sequence has one k-mer only if it has length k or repeats a single letter, so a group has two as
+    # soon as one of its sequences has, or two first k-mers differ. No k-mer needs to be listed.
+    folded = df.select(*by, cluster, fold_lower(seq).alias("_seq"))
+    letter = F.substring("_seq", 1, 1)
+    several = (F.length("_seq") > k) & (F.replace(F.col("_seq"), letter, F.lit("")) != "")
+    first = F.when(F.length("_seq") >= k, F.substring("_seq", 1, k))
+    facts = folded.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(cluster).alias("_best"),
+        F.coalesce(F.bool_or(several) | (F.min(first) != F.max(first)), F.lit(False)).alias("_several"),
+    )
+    fallen = (F.col("_rows") < min_sequences) | ~F.col("_several") | (F.col("_best") == NOISE)
+    return (
+        join_on(df, facts, by)
+        .withColumn(cluster, F.when(fallen, F.lit(0)).otherwise(F.col(cluster)))
+        .drop("_rows", "_best", "_several")
     )
-    return joined.withColumn(cluster, F.when(fallen, F.lit(0)).otherwise(F.col(cluster))).drop("_rows", "_best", "_words")
 
 
 def cluster_coordinates(rows: DataFrame, embedding: DataFrame, labels: DataFrame, row_id: str = "row_id") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqspark.sources.genome import chunk_size
+
 # What a row gets when its sequence cannot be cut out.
 FAILED_SEQUENCE = "N" * 100
 
@@ -36,7 +38,7 @@ def validate_intervals(
 
 
 def extract_sequences(
-    ann: DataFrame, genome: DataFrame, chunk: int, row_id: str = "row_id",
+    ann: DataFrame, genome: DataFrame, row_id: str = "row_id",
     chrom: str = "chr", start: str = "start", stop: str = "stop",
     name: str = "seq", drop_failed: bool = False,
 ) -> DataFrame:
@@ -46,6 +48,7 @@ def extract_sequences(
     longer ones are put together again, each list holding the pieces of one interval. Failed rows get
     the fixed placeholder, or go with ``drop_failed``.
     """
+    chunk = chunk_size(genome)
     checked = validate_intervals(ann, genome, chrom, start, stop)
     good = checked.where(F.col("reason").isNull())
     bad = checked.where(F.col("reason").isNotNull()).withColumn(name, F.lit(FAILED_SEQUENCE))

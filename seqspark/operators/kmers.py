@@ -20,6 +20,8 @@ UNKNOWN = "N"
 def positions(df: DataFrame, k: int, seq: str = "seq", keep: Sequence[str] = ()) -> DataFrame:
     """Every k-mer of every sequence: ``keep`` columns, 0-based ``pos``, ``kmer``."""
     cut = df.select(*keep, F.posexplode(pieces(seq, PIECE, k - 1)).alias("_piece", "_text"))
+    # A piece is never NULL; saying so spares a second `substring` per k-mer in joins on it.
+    cut = cut.withColumn("_text", F.coalesce("_text", F.lit("")))
     starts = F.sequence(F.lit(0), F.least(F.lit(PIECE), F.length("_text") - (k - 1)) - 1)
     spread = cut.where(F.length("_text") >= k).select("*", F.explode(starts).alias("_i"))
     return spread.select(

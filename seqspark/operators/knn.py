@@ -127,12 +127,14 @@ def knn(
         if asking.empty or offering.empty:
             return pd.DataFrame({"gid": [], "other": [], "distance": []})
         ids, points = offering["at_gid"].to_numpy(), _matrix(offering["at_vector"])
-        rows = []
-        for gid, v in zip(asking["gid"], _matrix(asking["vector"])):
+        others, reach = [], []
+        for v in _matrix(asking["vector"]):
             d = _distances(v, points)
             best = np.lexsort((ids, d))[:keep]
-            rows.append(pd.DataFrame({"gid": gid, "other": ids[best], "distance": d[best]}))
-        return pd.concat(rows, ignore_index=True)
+            others.append(ids[best])
+            reach.append(d[best])
+        own = np.repeat(asking["gid"].to_numpy(), min(keep, len(ids)))
+        return pd.DataFrame({"gid": own, "other": np.concatenate(others), "distance": np.concatenate(reach)})
 
     best = (
         routed.select("gid", "vector", *meeting)

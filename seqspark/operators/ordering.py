@@ -48,10 +48,9 @@ def running_total(df: DataFrame, key: str, order: str, value: str, name: str) ->
     """Running sum of ``value`` per ``key`` along the integer column ``order``.
 
     Summed per block of order values first, so that a key holding most rows is still spread over one
-    window group per block.
+    window group per block. The input is read twice and therefore checkpointed.
     """
-    block = F.floor(F.col(order) / BLOCK).alias("_block")
-    blocked = df.withColumn("_block", block)
+    blocked = settle(df.withColumn("_block", F.floor(F.col(order) / BLOCK)))
     totals = blocked.groupBy(key, "_block").agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(key, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))

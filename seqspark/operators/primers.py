@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqspark.functions.sequence import coord_label
+from seqspark.functions.sequence import coord_label, fold_case
+from seqspark.operators.kmers import positions
 from seqspark.operators.ordering import with_rank
+from seqspark.session import broadcast_if_small
 
 # How many primers are kept overall and per cluster.
 TOP_GLOBAL = 8
@@ -39,7 +41,7 @@ def rank_kmers(index: DataFrame) -> DataFrame:
 def top_primers(index: DataFrame, order: list[Column], n: int = TOP_GLOBAL) -> DataFrame:
     """The best ``n`` primers with their rank (``limit`` after a sort: a per-partition top-n)."""
     best = index.orderBy(*order).limit(n)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
 def top_cluster_primers(index: DataFrame, cluster: str = "cluster", n: int = TOP_CLUSTER) -> DataFrame:
@@ -48,7 +50,7 @@ def top_cluster_primers(index: DataFrame, cluster: str = "cluster", n: int = TOP
     Spark trims every cluster to ``n`` rows per partition before the shuffle (WindowGroupLimit).
     """
     place = F.row_number().over(Window.partitionBy(cluster).orderBy(*coverage_order()))
-    return index.withColumn("rank", place).where(F.col("rank") <= n)
+    return index.withColumn("rank", place).where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def select_primers(index: DataFrame, n: int = TOP_GLOBAL) -> DataFrame:
@@ -67,7 +69,7 @@ def select_primers(index: DataFrame, n: int = TOP_GLOBAL) -> DataFrame:
         "first_row",
         "first_pos",
         F.when(F.col("_place") <= n, F.lit(COVERAGE_FIRST)).otherwise(F.lit(EXPRESSION_FIRST)).alias("strategy"),
-        F.row_number().over(Window.orderBy("_place")).alias("place"),
+        F.row_number().over(Window.orderBy("_place")).cast("bigint").alias("place"),
     )
 
 
@@ -83,6 +85,19 @@ def primer_rows(
     return posted.select(F.col("kmer").alias("primer"), row_id).join(labelled, row_id)
 
 
+def rows_covered(
+    chosen: DataFrame, rows: DataFrame, k: int, row_id: str = "row_id", seq: str = "seq", max_broadcast: int = 1_000_000
+) -> DataFrame:
+    """The rows that hold each chosen primer: ``(primer, row_id)``.
+
+    For a few primers this beats filtering the postings: their k-mers are dropped as they come out of the
+    text. Pass a settled table of primers; it is broadcast up to ``max_broadcast`` rows.
+    """
+    wanted = broadcast_if_small(chosen.select("primer").distinct(), max_broadcast)
+    found = positions(rows.select(row_id, fold_case(seq).alias("_seq")), k, "_seq", [row_id])
+    return found.join(wanted, found["kmer"] == wanted["primer"]).select("primer", row_id).distinct()
+
+
 def row_lists(lines: DataFrame, row_id: str = "row_id", span: int = 10_000) -> DataFrame:
     """Comma-joined row ids and coordinates per primer, one list per stretch of ``span`` row ids.
 

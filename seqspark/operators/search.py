@@ -12,6 +12,7 @@ from seqspark.operators import kmers
 from seqspark.operators.intervals import overlap_join
 from seqspark.operators.ordering import BLOCK, first_per_key, running_total
 from seqspark.session import broadcast_if_small, settle
+from seqspark.sources.genome import require_overlap
 
 # Fixed value: a primer with this many hits counts as non-specific.
 MAX_HITS = 10_000
@@ -39,10 +40,11 @@ def search_primers(primers: DataFrame, genome: DataFrame, max_broadcast: int = 1
 
     One pass over the genome per primer length. The probes are settled and counted, and broadcast only
     up to ``max_broadcast`` rows; beyond that the same join is shuffled. Chunks must overlap by at least
-    the primer length less one, which is checked on every chunk.
+    the primer length less one.
     """
-    probes = settle(both_strands(primers))
-    lengths = sorted(r["k"] for r in probes.select(F.length("probe").alias("k")).distinct().collect())
+    # The length is a column of its own: a filter on length(probe) would be inferred for every k-mer too.
+    probes = settle(both_strands(primers).withColumn("k", F.length("probe")))
+    lengths = sorted(r["k"] for r in probes.select("k").distinct().collect())
     found = [_search_length(probes, genome, k, max_broadcast) for k in lengths]
     if not found:
         found = [_search_length(probes, genome, 1, max_broadcast)]
@@ -50,18 +52,11 @@ def search_primers(primers: DataFrame, genome: DataFrame, max_broadcast: int = 1
 
 
 def _search_length(probes: DataFrame, genome: DataFrame, k: int, max_broadcast: int) -> DataFrame:
-    rest = F.col("chrom_len") - F.col("chunk_start")
-    enough = F.length("seq") >= F.least(F.col("owned") + (k - 1), rest)
-    checked = genome.withColumn(
-        "seq",
-        F.when(enough, F.col("seq")).otherwise(
-            F.raise_error(F.lit(f"genome chunks overlap too little for primers of length {k}"))
-        ),
-    )
-    sites = kmers.positions(checked, k, "seq", ["chrom", "chrom_idx", "chunk_start", "owned"]).where(
+    require_overlap(genome, k)
+    sites = kmers.positions(genome, k, "seq", ["chrom", "chrom_idx", "chunk_start", "owned"]).where(
         F.col("pos") < F.col("owned")
     )
-    wanted = broadcast_if_small(probes.where(F.length("probe") == k), max_broadcast)
+    wanted = broadcast_if_small(probes.where(F.col("k") == k), max_broadcast)
     start = F.col("chunk_start") + F.col("pos") + 1
     return sites.join(wanted, sites["kmer"] == wanted["probe"]).select(
         "primer", "chrom", "chrom_idx", start.alias("start"), (start + (k - 1)).alias("stop"), "strand"

@@ -13,13 +13,14 @@ from seqspark.operators.filters import row_sum, sample_conditions
 from seqspark.session import join_on
 
 QUARTILES = (0.25, 0.5, 0.75)
-BUCKETS = 256
+# Values of a group are cut into STEP * STEP buckets.
+STEP = 16
 
 NOISE = -1
 
 
 def quantiles(
-    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float] = QUARTILES, buckets: int = BUCKETS
+    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float] = QUARTILES
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group: columns ``p0``, ``p1``, ...
 
@@ -32,13 +33,23 @@ def quantiles(
     hist = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    cuts = [i / buckets for i in range(1, buckets)]
+    cuts = [i / STEP**2 for i in range(1, STEP**2)]
     frame = hist.groupBy(*by).agg(
-        F.percentile_approx("_v", cuts, 10_000).alias("_cuts"), F.sum("_n").alias("_total")
+        F.percentile_approx("_v", cuts, 2_000).alias("_cuts"), F.sum("_n").alias("_total")
     )
-    binned = join_on(hist, frame, by).select(
-        *by, "_v", "_n", "_total",
-        F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_bucket"),
+    # Every STEP-th cut first, then the cuts up to the next of these.
+    coarse = F.transform(F.sequence(F.lit(STEP), F.lit(STEP * (STEP - 1)), F.lit(STEP)), lambda i: F.col("_cuts")[i - 1])
+
+    def below(limits: Column) -> Column:
+        return F.size(F.filter(limits, lambda c: c < F.col("_v")))
+
+    binned = (
+        join_on(hist, frame.withColumn("_coarse", coarse), by)
+        .withColumn("_step", below(F.col("_coarse")) * STEP)
+        .select(
+            *by, "_v", "_n", "_total",
+            (F.col("_step") + below(F.slice("_cuts", F.col("_step") + 1, F.lit(STEP - 1)))).alias("_bucket"),
+        )
     )
     ranks = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
     wanted = [(F.floor(r), F.ceil(r)) for r in ranks]
@@ -113,7 +124,7 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
 
 def seq_features(df: DataFrame, seq: str = "seq") -> DataFrame:
     """Add ``length`` and ``gc``."""
-    return df.withColumn("length", F.length(seq)).withColumn("gc", gc_fraction(seq))
+    return df.withColumn("length", F.length(seq).cast("bigint")).withColumn("gc", gc_fraction(seq))
 
 
 def condition_totals(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

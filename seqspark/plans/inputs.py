@@ -40,7 +40,7 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     marks = table(spark, sf, "labels").select(
         "doc_id", F.col("quality").alias("B1_mark_r1"), F.col("toxic").alias("B2_mark_r2")
     )
-    docs = table(spark, sf, "documents").join(marks, "doc_id", "left")
+    docs = spread(table(spark, sf, "documents"), "doc_id").join(marks, "doc_id", "left")
     return with_total_expr(docs.withColumn("A1_size_r1", F.col("n_chars")), DOCUMENT_SAMPLES).select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("seq"), F.col("lang").alias("cluster"),
         F.col("source").alias("TE_name"), F.col("doc_id").cast("string").alias("chr"),
@@ -181,7 +181,7 @@ contig AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, doc_id, {upper_sql('text')}
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as rows with four expression columns; flag N is noise."""
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1).otherwise(-1).alias("cluster"),
         F.col("l_extendedprice").alias("A1_gross_r1"), F.col("l_quantity").alias("B1_qty_r1"),
         F.col("l_discount").alias("C1_rate_r1"), F.col("l_tax").alias("C2_rate_r2"),

@@ -130,7 +130,7 @@ def interval_validity(spark: SparkSession, sf: str) -> DataFrame:
 WITH {i.INTERVALS_SQL} SELECT row_id, reason,
   CASE WHEN reason IS NULL THEN substr(whole, start + 1, stop - start) ELSE repeat('N', 100) END AS seq FROM checked""")
 def extract_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    found = intervals.extract_sequences(i.intervals(spark, sf), i.genome(spark, sf), i.CHUNK)
+    found = intervals.extract_sequences(i.intervals(spark, sf), i.genome(spark, sf))
     return found.select("row_id", "reason", "seq")
 
 
@@ -168,9 +168,9 @@ def primer_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("capped_hits", f"""{_SEARCH_SQL}
 SELECT primer, chrom, chrom_idx, start, stop, strand FROM (
-  SELECT *, row_number() OVER (PARTITION BY primer ORDER BY chrom_idx, strand, start) AS r FROM hits) WHERE r <= 2""")
+  SELECT *, row_number() OVER (PARTITION BY primer ORDER BY chrom_idx, strand, start) AS r FROM hits) WHERE r <= 1""")
 def capped_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return search.cap_hits(settle(_hits(spark, sf)), 2)
+    return search.cap_hits(settle(_hits(spark, sf)), 1)
 
 
 @query("hit_summary", f"""{_SEARCH_SQL}
@@ -207,7 +207,7 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("primer_row_hits", f"""{_SEARCH_SQL}
-SELECT primer, b.row_id AS seq_row, CAST(b.row_id AS VARCHAR) AS row_chr, 0 AS row_start, length(b.seq) AS row_stop,
+SELECT primer, b.row_id AS seq_row, CAST(b.row_id AS VARCHAR) AS row_chr, CAST(0 AS BIGINT) AS row_start, length(b.seq) AS row_stop,
   '+' AS row_strand, chrom AS genome_chr, start AS genome_start, stop AS genome_stop, strand AS genome_strand
 FROM (SELECT DISTINCT row_id, kmer AS primer FROM probe_kmers) p JOIN items b USING (row_id) JOIN hits USING (primer)""")
 def primer_row_hits(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,19 +218,16 @@ def primer_row_hits(spark: SparkSession, sf: str) -> DataFrame:
 @query("primer_row_overlap", f"""
 WITH {i.DOCUMENTS_SQL}, {i.index_sql('docs')}, {i.SELECTED_SQL}, {i.CONTIG_SQL},
 {i.search_sql('selected')}
-SELECT h.primer, p.row_id AS seq_row, h.chrom AS row_chr, 0 AS row_start, d.stop AS row_stop, '+' AS row_strand,
+SELECT h.primer, p.row_id AS seq_row, h.chrom AS row_chr, CAST(0 AS BIGINT) AS row_start, d.stop AS row_stop, '+' AS row_strand,
   h.chrom AS genome_chr, h.start AS genome_start, h.stop AS genome_stop, h.strand AS genome_strand
 FROM postings p JOIN docs d USING (row_id) JOIN hits h ON h.primer = p.kmer AND h.chrom = d.chr
 WHERE d.start < h.stop AND h.start <= d.stop""")
 def primer_row_overlap(spark: SparkSession, sf: str) -> DataFrame:
     """Selected primers: hits inside the very documents that the primer covers."""
     docs = i.documents(spark, sf)
-    posted = kmers.postings(docs, i.K, keep=["total_expr"])
-    chosen = settle(primers.select_primers(kmers.kmer_index(posted)).select("primer"))
+    chosen = settle(primers.select_primers(_document_index(spark, sf)).select("primer"))
     hits = search.search_primers(chosen, i.genome(spark, sf))
-    # At most 16 chosen primers.
-    lines = posted.withColumnRenamed("kmer", "primer").join(F.broadcast(chosen), "primer")
-    return search.primer_row_hits(lines, docs, hits, overlap=True)
+    return search.primer_row_hits(primers.rows_covered(chosen, docs, i.K), docs, hits, overlap=True)
 
 
 # --- sampling ----------------------------------------------------------------------------------

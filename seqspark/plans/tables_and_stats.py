@@ -44,7 +44,7 @@ WITH t AS (SELECT 'row' || doc_id || '|' || source || '|cluster' || lang AS chro
     row_number() OVER (ORDER BY doc_id) - 1 AS chrom_idx, {i.upper_sql(_LETTERS)} AS seq FROM documents),
 c AS (SELECT *, unnest(range(0, greatest(length(seq), 1), 1000)) AS chunk_start FROM t)
 SELECT chrom, chrom_idx, chunk_start, substr(seq, chunk_start + 1, 1017) AS seq,
-   least(1000, length(seq) - chunk_start) AS owned, length(seq) AS chrom_len FROM c""")
+   CAST(least(1000, length(seq) - chunk_start) AS INTEGER) AS owned, length(seq) AS chrom_len FROM c""")
 def fasta_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Write all documents as FASTA in id order and scan the files back into chunks."""
     path = scratch_path(spark, "fasta")

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, wrap_lines
-from seqspark.session import join_on
-from seqspark.sources.genome import CHUNK
+from seqspark.session import settle
+from seqspark.sources.genome import CHUNK, noted
 
 LINE = 80
 NAME_LENGTH = 50
@@ -37,10 +37,13 @@ def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     )
     size = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
     upto = Window.partitionBy(*_BLOCK).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    local = marked.withColumn("_run", F.sum(size).over(upto)).select(
-        "*",
-        F.sum(F.col("_head").cast("bigint")).over(upto).alias("_heads"),
-        F.max(F.when(F.col("_head"), F.col("_run"))).over(upto).alias("_head_run"),
+    # Read three times below, so the files are scanned and shuffled once and the result is kept.
+    local = settle(
+        marked.withColumn("_run", F.sum(size).over(upto)).select(
+            "*",
+            F.sum(F.col("_head").cast("bigint")).over(upto).alias("_heads"),
+            F.max(F.when(F.col("_head"), F.col("_run"))).over(upto).alias("_head_run"),
+        )
     )
     # One row per file block from here to `inherited`.
     blocks = local.groupBy(*_BLOCK).agg(
@@ -56,7 +59,7 @@ def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         *_BLOCK, "_heads_before", "_size_before",
         F.max(F.col("_size_before") + F.col("_last")).over(earlier).alias("_inherited"),
     )
-    known = join_on(local, inherited, _BLOCK).withColumn("contig_no", F.col("_heads_before") + F.col("_heads"))
+    known = local.join(inherited, _BLOCK).withColumn("contig_no", F.col("_heads_before") + F.col("_heads"))
     begin = F.greatest(F.col("_inherited"), F.col("_size_before") + F.col("_head_run"))
     lines = known.where(~F.col("_head") & (F.col("contig_no") > 0) & (F.length("text") > 0)).select(
         "contig_no",
@@ -103,7 +106,7 @@ def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK, overlap: int
     """
     lines, headers = _lines(spark, path)
     chunks = _chunks(lines, chunk, overlap)
-    lengths = chunks.groupBy("contig_no").agg(F.sum("owned").alias("chrom_len"))
+    lengths = lines.groupBy("contig_no").agg(F.max(F.col("offset") + F.length("text")).alias("chrom_len"))
     named = headers.groupBy(F.col("name").alias("chrom")).agg(
         F.max("contig_no").alias("contig_no"), (F.min("contig_no") - 1).alias("chrom_idx")
     )
@@ -112,7 +115,7 @@ def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK, overlap: int
         "chrom",
         "chrom_idx",
         F.coalesce("chunk_start", F.lit(0)).alias("chunk_start"),
-        F.coalesce("seq", F.lit("")).alias("seq"),
+        noted(F.coalesce("seq", F.lit("")), chunk, overlap),
         F.coalesce("owned", F.lit(0)).alias("owned"),
         "chrom_len",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, pieces
@@ -10,6 +10,22 @@ from seqspark.functions.sequence import fold_case, pieces
 CHUNK = 16384
 
 
+def noted(seq: Column, chunk: int, overlap: int) -> Column:
+    """The chunk column, carrying its chunk size and overlap as column metadata."""
+    return seq.alias("seq", metadata={"chunk": chunk, "overlap": overlap})
+
+
+def chunk_size(genome: DataFrame) -> int:
+    return genome.schema["seq"].metadata["chunk"]
+
+
+def require_overlap(genome: DataFrame, k: int) -> None:
+    """Fail if a word of length ``k`` could hide between two chunks."""
+    overlap = genome.schema["seq"].metadata.get("overlap", 0)
+    if overlap < k - 1:
+        raise ValueError(f"genome chunks overlap by {overlap} characters, words of {k} need {k - 1}")
+
+
 def chunk_table(
     df: DataFrame, chrom: str, seq: str, order: str, chunk: int = CHUNK, overlap: int = 0
 ) -> DataFrame:
@@ -32,7 +48,7 @@ def chunk_table(
         "chrom",
         "chrom_idx",
         start.alias("chunk_start"),
-        "seq",
+        noted(F.col("seq"), chunk, overlap),
         F.least(F.lit(chunk), F.col("chrom_len") - start).cast("int").alias("owned"),
         "chrom_len",
     )
