@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import GAP, fold_case, pieces, ungapped_length, without_gaps
 from seqspark.operators.kmers import UNKNOWN, by_row, positions
-from seqspark.session import broadcast_if_small, join_on, settle
+from seqspark.session import MAX_BROADCAST, broadcast_if_small, join_groups, join_on, settle
 
 # Thresholds of the consensus and of the three cleaning steps.
 CONSENSUS_SHARE = 0.5
@@ -148,7 +148,7 @@ def _single_kmers(df: DataFrame, k: int, by: Sequence[str], row_id: str) -> Data
 
 def anchor_align(
     df: DataFrame, k: int, by: Sequence[str] = ("cluster",), row_id: str = "row_id", seq: str = "seq",
-    max_broadcast: int = 1_000_000,
+    max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """Place every sequence of a group on the axis of the group's longest sequence (lowest id on ties).
 
@@ -158,9 +158,14 @@ def anchor_align(
     members with each other.
     """
     folded = df.select(*by, row_id, fold_case(seq).alias("seq"))
-    longest = F.max_by(row_id, F.struct(F.length("seq"), -F.col(row_id)))
-    chosen = folded.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), longest.alias("anchor_id")).where(F.col("_n") > 1)
-    anchors = join_on(folded.withColumnRenamed(row_id, "anchor_id"), chosen.select(*by, "anchor_id"), [*by, "anchor_id"])
+    # Two rounds of plain numbers; taking the longest row in one would sort the texts by group.
+    sizes = group_sizes(folded, by).where(F.col("n") > 1)
+    longest = join_groups(folded, sizes, by, row_id, max_bytes=max_broadcast).where(F.length("seq") == F.col("width"))
+    chosen = longest.groupBy(*by, "width").agg(F.min(row_id).alias("anchor_id"))
+    sized = settle(chosen.select(*by, "anchor_id", "width"))
+    anchors = folded.withColumnRenamed(row_id, "anchor_id").join(
+        broadcast_if_small(sized.select("anchor_id"), max_broadcast), "anchor_id", "left_semi"
+    )
     marks = settle(
         _single_kmers(by_row(anchors, "anchor_id"), k, by, "anchor_id").select(
             *by, "kmer", F.col("pos").alias("_anchor_pos")
@@ -174,9 +179,8 @@ def anchor_align(
     )
     best = Window.partitionBy(row_id).orderBy(F.desc("votes"), F.abs("offset"), "offset")
     won = votes.withColumn("_r", F.row_number().over(best)).where(F.col("_r") == 1).drop("_r")
-    sized = anchors.select(*by, "anchor_id", F.length("seq").alias("width"))
-    placed = join_on(folded.join(won, row_id, "left"), sized, by).select(
-        *by, row_id, "anchor_id", "width", "seq",
+    placed = join_groups(folded.join(won, row_id, "left"), sized, by, row_id, max_bytes=max_broadcast).select(
+        *by, row_id, "anchor_id", F.col("width").cast("int").alias("width"), "seq",
         F.coalesce("offset", F.lit(0)).alias("offset"),
         F.coalesce("votes", F.lit(0)).alias("votes"),
     )
@@ -196,7 +200,7 @@ def anchor_align(
 def identity_to_majority(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
     """Rows with ``identity``: share of their non-gap columns that equal the majority base."""
     major = assemble(consensus_columns(rows, 0.0, by, row_id), by, "_major")
-    joined = join_on(rows, major, by, "left")
+    joined = join_groups(rows, major, by, row_id, "left")
     folded = fold_case("seq")
     pairs = F.zip_with(
         F.split(folded, ""),
@@ -241,19 +245,21 @@ def _runs(columns: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def without_columns(rows: DataFrame, dropped: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
+def without_columns(
+    rows: DataFrame, dropped: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id"
+) -> DataFrame:
     """Cut columns out of every row. The rows themselves are only joined with their group's kept runs."""
     keys = [*by, "col"]
     kept = axis(rows, by).select(*keys).join(dropped.select(*keys), keys, "left_anti")
     runs = _runs(kept, by).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("_runs"))
-    joined = join_on(rows, runs, by, "left")
+    joined = join_groups(rows, runs, by, row_id, "left")
     text = F.array_join(F.transform("_runs", lambda r: F.substring(F.col("seq"), r["start"] + 1, r["size"])), "")
     return joined.withColumn("seq", F.coalesce(text, F.lit(""))).drop("_runs")
 
 
 def drop_gap_only(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
     """Remove columns without any base; the others move up."""
-    return without_columns(rows, gap_only_columns(rows, by, row_id), by)
+    return without_columns(rows, gap_only_columns(rows, by, row_id), by, row_id)
 
 
 def insertion_columns(
@@ -270,7 +276,7 @@ def insertion_columns(
     def bases(start: Column, size: Column) -> Column:
         return ungapped_length(F.substring(F.col("seq"), start, size))
 
-    carried = join_on(rows, listed, by).select(
+    carried = join_groups(rows, listed, by, row_id).select(
         *by,
         F.explode(
             F.filter(
@@ -290,7 +296,7 @@ def insertion_columns(
 
 def remove_insertions(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id", **limits) -> DataFrame:
     """Cut insertions out of every row."""
-    return without_columns(rows, insertion_columns(rows, by, row_id, **limits), by)
+    return without_columns(rows, insertion_columns(rows, by, row_id, **limits), by, row_id)
 
 
 def clean_alignment(
@@ -320,7 +326,7 @@ def clean_alignment(
         note(step, "column", columns.join(dropped, keys, "left_semi"), "_original")
         place = F.row_number().over(Window.partitionBy(*by).orderBy("_original")).cast("bigint") - 1
         left = columns.join(dropped, keys, "left_anti").withColumn("col", place)
-        return settle(without_columns(rows, dropped, by)), settle(left)
+        return settle(without_columns(rows, dropped, by, row_id)), settle(left)
 
     rows = drop_rows("remove_divergent", remove_divergent(rows, min_identity, by, row_id))
     rows, columns = drop_columns("remove_gap_only", gap_only_columns(rows, by, row_id))

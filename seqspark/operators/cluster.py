@@ -18,7 +18,7 @@ from seqspark.operators.kmers import PIECE
 from seqspark.operators.knn import BLOCK, knn
 from seqspark.operators.ordering import with_rank
 from seqspark.operators.stats import NOISE, quantiles
-from seqspark.session import join_on, settle
+from seqspark.session import join_groups, settle
 
 # Parameters of clustering.
 MIN_SEQUENCES = 10
@@ -263,7 +263,7 @@ def _close_cells(boxes: DataFrame, labels: DataFrame, member: DataFrame, eps: fl
 
 
 def apply_fallbacks(
-    df: DataFrame, k: int, by: Sequence[str], seq: str = "seq", cluster: str = "cluster",
+    df: DataFrame, k: int, by: Sequence[str], row_id: str = "row_id", seq: str = "seq", cluster: str = "cluster",
     min_sequences: int = MIN_SEQUENCES,
 ) -> DataFrame:
     """Put all rows of a group in cluster 0 if the group is too small, has fewer than two different
@@ -281,7 +281,7 @@ def apply_fallbacks(
     )
     fallen = (F.col("_rows") < min_sequences) | ~F.col("_several") | (F.col("_best") == NOISE)
     return (
-        join_on(df, facts, by)
+        join_groups(df, facts, by, row_id)
         .withColumn(cluster, F.when(fallen, F.lit(0)).otherwise(F.col(cluster)))
         .drop("_rows", "_best", "_several")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,10 @@ from seqspark.session import width
 
 # Characters per piece when k-mers are exploded: `substring` walks from the start of its string,
 # so pieces have to be short.
-PIECE = 64
+PIECE = 32
+
+# Up to this many words, texts are tested for them before their k-mers are listed.
+FEW_WORDS = 64
 
 UNKNOWN = "N"
 
@@ -31,6 +35,17 @@ def positions(df: DataFrame, k: int, seq: str = "seq", keep: Sequence[str] = ())
     )
 
 
+def holding_any(df: DataFrame, words: DataFrame, word: str, seq: str = "seq") -> DataFrame:
+    """Drop texts that hold none of a few words; with more words than a few, keep them all.
+
+    A substring test costs a fraction of listing k-mers. At most ``FEW_WORDS`` + 1 words reach the driver.
+    """
+    listed = [r[0] for r in words.select(word).distinct().limit(FEW_WORDS + 1).collect()]
+    if not 0 < len(listed) <= FEW_WORDS:
+        return df
+    return df.where(reduce(lambda a, b: a | b, [F.contains(F.col(seq), F.lit(w)) for w in listed]))
+
+
 def by_row(df: DataFrame, row_id: str) -> DataFrame:
     """Spread sequences over the cluster by row id.
 

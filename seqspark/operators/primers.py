@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import coord_label, fold_case
-from seqspark.operators.kmers import positions
+from seqspark.operators.kmers import holding_any, positions
 from seqspark.operators.ordering import with_rank
-from seqspark.session import broadcast_if_small
+from seqspark.session import MAX_BROADCAST, broadcast_if_small
 
 # How many primers are kept overall and per cluster.
 TOP_GLOBAL = 8
@@ -86,15 +86,17 @@ def primer_rows(
 
 
 def rows_covered(
-    chosen: DataFrame, rows: DataFrame, k: int, row_id: str = "row_id", seq: str = "seq", max_broadcast: int = 1_000_000
+    chosen: DataFrame, rows: DataFrame, k: int, row_id: str = "row_id", seq: str = "seq", max_broadcast: int = MAX_BROADCAST
 ) -> DataFrame:
     """The rows that hold each chosen primer: ``(primer, row_id)``.
 
     For a few primers this beats filtering the postings: their k-mers are dropped as they come out of the
-    text. Pass a settled table of primers; it is broadcast up to ``max_broadcast`` rows.
+    text. Pass a settled table of primers; it is broadcast up to ``max_broadcast`` bytes.
     """
-    wanted = broadcast_if_small(chosen.select("primer").distinct(), max_broadcast)
-    found = positions(rows.select(row_id, fold_case(seq).alias("_seq")), k, "_seq", [row_id])
+    names = chosen.select("primer").distinct()
+    wanted = broadcast_if_small(names, max_broadcast)
+    folded = rows.select(row_id, fold_case(seq).alias("_seq"))
+    found = positions(holding_any(folded, names, "primer", "_seq"), k, "_seq", [row_id])
     return found.join(wanted, found["kmer"] == wanted["primer"]).select("primer", row_id).distinct()
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from seqspark.functions.sequence import fold_case, reverse_complement
 from seqspark.operators import kmers
 from seqspark.operators.intervals import overlap_join
+from seqspark.operators.kmers import holding_any
 from seqspark.operators.ordering import BLOCK, first_per_key, running_total
-from seqspark.session import broadcast_if_small, settle
+from seqspark.session import MAX_BROADCAST, broadcast_if_small, settle
 from seqspark.sources.genome import require_overlap
 
 # Fixed value: a primer with this many hits counts as non-specific.
@@ -34,12 +35,13 @@ def both_strands(primers: DataFrame, primer: str = "primer") -> DataFrame:
     return forward.unionAll(reverse)
 
 
-def search_primers(primers: DataFrame, genome: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+def search_primers(primers: DataFrame, genome: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """All occurrences, overlapping ones included: ``(primer, chrom, chrom_idx, start, stop, strand)``,
     1-based and inclusive.
 
-    One pass over the genome per primer length. The probes are settled and counted, and broadcast only
-    up to ``max_broadcast`` rows; beyond that the same join is shuffled. Chunks must overlap by at least
+    One pass over the genome per primer length. The probes are settled and measured, and broadcast only
+    up to ``max_broadcast`` bytes; beyond that the same join is shuffled. For a handful of probes, chunks
+    without any of them are skipped before their words are listed. Chunks must overlap by at least
     the primer length less one.
     """
     # The length is a column of its own: a filter on length(probe) would be inferred for every k-mer too.
@@ -53,10 +55,11 @@ def search_primers(primers: DataFrame, genome: DataFrame, max_broadcast: int = 1
 
 def _search_length(probes: DataFrame, genome: DataFrame, k: int, max_broadcast: int) -> DataFrame:
     require_overlap(genome, k)
-    sites = kmers.positions(genome, k, "seq", ["chrom", "chrom_idx", "chunk_start", "owned"]).where(
+    wanted = probes.where(F.col("k") == k)
+    sites = kmers.positions(holding_any(genome, wanted, "probe"), k, "seq", ["chrom", "chrom_idx", "chunk_start", "owned"]).where(
         F.col("pos") < F.col("owned")
     )
-    wanted = broadcast_if_small(probes.where(F.col("k") == k), max_broadcast)
+    wanted = broadcast_if_small(wanted, max_broadcast)
     start = F.col("chunk_start") + F.col("pos") + 1
     return sites.join(wanted, sites["kmer"] == wanted["probe"]).select(
         "primer", "chrom", "chrom_idx", start.alias("start"), (start + (k - 1)).alias("stop"), "strand"

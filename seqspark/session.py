@@ -7,11 +7,18 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Largest table that is broadcast, in bytes.
+MAX_BROADCAST = 64 * 1024 * 1024
+
+# Parts a group is spread over when a per-group table is too large to broadcast.
+SALTS = 32
+
 
 def width(spark: SparkSession) -> int:
     """Partition count for an explicit repartition.
@@ -51,13 +58,28 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after counting that it has at most ``max_rows`` rows.
+def _value_bytes(name: str, kind: T.DataType) -> Column:
+    """Size of a value as it is held in memory, an upper estimate for the types used here."""
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(name), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType):
+            inner = F.aggregate(name, F.lit(0).cast("bigint"), lambda n, e: n + F.coalesce(F.octet_length(e), F.lit(0)) + 16)
+            return F.coalesce(inner, F.lit(0)) + 24
+        fields = len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1
+        return F.coalesce(F.size(name), F.lit(0)) * (8 * fields + 16) + 24
+    return F.lit(16)
+
+
+def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST) -> bool:
+    """Whether a table fits in ``max_bytes``, measured over all its rows. Pass a settled table."""
+    size = reduce(lambda a, b: a + b, [_value_bytes(f.name, f.dataType) for f in df.schema.fields], F.lit(16))
+    return (df.agg(F.sum(size.cast("bigint"))).first()[0] or 0) <= max_bytes
 
-    Pass a settled or otherwise cheap table: the count runs its plan. A larger table is returned
-    as it is, which leaves Spark with a shuffled join.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST) -> DataFrame:
+    """Broadcast a settled table whose measured size is small; otherwise leave Spark a shuffled join."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -67,3 +89,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     )
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def join_groups(
+    rows: DataFrame, table: DataFrame, by: Sequence[str], row_id: str, how: str = "inner",
+    max_bytes: int = MAX_BROADCAST,
+) -> DataFrame:
+    """Join rows with a table holding one row per group, however many rows a group has.
+
+    The table is settled and measured. A small one is broadcast, so the rows stay where they are. A larger
+    one is repeated once per salt and the rows are salted by id: no task gets a whole group.
+    """
+    table = settle(table)
+    if is_small(table, max_bytes):
+        return join_on(rows, F.broadcast(table), by, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
+    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return join_on(salted, repeated, [*by, "_salt"], how).drop("_salt")

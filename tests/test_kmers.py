@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from seqspark.functions.sequence import fold_case, gc_fraction, pieces, reverse_
 from seqspark.operators import kmers, primers
 from seqspark.operators.cluster import kmer_vectors
 from seqspark.operators.ordering import first_per_key, running_total, with_rank
-from seqspark.session import settle
+from seqspark.session import is_small, join_groups, settle
 
 TEXT = st.text(alphabet="ACGTNacgtné😀\n ", max_size=300)
 
@@ -127,3 +128,20 @@ def test_order_helpers_under_skew(spark):
     for key in {k for k, _ in rows}:
         mine = sorted((r["at"], r["run"]) for r in totals if r["key"] == key)
         assert [r for _, r in mine] == [2 * (i + 1) for i in range(len(mine))]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_group_join_under_skew(spark, limit):
+    rows = [(i, None if i % 7 == 0 else i % 2, "x" * 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "row_id bigint, g int, seq string")
+    table = spark.createDataFrame([(0, "zero", ["a"]), (None, "none", ["b", "c"]), (9, "nine", [])], "g int, name string, l array<string>")
+    got = {r["row_id"]: r["name"] for r in join_groups(df, table, ["g"], "row_id", "left", limit).collect()}
+    assert got == {i: {0: "zero", None: "none"}.get(g) for i, g, _ in rows}
+    inner = join_groups(df, table, ["g"], "row_id", max_bytes=limit)
+    assert inner.count() == sum(g != 1 for _, g, _ in rows)
+
+
+def test_size_is_measured(spark):
+    df = settle(spark.createDataFrame([("x" * 1000, [1, 2]), (None, None)], "s string, a array<bigint>"))
+    assert is_small(df, 1300) and not is_small(df, 900)
+    assert is_small(df.limit(0), 0)
