@@ -48,7 +48,10 @@ def group_sizes(rows: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
 def axis(rows: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """Every column number of every alignment."""
     sized = group_sizes(rows, by).where(F.col("width") > 0)
-    return sized.select(*by, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("width") - 1)).alias("col"))
+    # In two steps, so that no array grows with the width.
+    last = F.col("width") - 1
+    parts = sized.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(_PIECE).cast("bigint"))))
+    return parts.select(*by, "n", F.explode(F.sequence("_from", F.least(F.col("_from") + (_PIECE - 1), last))).alias("col"))
 
 
 def consensus_columns(

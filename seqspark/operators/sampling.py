@@ -10,7 +10,10 @@ from seqspark.operators.search import search_primers
 from seqspark.functions.sequence import fold_case
 
 # The main chromosomes, what to fall back to without them, sample size, genome size.
-MAJOR_CONTIGS = [f"chr{i}" for i in range(1, 23)] + ["chrX", "chrY"]
+MAJOR_CONTIGS = (
+    "chr1 chr2 chr3 chr4 chr5 chr6 chr7 chr8 chr9 chr10 chr11 chr12 "
+    "chr13 chr14 chr15 chr16 chr17 chr18 chr19 chr20 chr21 chr22 chrX chrY"
+).split()
 FALLBACK_CONTIGS = 24
 SAMPLE_SIZE = 5
 GENOME_SIZE = 3_100_000_000

@@ -24,7 +24,7 @@ _LETTERS = "regexp_replace(text, '[^A-Za-z]', '', 'g')"
 
 
 def _letters(spark: SparkSession, sf: str) -> DataFrame:
-    return i.table(spark, sf, "documents").select(
+    return i.spread(i.table(spark, sf, "documents"), "doc_id").select(
         F.col("doc_id").alias("row_id"), F.col("source").alias("TE_name"), F.col("lang").alias("cluster"),
         F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"),
     )
