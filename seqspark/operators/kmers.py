@@ -43,7 +43,10 @@ def holding_any(df: DataFrame, words: DataFrame, word: str, seq: str = "seq") ->
     listed = [r[0] for r in words.select(word).distinct().limit(FEW_WORDS + 1).collect()]
     if not 0 < len(listed) <= FEW_WORDS:
         return df
-    return df.where(reduce(lambda a, b: a | b, [F.contains(F.col(seq), F.lit(w)) for w in listed]))
+    # Named once in the lambda: spelled out, the text's own expression would be repeated for every word.
+    return df.where(
+        F.exists(F.array(seq), lambda text: reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in listed]))
+    )
 
 
 def by_row(df: DataFrame, row_id: str) -> DataFrame:

@@ -50,9 +50,25 @@ def knn_graph(spark: SparkSession, sf: str) -> DataFrame:
     return graph.withColumn("distance", F.round("distance", 4))
 
 
-@query("density_cluster")
+@query("density_cluster", """
+WITH RECURSIVE p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+d AS (SELECT a.id, b.id AS other, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist
+  FROM p a JOIN p b ON a.id <> b.id),
+core AS (SELECT id, dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, other) AS r FROM d) WHERE r = 7),
+c AS (SELECT id FROM core WHERE dist <= (SELECT quantile_cont(dist, 0.9) FROM core)),
+edge AS (SELECT id, other FROM d WHERE dist <= (SELECT quantile_cont(dist, 0.9) FROM core)
+  AND id IN (SELECT id FROM c) AND other IN (SELECT id FROM c)),
+reach(id, comp) AS (SELECT id, id FROM c
+  UNION SELECT e.other, r.comp FROM reach r JOIN edge e ON r.id = e.id WHERE r.comp < e.other),
+comp AS (SELECT id, min(comp) AS comp FROM reach GROUP BY id),
+kept AS (SELECT comp, row_number() OVER (ORDER BY count(*) DESC, comp) - 1 AS cluster FROM comp GROUP BY comp
+  HAVING count(*) >= greatest(5, (SELECT count(*) FROM p) // 7))
+SELECT p.id AS row_id, CAST(coalesce(k.cluster, -1) AS INTEGER) AS cluster
+FROM p LEFT JOIN comp ON p.id = comp.id LEFT JOIN kept k ON comp.comp = k.comp""")
 def density_cluster(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.density_cluster(settle(_plane(spark, sf)))
+    """Density clusters on the plane of the first two embedding coordinates."""
+    rows = _embeddings(spark, sf)
+    return cluster.density_cluster(rows.select("row_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y")))
 
 
 @query("cluster_coordinates")
