@@ -174,9 +174,9 @@ def density_cluster(
         .distinct()
     )
     labels = connected_components(boxes.select("node"), near)
-    if side > 0:
+    tops = labels.select(F.col("component").alias("node")).distinct()
+    if side > 0 and tops.limit(2).count() > 1:
         links = _close_cells(boxes, labels, member, eps, block)
-        tops = labels.select(F.col("component").alias("node")).distinct()
         merged = connected_components(tops, links)
         tops = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
         labels = labels.join(tops, "component").select("node", F.col("top").alias("component"))

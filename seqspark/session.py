@@ -60,6 +60,8 @@ def settle(df: DataFrame) -> DataFrame:
 
 def _value_bytes(name: str, kind: T.DataType) -> Column:
     """Size of a value as it is held in memory, an upper estimate for the types used here."""
+    if isinstance(kind, T.BinaryType | T.MapType | T.StructType):
+        raise TypeError(f"size of {kind.simpleString()} column {name!r} is not measured")
     if isinstance(kind, T.StringType):
         return F.coalesce(F.octet_length(name), F.lit(0)) + 16
     if isinstance(kind, T.ArrayType):
