@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqspark.session import settle, width
+from seqspark.session import settle
 
 # monotonically_increasing_id keeps the partition number above the low 33 bits.
 _LOCAL_BITS = 33
@@ -22,9 +22,8 @@ def with_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank",
     the partitions before. The sorted table is checkpointed because the sizes and the rows are read from
     it separately and have to agree. What is broadcast is one row per partition.
     """
-    spark = df.sparkSession
     ordered = settle(
-        df.repartitionByRange(width(spark), *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftright("_at", _LOCAL_BITS))
