@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session; they need not find it on their own path."""
+    context = spark.sparkContext
+    if getattr(context, "_seqspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if package.parent.is_dir():
+        archive = Path(tempfile.mkdtemp(prefix="seqspark-")) / "seqspark-package.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, str(file.relative_to(package.parent)))
+        context.addPyFile(str(archive))
+    context._seqspark_shipped = True
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cut the lineage and pin values that several branches must agree on."""
     scratch_root(df.sparkSession)
@@ -60,12 +77,12 @@ def settle(df: DataFrame) -> DataFrame:
 
 def _value_bytes(name: str, kind: T.DataType) -> Column:
     """Size of a value as it is held in memory, an upper estimate for the types used here."""
-    if isinstance(kind, T.BinaryType | T.MapType | T.StructType):
+    if isinstance(kind, T.MapType | T.StructType):
         raise TypeError(f"size of {kind.simpleString()} column {name!r} is not measured")
-    if isinstance(kind, T.StringType):
+    if isinstance(kind, T.StringType | T.BinaryType):
         return F.coalesce(F.octet_length(name), F.lit(0)) + 16
     if isinstance(kind, T.ArrayType):
-        if isinstance(kind.elementType, T.StringType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType):
             inner = F.aggregate(name, F.lit(0).cast("bigint"), lambda n, e: n + F.coalesce(F.octet_length(e), F.lit(0)) + 16)
             return F.coalesce(inner, F.lit(0)) + 24
         fields = len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1
