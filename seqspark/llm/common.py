@@ -55,29 +55,41 @@ def per_batch(function: Callable[[pa.RecordBatch], pa.RecordBatch | None], colum
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str], at_least: int) -> Iterator[pa.Table]:
-    """Runs of whole groups from rows sorted by ``keys``, each of ``at_least`` rows unless it is the last."""
+    """Rows sorted by ``keys`` in tables of whole groups, of ``at_least`` rows each unless it is the last."""
     import numpy as np
 
+    def cut(table: pa.Table) -> list[int]:
+        begins = np.zeros(table.num_rows, dtype=bool)
+        for k in keys:
+            column = table.column(k).to_numpy()
+            begins[1:] |= column[1:] != column[:-1]
+        cuts = [0]
+        for start in np.flatnonzero(begins).tolist():
+            if start - cuts[-1] >= at_least:
+                cuts.append(start)
+        return cuts
+
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = waiting = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows < at_least:
+        # A group longer than this is looked through again only when it has doubled.
+        if rows < max(at_least, waiting):
             continue
         table = pa.Table.from_batches(held)
-        columns = [table.column(k).to_numpy() for k in keys]
-        same = np.ones(table.num_rows, dtype=bool)
-        for c in columns:
-            same &= c == c[-1]
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        if cut:
-            yield table.slice(0, cut).combine_chunks()
-        rest = table.slice(cut).combine_chunks()
+        cuts = cut(table)
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(a, b - a).combine_chunks()
+        # The last part may go on in the next batch.
+        rest = table.slice(cuts[-1]).combine_chunks()
         held, rows = rest.to_batches(), rest.num_rows
-        at_least = max(at_least, 2 * rows) if not cut else at_least
+        waiting = 2 * rows if rows >= at_least else 0
     if rows:
-        yield pa.Table.from_batches(held).combine_chunks()
+        table = pa.Table.from_batches(held)
+        cuts = cut(table)
+        for a, b in zip(cuts, [*cuts[1:], table.num_rows], strict=True):
+            yield table.slice(a, b - a).combine_chunks()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

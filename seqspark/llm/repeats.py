@@ -257,8 +257,8 @@ def _window_rows(length: int):
                 pa.array(gram_hashes(data, length).view(np.int64)),
                 pa.array(gram_hashes(data, length, _OTHER_BASE).view(np.int64)),
                 pa.array([row["doc_id"]] * n, pa.int64()), pa.array([row["key"]] * n, pa.int64()),
-                pa.array(np.arange(n, dtype=np.int32) + np.int32(row["begin"])),
-            ], ["w", "v", "doc_id", "key", "at"]))
+                pa.array([row["begin"]] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int32) + np.int32(row["begin"])),
+            ], ["w", "v", "doc_id", "key", "begin", "at"]))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
 
     return rows
@@ -306,7 +306,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     often = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor")
     shared = stored(places.join(often, "anchor", "left_semi"), "shared-anchors")
     contexts = shared.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "pos")).alias("at")
+        # The places of one row, whichever it is: all three come from it.
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "key", "pos")]
     )
     contexts = stored(contexts, "contexts")
 
@@ -317,13 +318,13 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
 
     # One copy of each different context, where an anchor has several.
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    wanted = contexts.join(several, "anchor").select("at.doc_id", "at.key", F.struct("anchor", F.col("at.pos").alias("pos"), "m").alias("w"))
+    wanted = contexts.join(several, "anchor").select("doc_id", "key", F.struct("anchor", "pos", "m").alias("w"))
     wanted = stored(wanted.groupBy("doc_id", "key").agg(F.collect_list("w").alias("wanted")), "wanted")
     chosen = join_on(docs, broadcast_if_small(wanted), ["doc_id", "key"]).select("doc_id", "key", "text", "wanted")
     texts = stored(
         chosen.mapInArrow(
             per_batch(_context_rows(length, gram, group)), "group bigint, doc_id bigint, key bigint, begin int, end int, bytes binary"
-        ).dropDuplicates(["group", "doc_id", "key", "begin", "end"]),
+        ),
         "context-texts",
     )
     sizes = texts.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
@@ -331,12 +332,22 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     indexed = small.repartition("group").sortWithinPartitions("group").mapInArrow(_index_groups(length), _MARKS)
 
     # Groups that stay large share a long string everywhere; their strings of the full length are counted.
-    large = texts.join(sizes.where(F.col("_n") > group), "group", "left_semi").drop("group").dropDuplicates(["doc_id", "key", "begin", "end"])
-    windows = large.mapInArrow(per_batch(_window_rows(length), "bytes"), "w bigint, v bigint, doc_id bigint, key bigint, at int")
-    place = F.struct("doc_id", "key", "at")
-    repeated = windows.groupBy("w", "v").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b").select("w", "v")
-    counted = windows.join(repeated, ["w", "v"]).select(
-        "doc_id", "key", F.col("at").alias("begin"), (F.col("at") + length).cast("int").alias("end")
+    large = texts.join(sizes.where(F.col("_n") > group), "group", "left_semi")
+    windows = large.mapInArrow(
+        per_batch(_window_rows(length), "bytes"), "w bigint, v bigint, doc_id bigint, key bigint, begin int, at int"
+    )
+    place = [f(c).alias(f"{f.__name__}_{c}") for c in ("doc_id", "key", "at") for f in (F.min, F.max)]
+    elsewhere = "NOT (min_doc_id <=> max_doc_id AND min_key = max_key AND min_at = max_at)"
+    repeated = windows.groupBy("w", "v").agg(*place).where(elsewhere).select("w", "v")
+    # At most length - gram + 1 strings of a context; those in a row are one range.
+    by_context = windows.join(repeated, ["w", "v"]).groupBy("doc_id", "key", "begin").agg(
+        F.collect_set("at").alias("_at"), F.min("at").alias("_lo"), F.max("at").alias("_hi")
+    )
+    single = F.array(F.struct(F.col("_lo").alias("a"), F.col("_hi").alias("b")))
+    each = F.transform("_at", lambda a: F.struct(a.alias("a"), a.alias("b")))
+    ranges = F.when(F.size("_at") == F.col("_hi") - F.col("_lo") + 1, single).otherwise(each)
+    counted = by_context.select("doc_id", "key", F.explode(ranges).alias("_r")).select(
+        "doc_id", "key", F.col("_r.a").alias("begin"), (F.col("_r.b") + length).cast("int").alias("end")
     )
     return whole.unionByName(indexed).unionByName(counted)
 

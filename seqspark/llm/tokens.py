@@ -13,13 +13,6 @@ from tokenizers import Tokenizer, pre_tokenizers
 # Vocabulary files, by name, as the package public_tokenizers holds them.
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 
-# Pieces kept per worker; beyond it the memory starts anew.
-MAX_KEPT = 400_000
-
-# White space next to a space, or characters that splitters disagree on: such texts are split by the pattern.
-_RUNS = re.compile(r" \s|\s |\0")
-_ODD = re.compile(r"[\x1c-\x1f\x85\u180e]")
-
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     """The place of a vocabulary file on this machine; a path is returned as it is."""
@@ -30,11 +23,22 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+# Parts of texts whose ids a worker keeps. Beyond it the longer half goes: short words come back most.
+MAX_KEPT = 700_000
+
+# Signs that end a piece after a word and are one themselves.
+_SIGNS = frozenset(".,;:!?")
+
+# Characters that libraries disagree on whether they are white space.
+_ODD = re.compile(r"[\x1c-\x1f\x85\u180e]")
+
+
 class Encoder:
     """Encodes texts as ``encode(text, add_special_tokens=False)`` does; special strings are ordinary text.
 
-    Byte-level pair encoding treats the pieces its pattern cuts one by one. A space between two other
-    characters always starts a piece, so texts are cut there, and each distinct part is encoded once.
+    Byte-level pair encoding treats the pieces its pattern cuts one by one. A space between two characters
+    that are no white space always starts a piece, so texts are cut there, and each distinct part is encoded
+    once. Texts with other white space beside a space are cut by the pattern itself.
     """
 
     def __init__(self, path: str):
@@ -48,53 +52,91 @@ class Encoder:
         before = spec.get("pre_tokenizer") or {}
         self._cut = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
         self._pattern = regex.compile(public_tokenizers.PATTERN)
-        self._piece = Tokenizer.from_file(path)
-        self._piece.encode_special_tokens = True
-        if self._cut:
-            self._piece.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._parts: dict[str, bytes] = {}
+        self._piece = Tokenizer(self._whole.model)
+        self._piece.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Ids of a space and the key; of the key alone; and keys that make a text go another way.
+        self._after_space: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
+        self._unusual: set[str] = set()
 
     @property
     def size(self) -> int:
         return self._whole.get_vocab_size(with_added_tokens=True)
 
-    def _split(self, text: str) -> list[str]:
-        if _RUNS.search(text):
-            return self._pattern.findall(text)
-        return text.replace(" ", "\0 ").split("\0")
-
-    def _learn(self, new: list[str]) -> None:
-        cut = [self._pattern.findall(p) for p in new]
-        pieces = self._pieces
-        unseen = list(set(chain.from_iterable(cut)).difference(pieces))
-        for piece, found in zip(unseen, self._piece.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            ids = found.ids
-            pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        for part, names in zip(new, cut, strict=True):
-            self._parts[part] = b"".join([pieces[n] for n in names])
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        found = [e.ids for e in self._piece.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Ids of new parts that follow a space; a word and the sign behind it are looked up apart."""
+        known, ended, others, words = self._after_space, [], [], set()
+        for part in parts:
+            if part.isalpha():
+                words.add(part)
+            elif part[-1:] in _SIGNS and part[:-1].isalpha():
+                ended.append((part, part[:-1], part[-1]))
+            else:
+                others.append(part)
+        words.update([w for _, w, _ in ended if w not in known])
+        # Most other parts begin with a word too.
+        cut = {p: self._pattern.findall(" " + p) for p in others}
+        words.update([c[0][1:] for c in cut.values() if c[0][1:].isalpha() and c[0][1:] not in known])
+        new = list(words)
+        known.update(zip(new, self._encode_pieces([" " + w for w in new]), strict=True))
+        self._learn_pieces(_SIGNS)
+        signs = {s: self._pieces[s] for s in _SIGNS}
+        known.update([(part, known[word] + signs[sign]) for part, word, sign in ended])
+        for part in others:
+            if not part or part[0].isspace() or part[-1].isspace() or _ODD.search(part):
+                self._unusual.add(part)
+        rest = {p: c[1:] if c[0][1:].isalpha() else c for p, c in cut.items()}
+        self._learn_pieces(set(chain.from_iterable(rest.values())))
+        for part, pieces in rest.items():
+            head = known[cut[part][0][1:]] if len(pieces) < len(cut[part]) else b""
+            known[part] = head + b"".join([self._pieces[x] for x in pieces])
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self._pieces))
+        self._pieces.update(zip(new, self._encode_pieces(new), strict=True))
+
+    def _by_pattern(self, text: str) -> bytes:
+        if _ODD.search(text):
+            ids = self._whole.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        pieces = self._pattern.findall(text)
+        self._learn_pieces(set(pieces))
+        return b"".join([self._pieces[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
         if not self._cut:
-            found = self._whole.encode_batch_fast(texts, add_special_tokens=False)
-            return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-        if len(self._parts) > MAX_KEPT:
-            self._parts.clear()
-        if len(self._pieces) > MAX_KEPT:
-            self._pieces.clear()
-        split = [None if _ODD.search(t) else self._split(t) for t in texts]
-        new = set(chain.from_iterable(s for s in split if s is not None)).difference(self._parts)
-        self._learn(list(new))
-        lookup = self._parts.__getitem__
-        return [
-            b"".join(map(lookup, parts)) if parts is not None else self._plain(text)
-            for text, parts in zip(texts, split, strict=True)
-        ]
-
-    def _plain(self, text: str) -> bytes:
-        ids = self._whole.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+            found = [e.ids for e in self._whole.encode_batch_fast(texts, add_special_tokens=False)]
+            return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+        for kept in (self._after_space, self._pieces):
+            if len(kept) > MAX_KEPT:
+                middle = sorted(map(len, kept))[len(kept) // 2]
+                for key in [k for k in kept if len(k) >= middle]:
+                    del kept[key]
+                # A dictionary keeps the room of what it lost; a copy does not.
+                fresh = dict(kept)
+                kept.clear()
+                kept.update(fresh)
+        self._unusual.intersection_update(self._after_space)
+        split = [t.split(" ") for t in texts]
+        heads = [s[0] for s in split]
+        for parts in split:
+            del parts[0]
+        used = set().union(*split)
+        self._learn(used.difference(self._after_space))
+        unusual = self._unusual.intersection(used)
+        lookup = self._after_space.__getitem__
+        out = []
+        for text, head, parts in zip(texts, heads, split, strict=True):
+            if (head and head[-1].isspace()) or _ODD.search(head) or (unusual and not unusual.isdisjoint(parts)):
+                out.append(self._by_pattern(text))
+            else:
+                out.append((self._by_pattern(head) if head else b"") + b"".join(map(lookup, parts)))
+        return out
 
 
 @lru_cache(maxsize=4)
