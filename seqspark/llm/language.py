@@ -190,11 +190,10 @@ def identify_languages(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int
     return predict_languages(rows, prototypes, dimensions=dimensions, seed=seed).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def drop_unknown_language(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """``docs`` without documents that have no language: no letter, or a cosine of ``min_score`` or less."""
+def drop_unknown_language(docs: DataFrame) -> DataFrame:
+    """``docs`` without documents that have no language: those whose text has no letter."""
     found = identify_languages(docs)
-    gone = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= min_score))
-    return without(docs, gone)
+    return without(docs, found.where(F.col("lang_pred") == UNKNOWN))
 
 
 __all__ = [

@@ -138,12 +138,12 @@ def _sets(size: int):
     return rows
 
 
-def _first_paths(runs: int, depth: int):
+def _first_paths(runs: range, depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint16).reshape(-1, POSITIONS)
             ids = batch.column("cid").to_numpy()
-            for r in range(runs):
+            for r in runs:
                 owner = np.arange(len(ids))
                 path = np.full(len(ids), _mix(np.array([r + 1], dtype=np.uint64))[0])
                 for _ in range(depth):
@@ -224,56 +224,79 @@ def _brute_force(rows: DataFrame, near: float) -> DataFrame:
     return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(_near_pairs(near), "a bigint, b bigint")
 
 
-def candidate_links(classes: DataFrame, threshold: float, recall: float, near: float = NEAR) -> DataFrame:
-    """Links ``a, b`` that connect all classes sharing a path and agreeing in ``near`` of the positions."""
-    sketches = classes.select("cid", "sketch")
-    paths = classes.where("n_shingles > 0").select("cid", "sketch").mapInArrow(
-        _first_paths(runs_for(recall, threshold), DEPTH), "path bigint, cid bigint"
+def _unconnected(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``met`` with the ``label`` of their class, in buckets that hold more than one label."""
+    named = stored(
+        met.join(labels, met["cid"] == labels["node"], "left").drop("node")
+        .withColumn("label", F.coalesce("component", "cid")).drop("component"), "labelled"
     )
-    links: DataFrame | None = None
-    for depth in range(DEPTH, MAX_DEPTH + 1):
-        paths = stored(paths.distinct(), "paths")
-        counts = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).where("n > 1")
-        met = stored(paths.join(counts, "path"), "met")
-        # Small buckets: the same members met in several runs are compared once.
-        members = (
-            met.where(F.col("n") <= BUCKET).groupBy("path").agg(F.sort_array(F.collect_list("cid")).alias("members"))
-            .select("members").distinct()
-        )
-        listed = members.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("cid")).distinct()
-        found = _brute_force(
-            listed.join(sketches, "cid").select("bucket", F.lit(0).alias("part"), F.lit(0).alias("side"), "cid", "sketch"), near
-        )
-        # Large ones: what is near the first member is linked to it in one pass.
-        large = met.where(F.col("n") > BUCKET)
-        pivots = sketches.select(F.col("cid").alias("pivot"), F.col("sketch").alias("_pivot"))
-        starred = (
-            large.select("pivot", "cid").where("pivot <> cid").distinct().join(sketches, "cid").join(pivots, "pivot")
-            .mapInArrow(_near_pivot(near), "a bigint, b bigint")
-        )
-        new = stored(found.unionByName(starred).distinct(), "links")
-        links = new if links is None else links.unionByName(new)
-        if large.isEmpty():
-            return links
-        # A large bucket that is connected by now needs no more; any other is split by longer paths.
-        nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-        labels = connected_components(nodes, links)
-        named = large.join(labels, large["cid"] == labels["node"], "left").select(
-            "path", "cid", F.coalesce("component", "cid").alias("label")
-        )
-        named = stored(named, "labelled")
-        mixed = named.groupBy("path").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("path")
-        open_ = stored(named.join(mixed, "path", "left_semi"), "open")
-        if open_.isEmpty():
-            return links
-        if depth == MAX_DEPTH:
-            return links.unionByName(_blocks(open_, sketches, near))
-        paths = open_.select("path", "cid").join(sketches, "cid").select("path", "cid", "sketch").mapInArrow(
-            _longer_paths, "path bigint, cid bigint"
-        )
+    mixed = named.groupBy("path").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("path")
+    return named.join(mixed, "path", "left_semi")
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """``node, component`` of all classes that have a link."""
+    return connected_components(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), links)
+
+
+def candidate_links(classes: DataFrame, threshold: float, recall: float, near: float = NEAR) -> DataFrame:
+    """Links ``a, b`` that connect all classes sharing a path and agreeing in ``near`` of the positions.
+
+    The first quarter of the runs connects most of what there is to connect. Buckets of the other runs whose
+    members are all connected by then need no work, however large their groups are.
+    """
+    runs = runs_for(recall, threshold)
+    first = max(1, runs // 4)
+    links = labels = None
+    for wave in (range(first), range(first, runs)):
+        paths = classes.where("n_shingles > 0").select("cid", "sketch").mapInArrow(_first_paths(wave, DEPTH), "path bigint, cid bigint")
+        for depth in range(DEPTH, MAX_DEPTH + 1):
+            found, large = _meet(paths, classes.select("cid", "sketch"), labels, near)
+            links = found if links is None else links.unionByName(found)
+            if large.isEmpty():
+                break
+            # A large bucket that is connected by now is done; any other is split by longer paths.
+            labels = _components(links)
+            links = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
+            rows = stored(_unconnected(large.select("path", "cid"), labels), "open")
+            if depth == MAX_DEPTH:
+                links = links.unionByName(_blocks(rows, classes.select("cid", "sketch"), near))
+                break
+            paths = rows.join(classes.select("cid", "sketch"), "cid").select("path", "cid", "sketch").mapInArrow(
+                _longer_paths, "path bigint, cid bigint"
+            )
+        if wave.start == 0 and len(wave) < runs:
+            labels = _components(links)
+            # One link for each class says as much as all links found so far.
+            links = labels.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
     return links
 
 
+def _meet(paths: DataFrame, sketches: DataFrame, labels: DataFrame | None, near: float) -> tuple[DataFrame, DataFrame]:
+    """Links found in the buckets of ``paths``, and the rows of the buckets too large for brute force."""
+    paths = stored(paths.distinct(), "paths")
+    counts = paths.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).where("n > 1")
+    met = paths.join(counts, "path")
+    met = stored(met if labels is None else _unconnected(met, labels), "met")
+    # Small buckets: the same members met in several runs are compared once.
+    members = (
+        met.where(F.col("n") <= BUCKET).groupBy("path").agg(F.sort_array(F.collect_list("cid")).alias("members"))
+        .select("members").distinct()
+    )
+    listed = members.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("cid")).distinct()
+    compared = _brute_force(
+        listed.join(sketches, "cid").select("bucket", F.lit(0).alias("part"), F.lit(0).alias("side"), "cid", "sketch"), near
+    )
+    # Large ones: what is near the first member is linked to it in one pass.
+    large = met.where(F.col("n") > BUCKET)
+    pivots = sketches.select(F.col("cid").alias("pivot"), F.col("sketch").alias("_pivot"))
+    starred = (
+        large.select("pivot", "cid").where("pivot <> cid").distinct().join(sketches, "cid").join(pivots, "pivot")
+        .mapInArrow(_near_pivot(near), "a bigint, b bigint")
+    )
+    return stored(compared.unionByName(starred).distinct(), "links"), large
+
+
 def _near_pivot(near: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

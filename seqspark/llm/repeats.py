@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +28,20 @@ GROUP = 1_500
 AT_ONCE = 1_000
 
 _BASE = 0x9E3779B97F4A7C15
+_OTHER_BASE = 0xD6E8FEB86659FD93
+_WORD = (1 << 64) - 1
 
 
 # --- hashes and anchors ------------------------------------------------------------------------------
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+def gram_hashes(data: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
     """A hash of every ``size`` bytes in a row, from running sums; arithmetic is modulo 2**64."""
     n = len(data)
-    up = np.full(n, _BASE, dtype=np.uint64)
+    up = np.full(n, base, dtype=np.uint64)
     up[0] = 1
     up = np.cumprod(up, dtype=np.uint64)
-    down = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+    down = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
     down[0] = 1
     down = np.cumprod(down, dtype=np.uint64)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
@@ -209,10 +210,9 @@ def _index_groups(length: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["group"], AT_ONCE):
-            group, ids, keys = table.column("group").to_numpy(), table.column("doc_id").to_pylist(), table.column("key").to_pylist()
-            sides = zip(table.column("left").to_pylist(), table.column("right").to_pylist(), strict=True)
-            texts = [left[::-1] + right for left, right in sides]
-            begin = table.column("pos").to_numpy() - [len(x) for x in table.column("left").to_pylist()]
+            group, begin = table.column("group").to_numpy(), table.column("begin").to_numpy()
+            ids, keys = table.column("doc_id").to_pylist(), table.column("key").to_pylist()
+            texts = table.column("bytes").to_pylist()
             order = sorted(range(len(texts)), key=lambda i: (group[i], ids[i] is None, ids[i] or 0, keys[i], begin[i]))
             segments: list[bytearray] = []
             source: list[tuple] = []
@@ -241,15 +241,37 @@ def _marks(rows: list[tuple]) -> pa.RecordBatch:
 
 
 _MARKS = "doc_id bigint, key bigint, begin int, end int"
-_CONTEXTS = "group bigint, doc_id bigint, key bigint, pos int, left binary, right binary"
 
 
-def _context_rows(length: int, gram: int, limit: int):
-    """Bytes of the chosen contexts, before the anchor (from there outwards) and from it on.
+def _window_rows(length: int, gram: int):
+    """Strings of ``length`` of the contexts of a large group, as two hashes and their place.
 
-    Those of large groups stand once under each of the two longer strings beside the anchor: a repeat reaches
-    half of what it can to one side at least.
+    A context that is grouped by what stands before its anchor gives the strings that begin there or earlier,
+    one grouped by what follows the others.
     """
+    half = (length - gram) // 2
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        parts = []
+        for row in batch.select(["doc_id", "key", "pos", "side", "begin", "bytes"]).to_pylist():
+            data, middle = np.frombuffer(row["bytes"], dtype=np.uint8), row["pos"] - half - row["begin"]
+            data, first = (data[: max(0, middle + length)], 0) if row["side"] == 1 else (data[max(0, middle) :], max(0, middle))
+            if len(data) < length:
+                continue
+            n = len(data) - length + 1
+            parts.append(pa.RecordBatch.from_arrays([
+                pa.array(gram_hashes(data, length).view(np.int64)),
+                pa.array(gram_hashes(data, length, _OTHER_BASE).view(np.int64)),
+                pa.array([row["doc_id"]] * n, pa.int64()), pa.array([row["key"]] * n, pa.int64()),
+                pa.array([row["pos"]] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int32) + np.int32(row["begin"] + first)),
+            ], ["w", "v", "doc_id", "key", "pos", "at"]))
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
+
+    return rows
+
+
+def _context_rows(length: int, gram: int, limit: int):
+    """Bytes of the chosen contexts; those of large groups once under each longer string beside the anchor."""
     reach = length - gram
     half = reach // 2
 
@@ -261,21 +283,20 @@ def _context_rows(length: int, gram: int, limit: int):
                 p, n = wanted["pos"], len(data)
                 begin, end = max(0, p - reach), min(n, p + length)
                 if wanted["m"] <= limit:
-                    names = [wanted["anchor"]]
+                    names = [(0, wanted["anchor"])]
                 else:
                     sides = [(p - half, p + gram), (p, p + gram + half)]
                     names = [
-                        int.from_bytes(hashlib.blake2b(data[b:e] + bytes([side]), digest_size=8).digest(), "little", signed=True)
-                        for side, (b, e) in enumerate(sides) if b >= 0 and e <= n
+                        (side, int.from_bytes(hashlib.blake2b(data[b:e] + bytes([side]), digest_size=8).digest(), "little", signed=True))
+                        for side, (b, e) in enumerate(sides, 1) if b >= 0 and e <= n
                     ]
-                out += [(name, row["doc_id"], row["key"], p, data[begin:p][::-1], data[p:end]) for name in names]
+                out += [(name, row["doc_id"], row["key"], p, side, begin, data[begin:end]) for side, name in names]
         if not out:
             return None
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         columns = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["group", "doc_id", "key", "pos", "left", "right"]
-        )
+        names = ["group", "doc_id", "key", "pos", "side", "begin", "bytes"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     return rows
 
@@ -305,59 +326,35 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     wanted = contexts.join(several, "anchor").select("doc_id", "key", F.struct("anchor", "pos", "m").alias("w"))
     wanted = stored(wanted.groupBy("doc_id", "key").agg(F.collect_list("w").alias("wanted")), "wanted")
     chosen = join_on(docs, broadcast_if_small(wanted), ["doc_id", "key"]).select("doc_id", "key", "text", "wanted")
-    texts = stored(chosen.mapInArrow(per_batch(_context_rows(length, gram, group)), _CONTEXTS), "context-texts")
-    found = [whole]
-    while True:
-        sizes = stored(texts.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "group-sizes")
-        small = texts.join(sizes.where(F.col("_n") <= group), "group", "left_semi")
-        found.append(small.repartition("group").sortWithinPartitions("group").mapInArrow(_index_groups(length), _MARKS))
-        many = broadcast_if_small(stored(sizes.where(F.col("_n") > group).select("group"), "large-groups"))
-        if many.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        marks, texts = _split_large(texts.join(many, "group", "left_semi"), length)
-        found.append(marks)
-        texts = stored(texts, "context-texts")
-
-
-def _split_large(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Marks of what all contexts of a group share, and the contexts again in smaller groups.
-
-    The least and the greatest of some strings share what all of them share. If that reaches from the left
-    to the right of the anchor over ``length`` bytes, it is a repeat everywhere. Any other repeat goes on at
-    one side by a byte at least, and then so does the context it is shared with: contexts are grouped anew by
-    the shared bytes and the next one, to the left and to the right.
-    """
-    ends = rows.groupBy("group").agg(
-        F.min("left").alias("l0"), F.max("left").alias("l1"), F.min("right").alias("r0"), F.max("right").alias("r1")
+    texts = stored(
+        chosen.mapInArrow(
+            per_batch(_context_rows(length, gram, group)), "group bigint, doc_id bigint, key bigint, pos int, side int, begin int, bytes binary"
+        ),
+        "context-texts",
     )
-    shared = broadcast_if_small(stored(ends.mapInArrow(_shared_lengths, "group bigint, l int, r int"), "shared-lengths"))
-    known = rows.join(shared, "group")
-    marks = known.where(F.col("l") + F.col("r") >= length).select(
-        "doc_id", "key", (F.col("pos") - F.col("l")).alias("begin"), (F.col("pos") + F.col("r")).alias("end")
+    sizes = texts.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
+    small = texts.join(sizes.where(F.col("_n").between(2, group)), "group", "left_semi")
+    indexed = small.repartition("group").sortWithinPartitions("group").mapInArrow(_index_groups(length), _MARKS)
+
+    # Groups that stay large share a long string everywhere; their strings of the full length are counted.
+    large = texts.join(sizes.where(F.col("_n") > group), "group", "left_semi")
+    windows = large.mapInArrow(
+        per_batch(_window_rows(length, gram), "bytes"), "w bigint, v bigint, doc_id bigint, key bigint, pos int, at int"
     )
-    parts = []
-    for side, other, n in (("left", "right", "l"), ("right", "left", "r")):
-        # A repeat of the least length that holds the next byte on this side reaches so far on the other.
-        reach = F.greatest(F.lit(length) - F.col(n) - 1, F.lit(0))
-        name = F.xxhash64("group", F.lit(side), F.substring(F.col(side), F.lit(1), F.col(n) + 1))
-        part = known.where(F.octet_length(side) > F.col(n)).select(
-            name.alias("group"), "doc_id", "key", "pos", side, F.substring(F.col(other), F.lit(1), reach).alias(other)
-        )
-        parts.append(part.where(F.octet_length("left") + F.octet_length("right") >= length).select("group", "doc_id", "key", "pos", "left", "right"))
-    return marks, parts[0].unionByName(parts[1])
-
-
-def _shared_lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def shared(a: bytes, b: bytes) -> int:
-        n = min(len(a), len(b))
-        return next((i for i in range(n) if a[i] != b[i]), n)
-
-    for batch in batches:
-        rows = batch.to_pylist()
-        yield pa.RecordBatch.from_arrays([
-            batch.column("group"), pa.array([shared(r["l0"], r["l1"]) for r in rows], pa.int32()),
-            pa.array([shared(r["r0"], r["r1"]) for r in rows], pa.int32()),
-        ], ["group", "l", "r"])
+    place = [f(c).alias(f"{f.__name__}_{c}") for c in ("doc_id", "key", "at") for f in (F.min, F.max)]
+    elsewhere = "NOT (min_doc_id <=> max_doc_id AND min_key = max_key AND min_at = max_at)"
+    repeated = windows.groupBy("w", "v").agg(*place).where(elsewhere).select("w", "v")
+    # At most length - gram + 1 strings of a context; those in a row are one range.
+    by_context = windows.join(repeated, ["w", "v"]).groupBy("doc_id", "key", "pos").agg(
+        F.collect_set("at").alias("_at"), F.min("at").alias("_lo"), F.max("at").alias("_hi")
+    )
+    single = F.array(F.struct(F.col("_lo").alias("a"), F.col("_hi").alias("b")))
+    each = F.transform("_at", lambda a: F.struct(a.alias("a"), a.alias("b")))
+    ranges = F.when(F.size("_at") == F.col("_hi") - F.col("_lo") + 1, single).otherwise(each)
+    counted = by_context.select("doc_id", "key", F.explode(ranges).alias("_r")).select(
+        "doc_id", "key", F.col("_r.a").alias("begin"), (F.col("_r.b") + length).cast("int").alias("end")
+    )
+    return whole.unionByName(indexed).unionByName(counted)
 
 
 def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
