@@ -156,8 +156,8 @@ def anchor_align(
     """Place every sequence of a group on the axis of the group's longest sequence (lowest id on ties).
 
     K-mers occurring once in a sequence and once in the anchor vote for an offset; most votes win, then
-    the smallest shift, then the smaller offset. No gaps are opened inside a sequence. Without a shared
-    k-mer the offset is 0. Groups of one are left out. Only anchors are compared with members, never
+    the smallest shift, then the smaller offset. No gaps are opened inside a sequence, and what stands over
+    the anchor's ends widens the axis of the group: every base is kept. Without a shared k-mer the offset is 0. Groups of one are left out. Only anchors are compared with members, never
     members with each other.
     """
     folded = df.select(*by, row_id, fold_case(seq).alias("seq"))
@@ -182,18 +182,19 @@ def anchor_align(
     )
     best = Window.partitionBy(row_id).orderBy(F.desc("votes"), F.abs("offset"), "offset")
     won = votes.withColumn("_r", F.row_number().over(best)).where(F.col("_r") == 1).drop("_r")
-    placed = join_groups(folded.join(won, row_id, "left"), sized, by, row_id, max_bytes=max_broadcast).select(
-        *by, row_id, "anchor_id", F.col("width").cast("int").alias("width"), "seq",
+    placed = settle(join_groups(folded.join(won, row_id, "left"), sized.select(*by, "anchor_id"), by, row_id, max_bytes=max_broadcast).select(
+        *by, row_id, "anchor_id", "seq",
         F.coalesce("offset", F.lit(0)).alias("offset"),
         F.coalesce("votes", F.lit(0)).alias("votes"),
+    ))
+    # The axis of a group runs from the first place any member takes to the last, so that nothing is cut.
+    axis = placed.groupBy(*by).agg(
+        F.min("offset").alias("_from"), F.max(F.col("offset") + F.length("seq")).alias("_to")
     )
-    shift = F.col("offset").cast("int")
-    moved = F.when(shift >= 0, F.concat(F.repeat(F.lit(GAP), shift), F.col("seq"))).otherwise(
-        F.substring(F.col("seq"), 1 - shift, F.length("seq"))
-    )
-    return placed.select(
+    pad = (F.col("offset") - F.col("_from")).cast("int")
+    return join_groups(placed, axis, by, row_id, max_bytes=max_broadcast).select(
         *by, row_id, "anchor_id", "offset", "votes",
-        F.rpad(moved, F.col("width"), F.lit(GAP)).alias("aligned"),
+        F.rpad(F.concat(F.repeat(F.lit(GAP), pad), F.col("seq")), (F.col("_to") - F.col("_from")).cast("int"), F.lit(GAP)).alias("aligned"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, fold_lower, pieces
+from seqspark.operators.stats import exact_sum
 from seqspark.session import width
 
 # Characters per piece when k-mers are exploded: `substring` walks from the start of its string,
@@ -73,12 +74,12 @@ def kmer_index(
     """Per k-mer (and group): rows covered, their summed weight, and the first occurrence.
 
     All four aggregates have fixed-width buffers, so both halves are hash aggregates and a frequent
-    k-mer is combined before the shuffle. The weight sum is rounded: rankings must not hang on the order
-    of a floating-point sum.
+    k-mer is combined before the shuffle. Weights are added as decimals: rankings must not hang on the order
+    of a floating-point sum, nor on digits cut off.
     """
     return posted.groupBy(*by, F.col("kmer").alias("primer")).agg(
         F.count(F.lit(1)).alias("coverage"),
-        F.round(F.sum(weight), 6).alias("total_expr"),
+        exact_sum(weight).alias("total_expr"),
         F.min(row_id).alias("first_row"),
         F.min_by("pos", row_id).alias("first_pos"),
     )

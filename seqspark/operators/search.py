@@ -82,10 +82,11 @@ def cap_hits(hits: DataFrame, limit: int = MAX_HITS) -> DataFrame:
 
 
 def hit_summary(
-    primers: DataFrame, hits: DataFrame, limit: int = MAX_HITS, estimates: DataFrame | None = None
+    primers: DataFrame, hits: DataFrame, limit: int | None = MAX_HITS, estimates: DataFrame | None = None
 ) -> DataFrame:
-    """Hits per primer, primers without any included. ``estimates`` replaces the total of primers that
-    were only estimated; ``capped`` marks a count that stopped at the limit."""
+    """Hits per primer, primers without any included. ``hits`` are all hits, so counts are exact;
+    ``capped`` marks primers of which a listing of ``limit`` hits leaves something out (None: no limit).
+    ``estimates`` replaces the total of primers that were only estimated."""
     counted = hits.groupBy("primer").agg(F.count(F.lit(1)).alias("_hits"))
     wanted = primers.select(fold_case("primer").alias("primer")).distinct()
     known = wanted.join(counted, "primer", "left").select(
@@ -100,7 +101,7 @@ def hit_summary(
         "genome_hits",
         F.col("_estimate").isNotNull().alias("estimated"),
         F.coalesce("_estimate", "genome_hits").alias("estimated_total"),
-        (F.col("genome_hits") >= limit).alias("capped"),
+        (F.col("genome_hits") > limit if limit is not None else F.lit(False)).alias("capped"),
     )
 
 

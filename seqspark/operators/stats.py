@@ -101,11 +101,25 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), nam
     )
 
 
+def exact_sum(column: str) -> Column:
+    """Sum that does not hang on the order of the rows: of decimals with ten digits after the point.
+
+    Where a value is beyond them, the floating-point sum stands in.
+    """
+    value = F.col(column).cast("double")
+    exact = value.try_cast("decimal(28,10)")
+    return F.when(F.count(exact) == F.count(value), F.sum(exact).cast("double")).otherwise(F.sum(value))
+
+
+def exact_mean(column: str) -> Column:
+    return F.when(F.count(column) > 0, exact_sum(column) / F.count(column))
+
+
 def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
     """Count, mean, sd (n-1), min, max, quartiles and positive share per group of a long table."""
     summary = long.groupBy(*by).agg(
         F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
+        exact_mean(value).alias("mean"),
         F.stddev_samp(value).alias("sd"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
@@ -148,7 +162,7 @@ def condition_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 
 def condition_by_cluster(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Mean per-row condition sum for each cluster."""
-    return condition_totals(df, columns, [cluster]).groupBy(cluster, "condition").agg(F.avg("value").alias("mean"))
+    return condition_totals(df, columns, [cluster]).groupBy(cluster, "condition").agg(exact_mean("value").alias("mean"))
 
 
 def expression_matrix(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:

@@ -24,7 +24,8 @@ class Settings:
     anchor_k: int = 12
     top_global: int = primers.TOP_GLOBAL
     top_cluster: int = primers.TOP_CLUSTER
-    max_hits: int = search.MAX_HITS
+    # Hits listed per primer; None lists all. Counts are exact either way.
+    max_hits: int | None = None
     min_samples: int = cluster.MIN_SAMPLES
     min_cluster_size: int | None = None
     literal: bool = False
@@ -87,7 +88,9 @@ def analyse(
     if samples:
         out["expression_matrix"] = stats.expression_matrix(rows, samples)
 
+    # Settled: the index over all rows and the one per cluster read the same postings.
     posted = kmers.postings(rows, settings.k, keep=["cluster", "total_expr"])
+    posted = settle(posted)
     index = settle(kmers.kmer_index(posted))
     by_cluster = kmers.kmer_index(posted, by=["cluster"])
     selected = settle(primers.select_primers(index, settings.top_global))
@@ -103,9 +106,9 @@ def analyse(
         covered.withColumnRenamed("primer", "kmer"), rows
     ))
     if genome is not None:
-        hits = settle(search.cap_hits(settle(search.search_primers(wanted, genome)), settings.max_hits))
+        hits = settle(search.search_primers(wanted, genome))
         out |= {
-            "primer_hits": hits,
+            "primer_hits": hits if settings.max_hits is None else search.cap_hits(hits, settings.max_hits),
             "primer_hit_summary": search.hit_summary(wanted, hits, settings.max_hits),
             "primer_hits_by_contig": search.hits_by_contig(hits),
             "primer_row_hits": search.primer_row_hits(covered.join(selected.select("primer"), "primer"), rows, hits),

@@ -157,11 +157,12 @@ u AS (SELECT cluster, row_id, kmer, min(pos) AS pos FROM kmers WHERE NOT contain
 v AS (SELECT u.row_id, m.pos - u.pos AS off, count(*) AS votes FROM u JOIN a ON a.cluster = u.cluster
   JOIN u m ON m.row_id = a.anchor_id AND m.kmer = u.kmer GROUP BY ALL),
 w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY votes DESC, abs(off), off) AS r FROM v) WHERE r = 1),
-p AS (SELECT c.cluster, c.row_id, a.anchor_id, a.width, c.seq, coalesce(w.off, 0) AS off, coalesce(w.votes, 0) AS votes
-  FROM chats c JOIN a USING (cluster) LEFT JOIN w USING (row_id))
+p AS (SELECT c.cluster, c.row_id, a.anchor_id, c.seq, coalesce(w.off, 0) AS off, coalesce(w.votes, 0) AS votes
+  FROM chats c JOIN a USING (cluster) LEFT JOIN w USING (row_id)),
+x AS (SELECT cluster, min(off) AS lo, max(off + length(seq)) AS hi FROM p GROUP BY cluster)
 SELECT cluster, row_id, anchor_id, off AS "offset", votes,
-  substr((CASE WHEN off >= 0 THEN repeat('-', off) || seq ELSE substr(seq, 1 - off) END) || repeat('-', width), 1, width) AS aligned
-FROM p""")
+  repeat('-', off - lo) || seq || repeat('-', hi - off - length(seq)) AS aligned
+FROM p JOIN x USING (cluster)""")
 def anchor_align(spark: SparkSession, sf: str) -> DataFrame:
     return align.anchor_align(i.chats(spark, sf), 12)
 

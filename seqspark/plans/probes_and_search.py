@@ -175,7 +175,7 @@ def capped_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("hit_summary", f"""{_SEARCH_SQL}
 SELECT primer, count(chrom) AS genome_hits, false AS estimated, count(chrom) AS estimated_total,
-  count(chrom) >= 10000 AS capped FROM probes LEFT JOIN hits USING (primer) GROUP BY primer""")
+  count(chrom) > 10000 AS capped FROM probes LEFT JOIN hits USING (primer) GROUP BY primer""")
 def hit_summary(spark: SparkSession, sf: str) -> DataFrame:
     return search.hit_summary(i.probes(spark, sf), _hits(spark, sf))
 

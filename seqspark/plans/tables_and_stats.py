@@ -187,7 +187,7 @@ def total_expr_stats(spark: SparkSession, sf: str) -> DataFrame:
 WITH {i.LINES_SQL},
 t AS (SELECT unnest(['gross', 'qty', 'rate']) AS condition, unnest([1, 1, 2]) AS replicates,
   unnest([A1_gross_r1, B1_qty_r1, C1_rate_r1 + C2_rate_r2]) AS v FROM lines)
-SELECT condition, replicates, round(avg(v), 4) AS mean, round(quantile_cont(v, 0.5), 4) AS median,
+SELECT condition, replicates, CAST(round(CAST(CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean, round(quantile_cont(v, 0.5), 4) AS median,
   round(stddev_samp(v), 4) AS sd FROM t GROUP BY ALL""")
 def expr_by_condition(spark: SparkSession, sf: str) -> DataFrame:
     return _round(stats.condition_stats(i.lines(spark, sf), i.LINE_SAMPLES), ["mean", "median", "sd"])
@@ -241,7 +241,7 @@ def expression_matrix(spark: SparkSession, sf: str) -> DataFrame:
 WITH {i.LINES_SQL},
 t AS (SELECT cluster, unnest(['gross', 'qty', 'rate']) AS condition,
   unnest([A1_gross_r1, B1_qty_r1, C1_rate_r1 + C2_rate_r2]) AS v FROM lines)
-SELECT cluster, condition, round(avg(v), 4) AS mean FROM t GROUP BY ALL""")
+SELECT cluster, condition, CAST(round(CAST(CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean FROM t GROUP BY ALL""")
 def condition_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return _round(stats.condition_by_cluster(i.lines(spark, sf), i.LINE_SAMPLES), ["mean"])
 

@@ -128,10 +128,25 @@ def test_anchor(spark, limit):
     got = {r["row_id"]: r for r in align.anchor_align(df, 12, max_broadcast=limit).collect()}
     assert set(got) == {9, 10, 11, 12, 13}
     assert {r["anchor_id"] for r in got.values()} == {10}
-    assert got[11]["aligned"] == "-" * 15 + base[15:100] + "-" * 20
-    assert (got[12]["offset"], got[12]["aligned"]) == (-2, base[:60] + "-" * 60)
+    assert got[11]["aligned"] == "--" + "-" * 15 + base[15:100] + "-" * 20
+    assert (got[12]["offset"], got[12]["aligned"]) == (-2, "GG" + base[:60] + "-" * 60)
     assert (got[13]["offset"], got[13]["votes"]) == (0, 0)
-    assert got[10]["aligned"] == base
+    assert got[10]["aligned"] == "--" + base
+
+
+def test_alignment_keeps_every_base(spark):
+    """Members that stand over the anchor on either side, in groups of different widths."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(4):
+        base = "".join(rng.choice("ACGT") for _ in range(80))
+        for n in range(8):
+            a, b = sorted(rng.sample(range(81), 2))
+            rows.append((g, 10 * g + n, rng.choice(["", "TTTTT"]) + base[a:b] + rng.choice(["", "GGGGGGG"])))
+    df = spark.createDataFrame(rows, "cluster int, row_id bigint, seq string")
+    got = align.anchor_align(df, 8).collect()
+    assert {r["row_id"]: r["aligned"].replace("-", "") for r in got} == {i: s for _, i, s in rows}
+    assert all(len({len(r["aligned"]) for r in got if r["cluster"] == g}) == 1 for g in range(4))
 
 
 def test_families_align_on_themselves(spark, data):

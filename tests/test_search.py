@@ -65,11 +65,15 @@ def test_cap_summary_and_contigs(spark, primers):
     for p in {p.upper() for p in PRIMERS}:
         want = sorted(_naive(p), key=lambda h: (h[2], h[5], h[3]))[:3]
         assert sorted(r for r in _rows(capped) if r[0] == p) == sorted(want)
-    summary = {r["primer"]: r for r in search.hit_summary(primers, capped, 3).collect()}
+    summary = {r["primer"]: r for r in search.hit_summary(primers, hits, 3).collect()}
     assert (summary["GGGGG"]["genome_hits"], summary["GGGGG"]["capped"]) == (0, False)
-    assert (summary["AAAA"]["genome_hits"], summary["AAAA"]["capped"]) == (3, True)
+    total = len(_naive("AAAA"))
+    assert (summary["AAAA"]["genome_hits"], summary["AAAA"]["capped"]) == (total, True)
+    # Exactly as many hits as the limit: nothing is left out.
+    exact = {r["primer"]: r["capped"] for r in search.hit_summary(primers, hits, total).collect()}
+    assert exact["AAAA"] is False
     estimate = spark.createDataFrame([("GGGGG", 0)], "primer string, estimated_total bigint")
-    flagged = {r["primer"]: r for r in search.hit_summary(primers, capped, 3, estimate).collect()}
+    flagged = {r["primer"]: r for r in search.hit_summary(primers, hits, 3, estimate).collect()}
     assert (flagged["GGGGG"]["estimated"], flagged["GGGGG"]["estimated_total"]) == (True, 0)
     assert flagged["CG"]["estimated"] is False
     running = {(r["primer"], r["chrom"]): (r["hits"], r["running_total"]) for r in search.hits_by_contig(hits).collect()}

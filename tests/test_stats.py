@@ -123,3 +123,15 @@ def test_labels(spark):
     assert got == ["c:1-?", "?:2-3"]
     labels = spark.createDataFrame([(-1,), (4,)], "c int").select(cluster_label("c")).collect()
     assert [r[0] for r in labels] == ["Noise", "C4"]
+
+
+def test_means_do_not_hang_on_partitioning(spark):
+    """Sums of tenths and hundredths in any order: the same bits, however the rows are spread."""
+    rows = [(i % 3, 0.1 * (i % 7), 0.01 * (i % 13)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "cluster int, A1_x_r1 double, A1_y_r2 double")
+    found = set()
+    for parts in (1, 3, 8, 64):
+        spread = df.repartition(parts, "A1_x_r1", "cluster")
+        got = stats.condition_by_cluster(spread, ["A1_x_r1", "A1_y_r2"])
+        found.add(tuple(sorted(map(tuple, got.collect()))))
+    assert len(found) == 1
