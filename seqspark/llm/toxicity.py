@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqspark.llm.common import id_remainder, per_batch, text_or_empty
+from seqspark.llm.common import id_remainder, per_batch, settle, text_or_empty
 
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
@@ -363,11 +363,14 @@ def labelled_sample(
 ) -> tuple[list[str], list[int]]:
     """Texts and labels to learn from: ``per_label`` rows of each label at most, drawn by a hash of the id."""
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
-    rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= most_chars)
-    joined = rows.join(known, F.col("doc_id") == F.col("_id"))
-    order = [F.xxhash64(F.col("doc_id"), F.lit(1)), F.col("doc_id"), F.col("text")]
-    parts = [joined.where(F.col("_toxic") == value).orderBy(*order).limit(per_label).select("text", "_toxic") for value in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).collect()
+    # The draw moves ids and lengths; texts are looked up for the ids drawn, at most two times per_label.
+    sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("_size")).where(F.col("_size") <= most_chars)
+    joined = sizes.join(known, F.col("doc_id") == F.col("_id")).select("_id", "_toxic").distinct()
+    order = [F.xxhash64(F.col("_id"), F.lit(1)), F.col("_id")]
+    parts = [joined.where(F.col("_toxic") == value).orderBy(*order).limit(per_label) for value in (0, 1)]
+    drawn = F.broadcast(settle(parts[0].unionByName(parts[1])))
+    texts = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= most_chars)
+    rows = texts.join(drawn, F.col("doc_id") == F.col("_id")).select("text", "_toxic").distinct().collect()
     rows.sort(key=lambda r: (zlib.crc32(r["text"].encode("utf-8", "surrogatepass")), r["text"]))
     return [r["text"] for r in rows], [r["_toxic"] for r in rows]
 
