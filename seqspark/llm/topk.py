@@ -16,7 +16,7 @@ QUERY_BLOCK = 1_024
 SCALE = 64
 
 # Terms whose contributions are added at a time.
-STEP = 8
+STEP = 16
 
 
 class Postings:
@@ -32,7 +32,8 @@ class Postings:
         self.ids, self.vectors = ids[order], vectors[order]
         self.low, self.high = self.vectors.min(axis=0), self.vectors.max(axis=0)
         # Term t < d: dimension t, weights above the smallest value. Term d + t: below the largest.
-        self.weights = np.concatenate([(self.vectors - self.low).T, (self.high - self.vectors).T])
+        # Held as doubles, in which whole numbers below 2**53 add and multiply exactly.
+        self.weights = np.ascontiguousarray(np.concatenate([(self.vectors - self.low).T, (self.high - self.vectors).T]), dtype=np.float64)
         self.most = self.weights.max(axis=1)
         # Lists are made when a query first opens them.
         self._lists: dict[int, np.ndarray] = {}
@@ -49,7 +50,7 @@ class Postings:
         """Ids and scores of the ``k`` best rows but ``own``, ties to the smaller id."""
         d = len(query)
         terms = np.where(query >= 0, np.arange(d), np.arange(d) + d)[query != 0]
-        factors = np.abs(query)[query != 0]
+        factors = np.abs(query)[query != 0].astype(np.float64)
         base = int(np.where(query >= 0, query * self.low, query * self.high).sum())
         bounds = factors * self.most[terms]
         order = np.argsort(-bounds, kind="stable")
@@ -79,15 +80,20 @@ class Postings:
                 if len(listed) == len(self.ids):
                     break
             rows = np.flatnonzero(seen & allowed)
-        scores = np.full(len(rows), base, dtype=np.int64)
+        scores = np.full(len(rows), base, dtype=np.float64)
         for at in range(0, len(terms), STEP):
             stop = min(at + STEP, len(terms))
-            scores += factors[at:stop] @ self.weights[np.ix_(terms[at:stop], rows)]
+            listed = self.weights[terms[at:stop]]
+            # Whole lists while most rows are alive, else the weights of those alone.
+            part = factors[at:stop] @ listed if len(rows) == len(self.ids) else factors[at:stop] @ listed[:, rows]
+            scores += part
             if len(scores) > k:
-                reached = int(np.partition(scores, len(scores) - k)[len(scores) - k])
-                least = reached if least is None else max(least, reached)
+                if least is None or at == 0:
+                    reached = int(np.partition(scores, len(scores) - k)[len(scores) - k])
+                    least = reached if least is None else max(least, reached)
                 alive = scores + rest[stop] >= least
                 rows, scores = rows[alive], scores[alive]
+        scores = scores.astype(np.int64)
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows[best]], scores[best]
 
