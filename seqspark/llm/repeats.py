@@ -24,6 +24,9 @@ GRAM = 64
 # Different contexts of one anchor that are indexed together; more are split by longer strings around it.
 GROUP = 1_500
 
+# Starts of strings that are judged together in groups that stay larger.
+CELL = 13
+
 # Contexts a task indexes at a time, in whole groups.
 AT_ONCE = 1_000
 
@@ -243,33 +246,93 @@ def _marks(rows: list[tuple]) -> pa.RecordBatch:
 _MARKS = "doc_id bigint, key bigint, begin int, end int"
 
 
-def _window_rows(length: int, gram: int):
-    """Strings of ``length`` of the contexts of a large group, as two hashes and their place.
+def _two_hashes(data: np.ndarray, starts: np.ndarray, size: int) -> list[pa.Array]:
+    """Both hashes of the ``size`` bytes at each start; the sums run over all of ``data`` once."""
+    return [pa.array(gram_hashes(data, size, base)[starts].view(np.int64)) for base in (_BASE, _OTHER_BASE)]
+
+
+def _side_starts(row: dict, length: int, gram: int) -> tuple[int, int]:
+    """First and last start, counted from the anchor, of the strings a context of a large group gives.
 
     A context that is grouped by what stands before its anchor gives the strings that begin there or earlier,
-    one grouped by what follows the others.
+    one grouped by what follows the others. A text's begin and end cut both off.
+    """
+    reach, half = length - gram, (length - gram) // 2
+    first, last = (-reach, -half) if row["side"] == 1 else (-half, 0)
+    return max(first, row["begin"] - row["pos"]), min(last, row["begin"] + len(row["bytes"]) - length - row["pos"])
+
+
+_CELLS = "w bigint, v bigint, ew bigint, ev bigint, doc_id bigint, key bigint, pos int, side int, at int, n int, core int"
+
+
+def _cell_rows(length: int, gram: int, cell: int):
+    """Starts of a context in cells of ``cell``, the same ones around every anchor.
+
+    All strings of a cell hold its core (``w, v``) and are held by its span (``ew, ev``): if the core is
+    found once only, so is each string, and if the span is found elsewhere, so is each.
     """
-    half = (length - gram) // 2
+    core, span, reach = length - cell + 1, length + cell - 1, length - gram
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        parts = []
+        out, places, held = [], [], 0
         for row in batch.select(["doc_id", "key", "pos", "side", "begin", "bytes"]).to_pylist():
-            data, middle = np.frombuffer(row["bytes"], dtype=np.uint8), row["pos"] - half - row["begin"]
-            data, first = (data[: max(0, middle + length)], 0) if row["side"] == 1 else (data[max(0, middle) :], max(0, middle))
-            if len(data) < length:
-                continue
-            n = len(data) - length + 1
-            parts.append(pa.RecordBatch.from_arrays([
-                pa.array(gram_hashes(data, length).view(np.int64)),
-                pa.array(gram_hashes(data, length, _OTHER_BASE).view(np.int64)),
-                pa.array([row["doc_id"]] * n, pa.int64()), pa.array([row["key"]] * n, pa.int64()),
-                pa.array([row["pos"]] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int32) + np.int32(row["begin"] + first)),
-            ], ["w", "v", "doc_id", "key", "pos", "at"]))
-        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
+            low, high = _side_starts(row, length, gram)
+            shift, end = row["pos"] - row["begin"], row["begin"] + len(row["bytes"])
+            # Cells lie at whole multiples from the farthest start, whatever a text's ends cut off.
+            for c in range((low + reach) // cell * cell - reach, high + 1, cell):
+                a, b = max(c, low), min(c + cell - 1, high)
+                whole = c + shift >= 0 and row["pos"] + c + span <= end
+                at = row["pos"] + c + cell - 1
+                out.append((row["doc_id"], row["key"], row["pos"], row["side"], row["pos"] + a, b - a + 1, at))
+                places.append((held + shift + c + cell - 1, held + shift + c if whole else -1))
+            held += len(row["bytes"])
+        if not out:
+            return None
+        # A blank tail lets every span be taken; those that are not whole are null.
+        data = np.frombuffer(b"".join(batch.column("bytes").to_pylist()) + bytes(span), dtype=np.uint8)
+        inner, outer = (np.array(x, dtype=np.int64) for x in zip(*places, strict=True))
+        gone = outer < 0
+        spans_ = [pa.array(h.to_numpy(), mask=gone) for h in _two_hashes(data, np.maximum(outer, 0), span)]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [*_two_hashes(data, inner, core), *spans_, *columns],
+            ["w", "v", "ew", "ev", "doc_id", "key", "pos", "side", "at", "n", "core"],
+        )
 
     return rows
 
 
+def _window_rows(length: int):
+    """Strings of ``length`` in the cells of a context that its cores and spans leave open."""
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out, starts, held = [], [], 0
+        for row in batch.select(["doc_id", "key", "pos", "begin", "bytes", "cells"]).to_pylist():
+            for found in row["cells"]:
+                for at in range(found["at"], found["at"] + found["n"]):
+                    out.append((row["doc_id"], row["key"], row["pos"], at))
+                    starts.append(held + at - row["begin"])
+            held += len(row["bytes"])
+        if not out:
+            return None
+        data = np.frombuffer(b"".join(batch.column("bytes").to_pylist()), dtype=np.uint8)
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [*_two_hashes(data, np.array(starts, dtype=np.int64), length), *columns], ["w", "v", "doc_id", "key", "pos", "at"]
+        )
+
+    return rows
+
+
+def _found_elsewhere(rows: DataFrame, w: str, v: str, at: str) -> DataFrame:
+    """Hashes ``_w, _v`` that stand at two places or more; small as a rule, and broadcast if measured so."""
+    place = F.xxhash64("doc_id", "key", at)
+    found = rows.groupBy(F.col(w).alias("_w"), F.col(v).alias("_v")).agg(F.min(place).alias("_lo"), F.max(place).alias("_hi"))
+    return broadcast_if_small(stored(found.where("_lo <> _hi").select("_w", "_v"), "found-elsewhere"))
+
+
 def _context_rows(length: int, gram: int, limit: int):
     """Bytes of the chosen contexts; those of large groups once under each longer string beside the anchor."""
     reach = length - gram
@@ -301,7 +364,7 @@ def _context_rows(length: int, gram: int, limit: int):
     return rows
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, cell: int = CELL) -> DataFrame:
     """Covered byte ranges ``doc_id, key, begin, end`` (they may overlap) of settled ``(doc_id, key, text)`` rows."""
     reach = length - gram
     places = stored(
@@ -336,16 +399,35 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     small = texts.join(sizes.where(F.col("_n").between(2, group)), "group", "left_semi")
     indexed = small.repartition("group").sortWithinPartitions("group").mapInArrow(_index_groups(length), _MARKS)
 
-    # Groups that stay large share a long string everywhere; their strings of the full length are counted.
+    # Groups that stay large share a long string everywhere; their strings of the full length are counted,
+    # cell by cell first, and one by one only where a cell holds the end of a repeat.
     large = texts.join(sizes.where(F.col("_n") > group), "group", "left_semi")
-    windows = large.mapInArrow(
-        per_batch(_window_rows(length, gram), "bytes"), "w bigint, v bigint, doc_id bigint, key bigint, pos int, at int"
+    cells = stored(large.mapInArrow(per_batch(_cell_rows(length, gram, cell), "bytes"), _CELLS), "cells")
+    cores = _found_elsewhere(cells, "w", "v", "core")
+    inside = stored(cells.join(cores, (F.col("w") == F.col("_w")) & (F.col("v") == F.col("_v")), "left_semi"), "open-cells")
+    whole_cells = _found_elsewhere(inside.where("ew IS NOT NULL").withColumn("_span", F.col("core") - cell + 1), "ew", "ev", "_span")
+    same_span = (F.col("ew") == F.col("_w")) & (F.col("ev") == F.col("_v"))
+    repeated_cells = stored(inside.join(whole_cells, same_span, "left_semi"), "repeated-cells")
+    open_cells = stored(inside.join(whole_cells, same_span, "left_anti"), "cells-of-ends")
+    by_cells = repeated_cells.select(
+        "doc_id", "key", F.col("at").alias("begin"), (F.col("at") + F.col("n") - 1 + length).alias("end")
+    )
+    # A string of an open cell may stand in a repeated one too: one of each is taken along.
+    place = ["doc_id", "key", "pos", "at", "n"]
+    one = repeated_cells.groupBy("w", "v", "ew", "ev", "side").agg(F.min(F.struct(*place)).alias("_one"))
+    one = one.join(open_cells.select("w", "v").distinct(), ["w", "v"], "left_semi").select("_one.*", "side")
+    left = open_cells.select(*place, "side").unionByName(one).groupBy("doc_id", "key", "pos", "side").agg(
+        F.collect_list(F.struct("at", "n")).alias("cells")
+    )
+    left = broadcast_if_small(stored(left, "cells-left"))
+    windows = join_on(large, left, ["doc_id", "key", "pos", "side"]).mapInArrow(
+        per_batch(_window_rows(length), "bytes"), "w bigint, v bigint, doc_id bigint, key bigint, pos int, at int"
     )
-    place = [f(c).alias(f"{f.__name__}_{c}") for c in ("doc_id", "key", "at") for f in (F.min, F.max)]
-    elsewhere = "NOT (min_doc_id <=> max_doc_id AND min_key = max_key AND min_at = max_at)"
-    repeated = windows.groupBy("w", "v").agg(*place).where(elsewhere).select("w", "v")
+    windows = stored(windows, "windows")
+    repeated = _found_elsewhere(windows, "w", "v", "at")
+    counted_windows = windows.join(repeated, (F.col("w") == F.col("_w")) & (F.col("v") == F.col("_v")), "left_semi")
     # At most length - gram + 1 strings of a context; those in a row are one range.
-    by_context = windows.join(repeated, ["w", "v"]).groupBy("doc_id", "key", "pos").agg(
+    by_context = counted_windows.groupBy("doc_id", "key", "pos").agg(
         F.collect_set("at").alias("_at"), F.min("at").alias("_lo"), F.max("at").alias("_hi")
     )
     single = F.array(F.struct(F.col("_lo").alias("a"), F.col("_hi").alias("b")))
@@ -354,7 +436,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     counted = by_context.select("doc_id", "key", F.explode(ranges).alias("_r")).select(
         "doc_id", "key", F.col("_r.a").alias("begin"), (F.col("_r.b") + length).cast("int").alias("end")
     )
-    return whole.unionByName(indexed).unionByName(counted)
+    return whole.unionByName(indexed).unionByName(by_cells).unionByName(counted)
 
 
 def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
