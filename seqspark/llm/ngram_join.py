@@ -48,7 +48,7 @@ _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64)
 _SEEDS = np.random.default_rng(6).integers(0, 2**63, POSITIONS, dtype=np.uint64)
 
 # Hashes of words a worker keeps.
-MAX_KEPT = 400_000
+MAX_KEPT = 150_000
 
 _words: dict[str, int] = {}
 
