@@ -34,11 +34,12 @@ _ODD = re.compile(r"[\x1c-\x1f\x85\u180e]")
 
 
 class Encoder:
-    """Encodes texts as ``encode(text, add_special_tokens=False)`` does; special strings are ordinary text.
+    """Encodes texts as ``encode(text, add_special_tokens=False)`` does, added tokens of the file included.
 
     Byte-level pair encoding treats the pieces its pattern cuts one by one. A space between two characters
     that are no white space always starts a piece, so texts are cut there, and each distinct part is encoded
-    once. Texts with other white space beside a space are cut by the pattern itself.
+    once. Texts with other white space beside a space are cut by the pattern itself, and texts that hold an
+    added token go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -46,9 +47,9 @@ class Encoder:
         import regex
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
         with open(path) as file:
             spec = json.load(file)
+        self._added = [t["content"] for t in spec.get("added_tokens") or []]
         before = spec.get("pre_tokenizer") or {}
         self._cut = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
         self._pattern = regex.compile(public_tokenizers.PATTERN)
@@ -99,10 +100,13 @@ class Encoder:
         new = list(pieces.difference(self._pieces))
         self._pieces.update(zip(new, self._encode_pieces(new), strict=True))
 
+    def _by_library(self, text: str) -> bytes:
+        ids = self._whole.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _by_pattern(self, text: str) -> bytes:
         if _ODD.search(text):
-            ids = self._whole.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
+            return self._by_library(text)
         pieces = self._pattern.findall(text)
         self._learn_pieces(set(pieces))
         return b"".join([self._pieces[p] for p in pieces])
@@ -132,7 +136,9 @@ class Encoder:
         lookup = self._after_space.__getitem__
         out = []
         for text, head, parts in zip(texts, heads, split, strict=True):
-            if (head and head[-1].isspace()) or _ODD.search(head) or (unusual and not unusual.isdisjoint(parts)):
+            if any(a in text for a in self._added):
+                out.append(self._by_library(text))
+            elif (head and head[-1].isspace()) or _ODD.search(head) or (unusual and not unusual.isdisjoint(parts)):
                 out.append(self._by_pattern(text))
             else:
                 out.append((self._by_pattern(head) if head else b"") + b"".join(map(lookup, parts)))

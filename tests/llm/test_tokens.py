@@ -7,9 +7,10 @@ import zlib
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from seqspark.llm import packing, token_files
-from seqspark.llm.tokens import encoder
+from seqspark.llm.tokens import encoder, vocabulary_path
 
 PARTS = ["a", "é", "word", "Don't", "'s", " ", "  ", "\n", " \n", "\t", "12", "²", "!", "...", "\u00a0", "\u3000", "<|endoftext|>", "日本", "\x1c",
          "\x85", "😀", "_", "\r\n", "I'LL", " 's", "\0"]
@@ -26,6 +27,17 @@ def test_encoder_equals_library():
         assert ids == struct.pack(f"<{len(ids) // 4}I", *plain(text)), repr(text)
 
 
+def test_added_tokens_equal_a_fresh_tokenizer():
+    fresh = Tokenizer.from_file(vocabulary_path())
+    rnd = random.Random(2)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\x1c y", " <|endoftext|", "<|endoftext|>\n a"]
+    texts += ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(9))) for _ in range(4000)]
+    found = [list(struct.unpack(f"<{len(ids) // 4}I", ids)) for ids in encoder().encode(texts)]
+    assert found[0] == [64, 220, 50256, 275]
+    for text, ids in zip(texts, found, strict=True):
+        assert ids == fresh.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=300), st.data())
 @settings(max_examples=200, deadline=None)
 def test_packing_round_trip(width, values, data):
