@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqspark.llm.common import id_remainder, per_batch, without
+from seqspark.llm.common import id_remainder, per_batch
 
 DIMENSIONS = 512
 GRAM = 3
@@ -21,6 +21,10 @@ UNKNOWN = "und"
 BLOCK = 64
 MAX_KEPT = 60_000
 
+# Learning rows a least score is taken from, and the share of it that a text must reach.
+ENOUGH = 30
+MARGIN = 0.5
+
 _BITS = 21
 
 
@@ -146,6 +150,33 @@ def learn_prototypes(
     return {r["lang"]: np.array(r["total"]) for r in found.collect()}
 
 
+def _scores(
+    counted: list, prototypes: dict[str, np.ndarray], dimensions: int, seed: int, labels: list | None = None
+) -> tuple[list[str], list[float]]:
+    """Best language and cosine of counted n-grams; ``und`` and 0 for None and where nothing was learned.
+
+    With ``labels`` each text is judged by prototypes without itself.
+    """
+    names = sorted(prototypes)
+    found, scores = [UNKNOWN] * len(counted), [0.0] * len(counted)
+    if not names:
+        return found, scores
+    sums = np.stack([prototypes[n] for n in names])
+    profile = _unit(sums).T
+    rows = [i for i, c in enumerate(counted) if c is not None]
+    for block in range(0, len(rows), BLOCK):
+        part = rows[block : block + BLOCK]
+        bundles = space(dimensions, seed).bundle([counted[i] for i in part])
+        unit = _unit(bundles)
+        cosine = unit @ profile
+        if labels is not None:
+            own = np.array([names.index(labels[i]) for i in part])
+            cosine[np.arange(len(part)), own] = (unit * _unit(sums[own] - bundles)).sum(axis=1)
+        for i, best, value in zip(part, cosine.argmax(axis=1), cosine.max(axis=1), strict=True):
+            found[i], scores[i] = names[best], float(min(1.0, max(0.0, value)))
+    return found, scores
+
+
 def predict_languages(
     docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", dimensions: int = DIMENSIONS, seed: int = 7
 ) -> DataFrame:
@@ -154,20 +185,12 @@ def predict_languages(
     The score is the cosine with the best prototype, between 0 and 1; ties go to the first language in
     order. A null text, a text without a letter, and any text when nothing was learned get ``und`` and 0.
     """
-    names = sorted(prototypes)
-    profile = _unit(np.stack([prototypes[n] for n in names])) if names else None
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index(text)
 
     def predict(batch: pa.RecordBatch) -> pa.RecordBatch:
         counted = [grams(t) if t is not None else None for t in batch.column(at).to_pylist()]
-        found, scores = [UNKNOWN] * len(counted), [0.0] * len(counted)
-        rows = [i for i, c in enumerate(counted) if c is not None] if names else []
-        for block in range(0, len(rows), BLOCK):
-            part = rows[block : block + BLOCK]
-            cosine = _unit(space(dimensions, seed).bundle([counted[i] for i in part])) @ profile.T
-            for i, best, value in zip(part, cosine.argmax(axis=1), cosine.max(axis=1), strict=True):
-                found[i], scores[i] = names[best], float(min(1.0, max(0.0, value)))
+        found, scores = _scores(counted, prototypes, dimensions, seed)
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
             [*batch.schema.names, "lang_pred", "score"],
@@ -178,6 +201,54 @@ def predict_languages(
     return docs.mapInArrow(per_batch(predict, text), schema)
 
 
+def _size_class(counted: tuple[np.ndarray, np.ndarray]) -> int:
+    return len(counted[0]).bit_length()
+
+
+def learn_floors(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, seed: int = 7
+) -> dict[str, list[float]]:
+    """Per predicted language, the score that a text of each size class has to reach.
+
+    Scores grow with the number of distinct n-grams, so sizes are classed by its bits. Every learning row is judged by
+    prototypes without itself, as a text not learned from would be. The floor of a class is ``MARGIN`` of the
+    least score among longer rows and ``ENOUGH`` rows of this class and the next shorter ones; where there are
+    fewer, longer texts cannot tell how low shorter ones score, and the floor is 0.
+    """
+    def judge(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        counted = [grams(t) for t in batch.column("text").to_pylist()]
+        found, scores = _scores(counted, prototypes, dimensions, seed, batch.column("lang").to_pylist())
+        held: dict[tuple[str, int], list[float]] = {}
+        for name, c, score in zip(found, counted, scores, strict=True):
+            if c is not None:
+                held.setdefault((name, _size_class(c)), []).append(score)
+        if not held:
+            return None
+        rows = [(name, size, min(v), len(v)) for (name, size), v in held.items()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int32(), pa.float64(), pa.int64()], strict=True)],
+            ["lang", "size", "least", "n"],
+        )
+
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    judged = rows.mapInArrow(per_batch(judge), "lang string, size int, least double, n bigint")
+    found: dict[str, dict[int, tuple[float, int]]] = {}
+    for r in judged.groupBy("lang", "size").agg(F.min("least").alias("least"), F.sum("n").alias("n")).collect():
+        found.setdefault(r["lang"], {})[r["size"]] = (r["least"], r["n"])
+    floors: dict[str, list[float]] = {}
+    for name, sizes in found.items():
+        floors[name] = []
+        for size in range(max(sizes) + 1):
+            least, seen = 1.0, 0
+            for other in sorted(sizes, reverse=True):
+                if seen >= ENOUGH:
+                    break
+                least = min(least, sizes[other][0])
+                seen += sizes[other][1] if other <= size else 0
+            floors[name].append(MARGIN * least if seen >= ENOUGH else 0.0)
+    return floors
+
+
 def identify_languages(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document.
 
@@ -190,13 +261,33 @@ def identify_languages(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int
     return predict_languages(rows, prototypes, dimensions=dimensions, seed=seed).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def drop_unknown_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without documents that have no language: those whose text has no letter."""
-    found = identify_languages(docs)
-    return without(docs, found.where(F.col("lang_pred") == UNKNOWN))
+def drop_unknown_language(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) -> DataFrame:
+    """``docs`` without rows in no known language, each row judged by its own text.
+
+    A row goes if its text is null or has no letter, or if its score is below the floor of its predicted
+    language and size. Prototypes and floors are learned from the rows ``identify_languages`` learns from;
+    where there is no language to learn, every text with a letter stays.
+    """
+    learning = docs.where(id_remainder(4) != 2)
+    prototypes = learn_prototypes(learning, dimensions=dimensions, seed=seed)
+    floors = learn_floors(learning, prototypes, dimensions=dimensions, seed=seed) if prototypes else {}
+    at = docs.columns.index("text")
+
+    def known(counted: tuple | None, name: str, score: float) -> bool:
+        if counted is None:
+            return False
+        least = floors.get(name)
+        return not least or score >= least[min(_size_class(counted), len(least) - 1)]
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counted = [grams(t) if t is not None else None for t in batch.column(at).to_pylist()]
+        found, scores = _scores(counted, prototypes, dimensions, seed)
+        return batch.filter(pa.array(list(map(known, counted, found, scores)), pa.bool_()))
+
+    return docs.mapInArrow(per_batch(keep), docs.schema)
 
 
 __all__ = [
-    "DIMENSIONS", "Space", "drop_unknown_language", "grams", "identify_languages", "learn_prototypes", "predict_languages",
+    "DIMENSIONS", "Space", "drop_unknown_language", "grams", "identify_languages", "learn_floors", "learn_prototypes", "predict_languages",
     "space",
 ]

@@ -45,6 +45,24 @@ def test_languages_odd_rows(docs_of, odd_rows):
     assert kept.columns == docs.columns and {1, 2, 3, 9}.isdisjoint(r.doc_id for r in kept.collect()) and kept.count() == 8
 
 
+def test_stage_rejects_by_language_and_score(spark):
+    """Foreign and random texts go although they have letters; clean texts, held out or not, stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(6)
+    foreign = ["".join(rng.choice(list(letters), 3000)) for letters in ("абвгдежзиклмнопрсту ", "qxzjkvw0 ", "日本語テキストこれは ")]
+    more = [(10**6 + n, t, None, "s", len(t)) for n, t in enumerate(foreign)]
+    kept = {r.doc_id for r in language.drop_unknown_language(docs.unionByName(spark.createDataFrame(more, docs.schema))).select("doc_id").collect()}
+    assert kept.isdisjoint(range(10**6, 10**6 + 3))
+    assert kept == {r.doc_id for r in docs.collect() if r.text is not None and language.grams(r.text) is not None}
+
+
+def test_stage_without_languages_keeps_texts(docs_of):
+    rows = [(1, "a clean text", None, "s"), (2, None, None, "s"), (3, "12 !?", None, "s"), (None, "text", None, "s"), (None, "!", None, "s"), (4, "", None, "s")]
+    assert {(r.doc_id, r.text) for r in language.drop_unknown_language(docs_of(rows)).collect()} == {(1, "a clean text"), (None, "text")}
+    rows = [(1, "a clean text"), (1, "!!!"), (None, "???")]
+    assert [(r.doc_id, r.text) for r in language.drop_unknown_language(docs_of(rows)).collect()] == [(1, "a clean text")]
+
+
 def test_gradients():
     network = toxicity.Network(["a", "b"], 1)
     network.p = {k: v.astype(np.float64) + 0.1 * np.random.default_rng(3).normal(size=v.shape) for k, v in network.p.items()}
