@@ -129,6 +129,6 @@ def _with_groups(recipes: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without exact copies, one document of each group staying, in its columns."""
-    found = find_copies(docs)
-    return drop_repeated_rows(without(docs, found.where(F.col("doc_id") != F.col("keep_id"))))
+    """``docs`` without exact copies, one row of each group staying, in its columns."""
+    found = find_copies(docs).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return drop_repeated_rows(without(docs, found.select("doc_id", F.unhex("text_sha256").alias("_digest"))))

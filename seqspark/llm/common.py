@@ -99,22 +99,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def text_digest(column: str = "text") -> Column:
+    """sha256 of the text as bytes; a null text counts as empty."""
+    return F.unhex(F.sha2(text_or_empty(column).cast("binary"), 256))
+
+
 def without(df: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows whose key is not in ``gone``; ``gone`` is settled and broadcast only if measured small."""
-    gone = broadcast_if_small(settle(gone.select(F.col(key).alias("_gone")).distinct()))
-    return df.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """Rows whose key and text are not in ``gone``, a table of the key and ``_digest``; null keys are equal.
+
+    ``gone`` is settled and broadcast only if measured small.
+    """
+    gone = broadcast_if_small(settle(gone.select(F.col(key).alias("_gone"), F.col("_digest").alias("_gone_digest")).distinct()))
+    same = F.col(key).eqNullSafe(F.col("_gone")) & (text_digest() == F.col("_gone_digest"))
+    return df.join(gone, same, "left_anti")
 
 
 def drop_repeated_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each (key, text). Only rows whose key occurs more than once are moved."""
-    counts = df.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = broadcast_if_small(settle(counts.select("_again")))
-    same = F.col(key).eqNullSafe(F.col("_again"))
+    """One row of each (key, text), a null text being empty. Only rows that occur more than once are moved."""
+    own = df.groupBy(F.col(key).alias("_again"), text_digest(text).alias("_again_digest"))
+    again = own.agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again", "_again_digest")
+    again = broadcast_if_small(settle(again))
+    same = F.col(key).eqNullSafe(F.col("_again")) & (text_digest(text) == F.col("_again_digest"))
     once = df.join(again, same, "left_anti")
-    return once.unionByName(df.join(again, same, "left_semi").dropDuplicates([key, text]))
+    repeated = df.join(again, same, "left_semi").withColumn("_again_digest", text_digest(text))
+    return once.unionByName(repeated.dropDuplicates([key, "_again_digest"]).drop("_again_digest"))
 
 
 __all__ = [
     "BATCH_CHARS", "broadcast_if_small", "drop_repeated_rows", "id_remainder", "join_groups", "join_on", "per_batch",
-    "read_table", "settle", "slices", "stored", "text_or_empty", "whole_groups", "without",
+    "read_table", "settle", "slices", "stored", "text_digest", "text_or_empty", "whole_groups", "without",
 ]

@@ -122,17 +122,19 @@ def next_paths(owner: np.ndarray, path: np.ndarray, sketches: np.ndarray, expect
 # --- rows of the stages ------------------------------------------------------------------------------------
 
 
-def _sets(size: int):
+def _sets(size: int, texts: bool):
+    """Shingle sets of a batch; with ``texts`` also the sha256 of each text, otherwise empty bytes."""
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         digests, counts, sketches = [], [], []
+        whole = [hashlib.sha256(t.as_buffer()).digest() if texts else b"" for t in batch.column("text")]
         for text in batch.column("text").to_pylist():
             found = shingles_of(text, size)
             digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
             counts.append(len(found))
             sketches.append(sketch_of(found).tobytes())
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(sketches, pa.binary())],
-            ["doc_id", "digest", "n_shingles", "sketch"],
+            [batch.column("doc_id"), pa.array(whole, pa.binary()), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(sketches, pa.binary())],
+            ["doc_id", "whole", "digest", "n_shingles", "sketch"],
         )
 
     return rows
@@ -438,36 +440,46 @@ def ngram_join(
     similar; null ids are larger than all others in the choice of a class id. Other columns are not read. An
     empty table gives no rows.
     """
+    return _joined(docs, threshold, size, recall, False).select("doc_id", "class_id", "n_links", "n_shingles", "kept")
+
+
+def _joined(docs: DataFrame, threshold: float, size: int, recall: float, texts: bool) -> DataFrame:
+    """Rows of ``ngram_join``; with ``texts`` also each text's ``_digest``, and ``_stays`` on one text of a class."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     sets = stored(
-        rows.mapInArrow(per_batch(_sets(size)), "doc_id bigint, digest binary, n_shingles int, sketch binary"), "sets"
+        rows.mapInArrow(per_batch(_sets(size, texts)), "doc_id bigint, whole binary, digest binary, n_shingles int, sketch binary"), "sets"
     )
     # Documents with equal sets are one class.
     classes = sets.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
-        F.first("sketch").alias("sketch"),
-    )
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "whole")).alias("least"),
+        F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
+    ).withColumn("rep", F.col("least.doc_id"))
     # Written with the number, which then cannot change.
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     found = exact_links(rows, classes, candidate_links(classes, threshold, recall), threshold, size)
-    named = classes.select("cid", "digest", "rep", "copies").join(found, "cid", "left").select(
-        "digest", "rep", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cid").alias("component")
+    named = classes.select("cid", "digest", "least", "copies").join(found, "cid", "left").select(
+        "digest", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "cid").alias("component")
     )
     named = stored(named.where("copies > 1 or links > 0"), "named")
-    first = named.groupBy("component").agg(F.min("rep").alias("class_id"))
-    table = named.join(first, "component").select("digest", "class_id", (F.col("links") + F.col("copies") - 1).alias("_links"))
-    joined = join_groups(sets.select("doc_id", "digest", "n_shingles"), table, ["digest"], "doc_id", "left")
-    class_id = F.coalesce("class_id", "doc_id")
+    first = named.groupBy("component").agg(F.min("least").alias("first"))
+    table = named.join(first, "component").select(
+        "digest", F.col("first.doc_id").alias("class_id"), F.col("first.whole").alias("_first"),
+        (F.col("links") + F.col("copies") - 1).alias("_links"),
+    )
+    joined = join_groups(sets.select("doc_id", "whole", "digest", "n_shingles"), table, ["digest"], "doc_id", "left")
+    alone = F.col("_links").isNull()
+    class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("class_id"))
+    kept = F.col("doc_id").eqNullSafe(class_id)
     return joined.select(
         "doc_id", class_id.alias("class_id"), F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"), "n_shingles",
-        F.col("doc_id").eqNullSafe(class_id).alias("kept"),
+        kept.alias("kept"), F.col("whole").alias("_digest"), (alone | (kept & (F.col("whole") == F.col("_first")))).alias("_stays"),
     )
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, recall: float = RECALL) -> DataFrame:
-    """``docs`` with one document of each class of near copies, in its columns."""
-    found = ngram_join(docs, threshold, size, recall)
-    return drop_repeated_rows(without(docs, found.where(~F.col("kept"))))
+    """``docs`` with one row of each class of near copies, in its columns."""
+    found = _joined(docs, threshold, size, recall, True)
+    return drop_repeated_rows(without(docs, found.where(~F.col("_stays"))))
 
 
 __all__ = ["drop_near_copies", "ngram_join", "runs_for", "shingles_of", "similar_pairs", "sketch_of"]

@@ -63,6 +63,13 @@ def test_drop_copies_keeps_one_row(docs_of, odd_rows):
     assert len({r.text or "" for r in kept}) == len(kept)
 
 
+def test_drop_copies_judges_rows(docs_of):
+    """A shared id keeps its unique text, and a copy without an id goes."""
+    rows = [(4, "copy"), (4, "a clean unique text"), (9, "copy"), (None, "copy"), (None, "twice"), (None, "twice"), (5, None), (5, "")]
+    kept = sorted((str(r.doc_id), r.text or "") for r in chunk_dedup.drop_copies(docs_of(rows)).collect())
+    assert kept == [("4", "a clean unique text"), ("5", ""), ("9", "copy"), ("None", "twice")]
+
+
 # --- near copies ---
 
 
@@ -131,6 +138,16 @@ def test_join_empty_and_stage(docs_of):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_near_stage_judges_rows(docs_of):
+    """One row of each class stays, also where ids are shared or missing; a unique text of a shared id stays."""
+    near, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "tu")
+    unique = "a clean unique text of its own"
+    rows = [(4, near), (7, near + " end"), (7, unique), (None, near + " stop"), (None, other), (None, other + " end"), (None, "!"), (8, unique + " x"), (8, unique.upper() + " X")]
+    kept = [(r.doc_id, r.text) for r in ngram_join.drop_near_copies(docs_of(rows)).collect()]
+    assert len(kept) == 5 and {(4, near), (7, unique), (None, "!")} <= set(kept)
+    assert sum(i is None and t.startswith("u0") for i, t in kept) == 1 and sum(i == 8 for i, _ in kept) == 1
+
+
 def test_runs_reach_recall():
     assert ngram_join.runs_for(0.9999, 0.8) > ngram_join.runs_for(0.99, 0.8) > 1
 
