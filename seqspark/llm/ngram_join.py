@@ -40,6 +40,9 @@ BUCKET = 256
 MAX_DEPTH = 5
 BLOCK = 1_024
 
+# Part of the pairs that may be missed at DEPTH; the rest is shared by the depths of split buckets.
+FIRST_SHARE = 0.7
+
 # Members and n-grams of a candidate group that one task compares exactly; larger groups are cut into blocks.
 MEMBERS = 1_024
 GRAMS = 1_000_000
@@ -95,12 +98,40 @@ def sketch_of(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(8)).astype(np.uint16)
 
 
+def chance_of_miss(runs: int, threshold: float, depth: int = DEPTH, expected: float = EXPECTED) -> float:
+    """Chance that a pair at the threshold shares no path in ``runs``, over all numbers of agreeing positions.
+
+    A pair that agrees in less than ``NEAR`` of them is lost whatever it shares.
+    """
+    total = 0.0
+    for agreeing in range(POSITIONS + 1):
+        share, miss = agreeing / POSITIONS, 0.0
+        for _ in range(depth):
+            miss = math.exp(-(share / expected) * (1 - miss))
+        weight = math.comb(POSITIONS, agreeing) * threshold**agreeing * (1 - threshold) ** (POSITIONS - agreeing)
+        total += weight * (miss**runs if share >= NEAR else 1.0)
+    return total
+
+
 def runs_for(recall: float, threshold: float, depth: int = DEPTH, expected: float = EXPECTED) -> int:
     """Runs after which a pair at the threshold shared a path with probability ``recall``."""
-    miss = 0.0
-    for _ in range(depth):
-        miss = math.exp(-(threshold / expected) * (1 - miss))
-    return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
+    if chance_of_miss(10_000, threshold, depth, expected) > 1 - recall:
+        raise ValueError(f"sketches of {POSITIONS} positions cannot reach a recall of {recall} at {threshold}")
+    runs = 1
+    while chance_of_miss(runs, threshold, depth, expected) > 1 - recall:
+        runs += 1
+    return runs
+
+
+def runs_by_depth(recall: float, threshold: float) -> dict[int, int]:
+    """Runs at each depth that buckets are split to, so that the misses of all depths stay within ``recall``.
+
+    Only hot buckets go deeper, so the first depth may use up most of what may be missed.
+    """
+    lost = chance_of_miss(10_000, threshold)
+    free = 1 - recall - lost
+    share = (1 - FIRST_SHARE) / (MAX_DEPTH - DEPTH)
+    return {d: runs_for(1 - lost - free * (FIRST_SHARE if d == DEPTH else share), threshold, d) for d in range(DEPTH, MAX_DEPTH + 1)}
 
 
 def next_paths(owner: np.ndarray, path: np.ndarray, sketches: np.ndarray, expected: float = EXPECTED) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +171,12 @@ def _sets(size: int, texts: bool):
     return rows
 
 
-def _first_paths(runs: int, depth: int):
+def _first_paths(runs: range, depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sketches = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint16).reshape(-1, POSITIONS)
             ids = batch.column("cid").to_numpy()
-            for r in range(runs):
+            for r in runs:
                 owner = np.arange(len(ids))
                 path = np.full(len(ids), _mix(np.array([r + 1], dtype=np.uint64))[0])
                 for _ in range(depth):
@@ -229,8 +260,9 @@ def _brute_force(rows: DataFrame, near: float) -> DataFrame:
 def candidate_links(classes: DataFrame, threshold: float, recall: float, near: float = NEAR) -> DataFrame:
     """Links ``a, b`` that connect all classes sharing a path and agreeing in ``near`` of the positions."""
     sketches = classes.select("cid", "sketch")
+    runs = runs_by_depth(recall, threshold)
     paths = classes.where("n_shingles > 0").select("cid", "sketch").mapInArrow(
-        _first_paths(runs_for(recall, threshold), DEPTH), "path bigint, cid bigint"
+        _first_paths(range(runs[DEPTH]), DEPTH), "path bigint, cid bigint"
     )
     links: DataFrame | None = None
     for depth in range(DEPTH, MAX_DEPTH + 1):
@@ -273,6 +305,11 @@ def candidate_links(classes: DataFrame, threshold: float, recall: float, near: f
         paths = open_.select("path", "cid").join(sketches, "cid").select("path", "cid", "sketch").mapInArrow(
             _longer_paths, "path bigint, cid bigint"
         )
+        # Longer paths are shared less often: members of open buckets are drawn in more runs.
+        more = range(runs[depth], runs[depth + 1])
+        if more:
+            hot = open_.select("cid").distinct().join(sketches, "cid").select("cid", "sketch")
+            paths = paths.unionByName(hot.mapInArrow(_first_paths(more, depth + 1), "path bigint, cid bigint"))
     return links
 
 
@@ -290,19 +327,27 @@ def _near_pivot(near: float):
 def _blocks(rows: DataFrame, sketches: DataFrame, near: float) -> DataFrame:
     """The exact way for buckets no path splits: blocks of one label are paired with those of others only.
 
-    Members are blocked by label, so that a large connected group is not compared with itself.
+    Members are blocked by label, so that a large connected group is not compared with itself. Labels of fewer
+    members than a block share blocks, which are also compared with themselves.
     """
     sizes = rows.groupBy("path", "label").agg(F.count(F.lit(1)).alias("_n"))
-    block = F.xxhash64("label", F.pmod(F.xxhash64("cid"), F.ceil(F.col("_n") / BLOCK)))
-    blocked = stored(rows.join(sizes, ["path", "label"]).withColumn("block", block).select("path", "label", "cid", "block"), "blocked")
-    blocks = blocked.select("path", "label", "block").distinct()
-    other = blocks.select("path", F.col("label").alias("_label"), F.col("block").alias("_block"))
-    pairs = blocks.join(other, "path").where("label < _label").select("path", "block", "_block")
+    small = F.col("_n") < BLOCK
+    shared = sizes.where(small).groupBy("path").agg(F.ceil(F.sum("_n") / BLOCK).alias("_shared"))
+    sizes = sizes.join(broadcast_if_small(settle(shared)), "path", "left")
+    # Labels are not negative, so a negative number can name shared blocks.
+    named = F.when(small, -1 - F.pmod(F.xxhash64("label"), F.col("_shared"))).otherwise(F.col("label"))
+    split = F.when(small, 0).otherwise(F.pmod(F.xxhash64("cid"), F.ceil(F.col("_n") / BLOCK)))
+    blocked = rows.join(sizes.withColumn("group", named), ["path", "label"]).withColumn("block", F.xxhash64("group", split))
+    blocked = stored(blocked.select("path", "group", "cid", "block"), "blocked")
+    blocks = blocked.select("path", "group", "block").distinct()
+    other = blocks.select("path", F.col("group").alias("_group"), F.col("block").alias("_block"))
+    pairs = blocks.join(other, "path").where("group < _group or (group = _group and group < 0)").select("path", "block", "_block")
     part = F.xxhash64("block", "_block")
     sides = [
-        blocked.join(pairs.select("path", F.col(own).alias("block"), part.alias("part")), ["path", "block"]).select(
-            F.col("path").alias("bucket"), "part", F.lit(side).alias("side"), "cid"
-        )
+        blocked.join(
+            pairs.where("block <> _block" if side else "true").select("path", F.col(own).alias("block"), part.alias("part")),
+            ["path", "block"],
+        ).select(F.col("path").alias("bucket"), "part", F.lit(side).alias("side"), "cid")
         for side, own in enumerate(("block", "_block"))
     ]
     return _brute_force(sides[0].unionByName(sides[1]).join(sketches, "cid").select("bucket", "part", "side", "cid", "sketch"), near)
@@ -482,4 +527,4 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, size: int =
     return drop_repeated_rows(without(docs, found.where(~F.col("_stays"))))
 
 
-__all__ = ["drop_near_copies", "ngram_join", "runs_for", "shingles_of", "similar_pairs", "sketch_of"]
+__all__ = ["chance_of_miss", "drop_near_copies", "ngram_join", "runs_by_depth", "runs_for", "shingles_of", "similar_pairs", "sketch_of"]

@@ -152,6 +152,26 @@ def test_runs_reach_recall():
     assert ngram_join.runs_for(0.9999, 0.8) > ngram_join.runs_for(0.99, 0.8) > 1
 
 
+def test_recall_holds_at_every_depth():
+    """All that may be missed at the depths together, averaged over sketch agreement, is within the recall."""
+    runs = ngram_join.runs_by_depth(ngram_join.RECALL, 0.8)
+    assert set(runs) == set(range(ngram_join.DEPTH, ngram_join.MAX_DEPTH + 1))
+    lost = ngram_join.chance_of_miss(10**6, 0.8)
+    assert lost + sum(ngram_join.chance_of_miss(n, 0.8, d) - lost for d, n in runs.items()) <= 1 - ngram_join.RECALL
+
+
+def test_hot_buckets_draw_more_runs(docs_of, monkeypatch):
+    """Where buckets are split down to blocks, links of different texts are found as by brute force."""
+    rng = np.random.default_rng(9)
+    shared, rows = [f"s{i}" for i in range(100)], []
+    for base in range(20):
+        words = [*shared, *(f"w{base}x{i}" for i in range(45))]
+        rows += [(base * 10 + n, " ".join([*words, *(f"e{base}y{n}z{i}" for i in range(int(rng.integers(0, 12))))])) for n in range(3)]
+    for name, value in (("BUCKET", 3), ("MAX_DEPTH", 3), ("MEMBERS", 16), ("BLOCK", 8)):
+        monkeypatch.setattr(ngram_join, name, value)
+    check_join(ngram_join.ngram_join(docs_of(rows)).collect(), rows)
+
+
 # --- repeats ---
 
 
