@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqspark.llm import chunk_dedup, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
+from seqspark.llm import byte_bpe, chunk_dedup, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
 from seqspark.llm.common import read_table
 from seqspark.llm.registry import query
 from seqspark.session import scratch_path
@@ -91,3 +91,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best rows for every query vector."""
     return topk.search_top_k(read_table(spark, sf_dir, "embeddings"), QUERY_EVERY, TOP_K)
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by a rank file, and what they decode to, as digests."""
+    return byte_bpe.digest_tokens(read_table(spark, sf_dir, "documents"))
