@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqspark.llm import byte_bpe, chunk_dedup, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
+from seqspark.llm import byte_bpe, chunk_dedup, conversations, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
 from seqspark.llm.common import read_table
 from seqspark.llm.registry import query
 from seqspark.session import scratch_path
@@ -97,3 +97,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by a rank file, and what they decode to, as digests."""
     return byte_bpe.digest_tokens(read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversations")
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired again: faults, cheapest edits and a hash of the repaired turns."""
+    return conversations.repair_report(conversations.damage(read_table(spark, sf_dir, "conversations")))
