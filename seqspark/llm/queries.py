@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqspark.llm import byte_bpe, chunk_dedup, conversations, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
+from seqspark.llm import byte_bpe, chunk_dedup, conversations, hard_negatives, language, mixing, ngram_join, packing, repeats, token_files, topk, toxicity, url_rules
 from seqspark.llm.common import read_table
 from seqspark.llm.registry import query
 from seqspark.session import scratch_path
@@ -103,3 +103,9 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations damaged and repaired again: faults, cheapest edits and a hash of the repaired turns."""
     return conversations.repair_report(conversations.damage(read_table(spark, sf_dir, "conversations")))
+
+
+@query("op11_hard_negatives", hard_negatives.hard_negatives_sql())
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of all anchors among all vectors, one label in seven being wrong."""
+    return hard_negatives.mine_hard_negatives(hard_negatives.relabelled(read_table(spark, sf_dir, "embeddings")))
