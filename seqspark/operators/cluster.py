@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import PCA, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_lower, pieces
 from seqspark.operators.kmers import PIECE
-from seqspark.operators.knn import BLOCK, knn
 from seqspark.operators.ordering import with_rank
+from seqspark.operators.plane import BLOCK, Square, components, core_distances, linked_places, locations
 from seqspark.operators.stats import NOISE, quantiles
 from seqspark.session import join_groups, settle
 
@@ -120,14 +118,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 # --- density clustering ------------------------------------------------------------------------
 
 
-def core_distances(points: DataFrame, min_samples: int, row_id: str, x: str, y: str) -> tuple[DataFrame, DataFrame]:
-    """Neighbour graph of ``min_samples`` neighbours, and the distance to the last of them."""
-    as_vector = points.select(row_id, F.array(F.col(x), F.col(y)).alias("_vector"))
-    graph = settle(knn(as_vector, min_samples, row_id, "_vector"))
-    core = graph.where(F.col("rank") == min_samples).select("id", F.col("distance").alias("core_distance"))
-    return graph, core
-
-
 def density_cluster(
     points: DataFrame, eps: float | None = None, min_samples: int = MIN_SAMPLES, min_cluster_size: int | None = None,
     row_id: str = "row_id", x: str = "x", y: str = "y", block: int = BLOCK,
@@ -137,128 +127,42 @@ def density_cluster(
     A row is core if its ``min_samples``-th neighbour is within ``eps`` (default: the 0.9 quantile of that
     distance); core rows within ``eps`` of each other are linked; components below ``min_cluster_size``
     (default a seventh of the rows, at least 5) and rows that are not core are noise, -1. Clusters are
-    numbered by size, then by lowest row.
+    numbered by size, then by lowest row. Rows without finite coordinates are noise.
 
-    Pairs of rows are never listed. Core rows in one grid cell of diagonal ``eps`` belong together as they
-    are, cells are linked by the neighbour graph, and only neighbouring cells still apart after that are
-    examined, in blocks.
+    Equal points are one place with a number. Places are compared block by block along a space-filling
+    curve; pairs are never listed, and a dense spot is joined by its grid cells.
     """
     points = settle(points.select(F.col(row_id).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))
     total = points.count()
     smallest = min_cluster_size or max(MIN_CLUSTER, total // CLUSTER_SHARE)
-    graph, core = core_distances(points, min_samples, "id", "x", "y")
+    places = settle(locations(points, "id", "x", "y"))
+    square = Square(places)
+    measured = settle(core_distances(places, square, min_samples, block))
     if eps is None:
-        found = quantiles(core.withColumn("_g", F.lit("all")), "core_distance", ["_g"], [EPS_QUANTILE]).collect()
+        known = measured.where(F.col("core_distance") < float("inf")).withColumn("_g", F.lit("all"))
+        found = quantiles(known, "core_distance", ["_g"], [EPS_QUANTILE], weight="w").collect()
         eps = found[0]["p0"] if found else 0.0
-    reached = points.join(core.where(F.col("core_distance") <= eps), "id")
-    side = eps / math.sqrt(2) * (1 - 1e-9)
-    if side > 0:
-        placed = reached.withColumn("cx", F.floor(F.col("x") / side)).withColumn("cy", F.floor(F.col("y") / side))
+    core = measured.where(F.col("core_distance") <= eps).select("x", "y", "w", "id")
+    if eps > 0:
+        placed, links = linked_places(core, square, eps, block)
+        labels = components(links)
+        placed = placed.withColumnRenamed("node", "_node")
+        joined = join_groups(placed, labels.withColumnRenamed("node", "_node"), ["_node"], "id", "left")
+        grouped = joined.withColumn("component", F.coalesce("component", "_node"))
     else:
-        # Only identical points are within reach; the point is its own cell.
-        placed = reached.withColumn("cx", F.col("x")).withColumn("cy", F.col("y"))
-    boxes = settle(
-        placed.groupBy("cx", "cy").agg(
-            F.min("id").alias("node"),
-            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        )
-    )
-    member = settle(placed.join(boxes.select("cx", "cy", "node"), ["cx", "cy"]).select("id", "x", "y", "node"))
-    node_of = member.select("id", "node")
-    near = (
-        graph.where(F.col("distance") <= eps)
-        .join(node_of.withColumnRenamed("node", "a"), "id")
-        .join(node_of.select(F.col("id").alias("neighbour"), F.col("node").alias("b")), "neighbour")
-        .where(F.col("a") != F.col("b"))
-        .select("a", "b")
-        .distinct()
-    )
-    labels = connected_components(boxes.select("node"), near)
-    tops = labels.select(F.col("component").alias("node")).distinct()
-    if side > 0 and tops.limit(2).count() > 1:
-        links = _close_cells(boxes, labels, member, eps, block)
-        merged = connected_components(tops, links)
-        tops = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
-        labels = labels.join(tops, "component").select("node", F.col("top").alias("component"))
-    assigned = settle(node_of.join(labels, "node").select("id", "component"))
-    sizes = assigned.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
+        # Only points of one place are within reach of each other.
+        grouped = core.withColumn("component", F.col("id"))
+    grouped = settle(grouped.select("x", "y", "w", "id", "component"))
+    sizes = grouped.groupBy("component").agg(F.sum("w").alias("size"), F.min("id").alias("first"))
     ranked = with_rank(sizes.where(F.col("size") >= smallest), [F.desc("size"), "first"], "cluster", first=0)
-    clustered = assigned.join(ranked.select("component", "cluster"), "component", "left")
-    return points.select("id").join(clustered.select("id", "cluster"), "id", "left").select(
+    named = join_groups(grouped, ranked.select("component", "cluster"), ["component"], "id").select("x", "y", "cluster")
+    # Zero has two signs, which are one place.
+    at = points.select("id", (F.col("x") + F.lit(0.0)).alias("x"), (F.col("y") + F.lit(0.0)).alias("y"))
+    return at.join(named, ["x", "y"], "left").select(
         F.col("id").alias(row_id), F.coalesce("cluster", F.lit(NOISE)).cast("int").alias("cluster")
     )
 
 
-def _close_cells(boxes: DataFrame, labels: DataFrame, member: DataFrame, eps: float, block: int) -> DataFrame:
-    """Links between components: neighbouring cells of different components that hold a close pair."""
-    cells = boxes.join(labels, "node")
-    # 24 neighbours of a cell can hold a point within eps; each unordered pair is looked at once.
-    steps = [(i, j) for i in range(0, 3) for j in range(-2, 3) if (i, j) > (0, 0)]
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps])
-    asked = cells.withColumn("_o", F.explode(offsets)).select(
-        F.col("node").alias("a"), F.col("component").alias("ca"),
-        *[F.col(c).alias(f"a_{c}") for c in ("x0", "x1", "y0", "y1")],
-        (F.col("cx") + F.col("_o.i")).alias("cx"), (F.col("cy") + F.col("_o.j")).alias("cy"),
-    )
-    met = asked.join(
-        cells.select(
-            F.col("node").alias("b"), F.col("component").alias("cb"), "cx", "cy",
-            *[F.col(c).alias(f"b_{c}") for c in ("x0", "x1", "y0", "y1")],
-        ),
-        ["cx", "cy"],
-    ).where(F.col("ca") != F.col("cb"))
-
-    def gap(low: str, high: str) -> Column:
-        apart = F.greatest(F.col(f"b_{low}") - F.col(f"a_{high}"), F.col(f"a_{low}") - F.col(f"b_{high}"))
-        return F.greatest(apart, F.lit(0.0))
-
-    limit = eps * (1 + 1e-9)
-    pairs = settle(met.where(gap("x0", "x1") ** 2 + gap("y0", "y1") ** 2 <= limit**2))
-
-    def side(own: str, other: str) -> DataFrame:
-        """Members of one cell of each pair that are within eps of the other cell's box, in blocks."""
-        def beyond(axis: str) -> Column:
-            v = F.col(axis)
-            return F.greatest(F.col(f"{other}_{axis}0") - v, v - F.col(f"{other}_{axis}1"), F.lit(0.0))
-
-        close = member.join(pairs.withColumn("node", F.col(own)), "node").where(
-            beyond("x") ** 2 + beyond("y") ** 2 <= limit**2
-        )
-        return close.select("a", "b", "ca", "cb", "id", "x", "y")
-
-    def blocked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        sizes = rows.groupBy("a", "b").agg(F.ceil(F.count(F.lit(1)) / block).alias(f"{name}_parts"))
-        part = F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).alias(f"{name}_part")
-        return rows.join(sizes, ["a", "b"]).select("a", "b", "ca", "cb", "x", "y", part), sizes
-
-    left, left_sizes = blocked(side("a", "b"), "left")
-    right, right_sizes = blocked(side("b", "a"), "right")
-    left = left.join(right_sizes, ["a", "b"]).withColumn(
-        "right_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("right_parts") - 1))
-    )
-    right = right.join(left_sizes, ["a", "b"]).withColumn(
-        "left_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left_parts") - 1))
-    )
-    meeting = ["a", "b", "left_part", "right_part"]
-
-    def side_by_side(rows: DataFrame, prefix: str) -> DataFrame:
-        return rows.select(*[F.col(c).alias(f"{prefix}{c}") for c in (*meeting, "ca", "cb", "x", "y")])
-
-    def touch(_key: tuple, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        others = two[["r_x", "r_y"]].to_numpy()
-        if len(others):
-            for p in one[["l_x", "l_y"]].to_numpy():
-                if (np.sqrt(((others - p) ** 2).sum(axis=1)) <= eps).any():
-                    return pd.DataFrame({"a": [one["l_ca"].iat[0]], "b": [one["l_cb"].iat[0]]})
-        return pd.DataFrame({"a": [], "b": []})
-
-    return (
-        side_by_side(left, "l_").groupBy(*[f"l_{c}" for c in meeting])
-        .cogroup(side_by_side(right, "r_").groupBy(*[f"r_{c}" for c in meeting]))
-        .applyInPandas(touch, "a bigint, b bigint")
-    )
-
-
 # --- fallback rules ----------------------------------------------------------------------------
 
 

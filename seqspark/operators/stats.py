@@ -20,19 +20,19 @@ NOISE = -1
 
 
 def quantiles(
-    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float] = QUARTILES
+    df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float] = QUARTILES, weight: str | None = None
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group: columns ``p0``, ``p1``, ...
 
+    With ``weight``, a row stands for that many equal ones.
     The built-in exact percentile holds every distinct value of a group in one task. Here values are
     counted first, cut into buckets at approximate quantiles of the group, and only the few buckets in
     which a wanted rank falls are sorted. The cut points merely decide who sorts what, so their error
     does not reach the result.
     """
     by = list(by)
-    hist = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    hist = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(rows.alias("_n"))
     cuts = [i / STEP**2 for i in range(1, STEP**2)]
     frame = hist.groupBy(*by).agg(
         F.percentile_approx("_v", cuts, 2_000).alias("_cuts"), F.sum("_n").alias("_total")

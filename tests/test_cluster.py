@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from seqspark.operators import cluster
+from seqspark.operators import cluster, plane
 from seqspark.operators.knn import knn, neighbour_count
 
 
@@ -84,6 +84,51 @@ def test_density_links_cells_that_no_neighbour_list_links(spark):
     assert {r["cluster"]: r["count"] for r in far} == {0: 40, 1: 40}
 
 
+def test_density_equals_naive_in_small_and_large_blocks(spark):
+    """Dense spots of more than a block in one cell, next to each other and apart, and points in between."""
+    rng = np.random.default_rng(7)
+    heaps = [rng.normal(0, 0.05, (120, 2)) + c for c in ([0, 0], [0.9, 0], [1.35, 0.2], [5, 5], [5.8, 5.8], [-3, 2])]
+    points = np.vstack([*heaps, rng.uniform(-5, 7, (150, 2)), [[0.5, 0.0]] * 30, [[-0.0, 0.0]] * 3])
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(len(points)), "x": points[:, 0], "y": points[:, 1]}))
+    for eps, block in ((0.5, 16), (0.25, 8), (0.5, 512), (2.0, 16)):
+        got = cluster.density_cluster(df, eps, 6, 5, block=block).orderBy("row_id").toPandas()["cluster"].to_numpy()
+        assert got.tolist() == _naive_density(points, eps, 6, 5).tolist(), (eps, block)
+    d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1))
+    eps = np.quantile(np.sort(d, axis=1)[:, 7], 0.9)
+    got = cluster.density_cluster(df, block=32).orderBy("row_id").toPandas()["cluster"].to_numpy()
+    assert got.tolist() == _naive_density(points, eps, 7, len(points) // 7).tolist()
+
+
+def test_density_of_odd_points(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, 1.0, 2.0) for i in range(8)] + [(8, None, 1.0), (9, nan, 1.0), (10, 1.0, inf), (11, 50.0, 50.0), (None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "row_id bigint, x double, y double")
+    got = {r["row_id"]: r["cluster"] for r in cluster.density_cluster(df, 0.5, 3).collect()}
+    assert got == {**{i: 0 for i in range(8)}, None: 0, 8: -1, 9: -1, 10: -1, 11: -1}
+    assert {r["cluster"] for r in cluster.density_cluster(df, min_samples=30).collect()} == {-1}
+    assert cluster.density_cluster(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("max_links", [1_000, 3])
+def test_components_of_links(spark, max_links):
+    rng = np.random.default_rng(4)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [tuple(map(int, p)) for p in rng.integers(200, 260, (40, 2))]
+    parent = {}
+
+    def top(v):
+        while parent.setdefault(v, v) != v:
+            v = parent[v]
+        return v
+
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((top(a), top(b)))
+            parent[b] = a
+    links = spark.createDataFrame([(b, a) for a, b in pairs], "a bigint, b bigint")
+    got = {r["node"]: r["component"] for r in plane.components(links, max_links).collect()}
+    assert got == {v: top(v) for v in parent}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (100, 102)]
     nodes = spark.createDataFrame([(i,) for i in [*range(31), 100, 101, 102, 500]], "node bigint")
