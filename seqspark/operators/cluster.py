@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seqspark.functions.sequence import fold_lower, pieces
 from seqspark.operators.kmers import PIECE
 from seqspark.operators.ordering import with_rank
-from seqspark.operators.plane import BLOCK, Square, components, core_distances, linked_places, locations
+from seqspark.operators.plane import BLOCK, Square, components, core_distances, linked_places, locations, store
 from seqspark.operators.stats import NOISE, quantiles
 from seqspark.session import join_groups, settle
 
@@ -132,12 +132,12 @@ def density_cluster(
     Equal points are one place with a number. Places are compared block by block along a space-filling
     curve; pairs are never listed, and a dense spot is joined by its grid cells.
     """
-    points = settle(points.select(F.col(row_id).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))
+    points = store(points.select(F.col(row_id).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")), "points")
     total = points.count()
     smallest = min_cluster_size or max(MIN_CLUSTER, total // CLUSTER_SHARE)
-    places = settle(locations(points, "id", "x", "y"))
+    places = store(locations(points, "id", "x", "y"), "places")
     square = Square(places)
-    measured = settle(core_distances(places, square, min_samples, block))
+    measured = store(core_distances(places, square, min_samples, block), "core")
     if eps is None:
         known = measured.where(F.col("core_distance") < float("inf")).withColumn("_g", F.lit("all"))
         found = quantiles(known, "core_distance", ["_g"], [EPS_QUANTILE], weight="w").collect()
@@ -145,17 +145,15 @@ def density_cluster(
     core = measured.where(F.col("core_distance") <= eps).select("x", "y", "w", "id")
     if eps > 0:
         placed, links = linked_places(core, square, eps, block)
-        labels = components(links)
-        placed = placed.withColumnRenamed("node", "_node")
-        joined = join_groups(placed, labels.withColumnRenamed("node", "_node"), ["_node"], "id", "left")
-        grouped = joined.withColumn("component", F.coalesce("component", "_node"))
+        grouped = placed.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     else:
         # Only points of one place are within reach of each other.
         grouped = core.withColumn("component", F.col("id"))
-    grouped = settle(grouped.select("x", "y", "w", "id", "component"))
+    grouped = store(grouped.select("x", "y", "w", "id", "component"), "grouped")
     sizes = grouped.groupBy("component").agg(F.sum("w").alias("size"), F.min("id").alias("first"))
     ranked = with_rank(sizes.where(F.col("size") >= smallest), [F.desc("size"), "first"], "cluster", first=0)
-    named = join_groups(grouped, ranked.select("component", "cluster"), ["component"], "id").select("x", "y", "cluster")
+    # Skewed sides of these joins are dealt anew by adaptive execution; small ones it broadcasts as measured.
+    named = grouped.join(ranked.select("component", "cluster"), "component").select("x", "y", "cluster")
     # Zero has two signs, which are one place.
     at = points.select("id", (F.col("x") + F.lit(0.0)).alias("x"), (F.col("y") + F.lit(0.0)).alias("y"))
     return at.join(named, ["x", "y"], "left").select(

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqspark.session import join_groups, scratch_path, settle
+from seqspark.session import join_groups, scratch_path
 
 # Locations of a block, and locations in a row that share a box of what they reach.
 BLOCK = 512
@@ -61,24 +61,18 @@ class Square:
         # More than a sum of a coordinate and a distance can be rounded by.
         self.pad = 1e-14 * max(abs(v) for v in (self.x, high_x, self.y, high_y, self.side))
 
-    def curve(self) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-        """Places along the curve: the bits of both coordinates in turn."""
-        x, y, side = self.x, self.y, self.side
+    def curve(self, x: Column, y: Column) -> Column:
+        """Place along the curve: the bits of both coordinates in turn."""
 
-        def spread(v: np.ndarray) -> np.ndarray:
-            v = v.astype(np.uint64)
+        def spread(v: Column, low: float) -> Column:
+            share = (v - F.lit(low)) / F.lit(self.side) * F.lit(2.0**BITS)
+            out = F.least(F.greatest(share, F.lit(0.0)), F.lit(2.0**BITS - 1)).cast("bigint")
             for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
                                 (2, 0x3333333333333333), (1, 0x5555555555555555)):
-                v = (v | (v << np.uint64(shift))) & np.uint64(mask)
-            return v
+                out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask))
+            return out
 
-        def place(v: np.ndarray, low: float) -> np.ndarray:
-            return np.clip((v - low) / side * 2**BITS, 0, 2**BITS - 1)
-
-        def curve(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
-            return (spread(place(xs, x)) | (spread(place(ys, y)) << np.uint64(1))).astype(np.int64)
-
-        return curve
+        return spread(x, self.x).bitwiseOR(F.shiftleft(spread(y, self.y), 1))
 
     def touched(self, boxes: DataFrame) -> DataFrame:
         """Every box with each grid cell it touches, from the whole square to the level of its own size (``own``)."""
@@ -101,16 +95,28 @@ class Square:
 
 
 def meeting(square: Square, reaching: DataFrame, reached: DataFrame) -> DataFrame:
-    """``a, b``: whose box in ``reaching`` overlaps which box in ``reached``, both ``key`` and a box; not with itself."""
-    one = square.touched(reaching.withColumnRenamed("key", "a"))
-    two = square.touched(reached.withColumnRenamed("key", "b"))
-    at = ["level", "gx", "gy"]
-    left = one.select(*at, "a", "own", *[F.col(c).alias(f"a_{c}") for c in BOX])
-    right = two.select(*at, "b", F.col("own").alias("b_own"), *[F.col(c).alias(f"b_{c}") for c in BOX])
-    # The smaller box is looked up at the level of the larger one.
-    finds = left.where("level = own").join(right, at).unionByName(left.where("level < own").join(right.where("level = b_own"), at))
+    """``a, b, gap``: whose box in ``reaching`` overlaps which box in ``reached``, both ``key`` and a box; not with itself.
+
+    ``gap`` is the distance from the middle of the one box to the other box. The smaller of two boxes is
+    looked up at the level of the larger one.
+    """
+    at = ["level", "gx", "gy", "finds"]
+    left = square.touched(reaching).withColumn("finds", (F.col("level") == F.col("own")))
+    right = square.touched(reached).withColumn(
+        "finds", F.explode(F.when(F.col("level") == F.col("own"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True))))
+    )
+    left = left.select(*at, F.col("key").alias("a"), *[F.col(c).alias(f"a_{c}") for c in BOX])
+    right = right.select(*at, F.col("key").alias("b"), *[F.col(c).alias(f"b_{c}") for c in BOX])
     overlap = (F.col("a_x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("a_x1")) & (F.col("a_y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("a_y1"))
-    return finds.where(overlap & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+
+    def off(axis: str) -> Column:
+        # Halves are added, as a sum may be endless on both sides.
+        middle = F.col(f"a_{axis}0") / 2 + F.col(f"a_{axis}1") / 2
+        return F.greatest(F.col(f"b_{axis}0") - middle, middle - F.col(f"b_{axis}1"), F.lit(0.0))
+
+    met = left.join(right, at).where(overlap & (F.col("a") != F.col("b")))
+    gap = F.sqrt(off("x") ** 2 + off("y") ** 2)
+    return met.groupBy("a", "b").agg(F.min(F.when(~F.isnan(gap), gap).otherwise(F.lit(0.0))).alias("gap"))
 
 
 # --- numpy on blocks ---------------------------------------------------------------------------
@@ -249,11 +255,7 @@ def _across(one: str, two: str) -> Column:
 
 def _side_by_side(blocks: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
     """Each block of ``a`` (gap -1), followed by the blocks ``b`` it is to be compared with, by their distance."""
-    boxes = blocks.select("key", *BOX)
-    near = pairs.join(boxes.withColumnsRenamed({"key": "a", **{c: f"a_{c}" for c in BOX}}), "a").join(
-        boxes.withColumnsRenamed({"key": "b", **{c: f"b_{c}" for c in BOX}}), "b"
-    ).select("a", F.col("b").alias("key"), _gap("a_", "b_").alias("gap"))
-    partners = near.join(blocks, "key").select("a", "gap", "key", *columns)
+    partners = pairs.withColumnRenamed("b", "key").join(blocks, "key").select("a", "gap", "key", *columns)
     own = blocks.select(F.col("key").alias("a"), F.lit(-1.0).alias("gap"), "key", *columns)
     return own.unionByName(partners).repartition("a").sortWithinPartitions("a", "gap", "key")
 
@@ -264,13 +266,7 @@ def core_distances(places: DataFrame, square: Square, k: int, block: int = BLOCK
     Infinite where there are too few. A block's own points bound it from above; only blocks within that reach
     are compared, from near to far, and the bound falls on the way.
     """
-    curve = square.curve()
-
-    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.append_column("z", pa.array(curve(_numbers(b, "x"), _numbers(b, "y"))))
-
-    ordered = places.select("x", "y", "w", "id").mapInArrow(code, "x double, y double, w bigint, id bigint, z bigint")
+    ordered = places.select("x", "y", "w", "id", square.curve(F.col("x"), F.col("y")).alias("z"))
     ordered = ordered.repartitionByRange("z", "x", "y").sortWithinPartitions("z", "x", "y")
     blocks = store(ordered.mapInArrow(_first_blocks(k, block, square.pad), f"key bigint, {_PLACES}, {_BOX}, reaches array<struct<{_BOX}>>"), "plane-blocks")
     reaching = blocks.select("key", F.explode("reaches").alias("r")).select("key", *[F.col(f"r.{c}").alias(c) for c in BOX])
@@ -392,45 +388,57 @@ def linked_places(places: DataFrame, square: Square, eps: float, block: int = BL
     places is one node and its blocks are not compared with each other.
     """
     side = eps / 2**0.5 * (1 - 1e-9)
-    curve = square.curve()
-
-    def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = _numbers(b, "x"), _numbers(b, "y")
-            cx, cy = np.floor(x / side), np.floor(y / side)
-            more = {"cx": cx, "cy": cy, "z": curve((cx + 0.5) * side, (cy + 0.5) * side), "inner": curve(x, y)}
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(v) for v in more.values()]], names=[*b.schema.names, *more])
-
+    cx, cy = F.floor(F.col("x") / side).cast("double"), F.floor(F.col("y") / side).cast("double")
     order = ["z", "cx", "cy", "inner", "x", "y"]
-    coded = places.select("x", "y", "w", "id").mapInArrow(
-        code, "x double, y double, w bigint, id bigint, cx double, cy double, z bigint, inner bigint"
-    )
+    coded = places.select("x", "y", "w", "id", cx.alias("cx"), cy.alias("cy"), square.curve(F.col("x"), F.col("y")).alias("inner"))
+    coded = coded.withColumn("z", square.curve((F.col("cx") + 0.5) * side, (F.col("cy") + 0.5) * side))
     built = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         _linked_blocks(eps, block), f"key bigint, dense boolean, cx double, cy double, {_PLACES}, nodes array<bigint>, {_BOX}"
     )
     blocks = store(built, "plane-cells")
 
-    # A unit is a block of whole cells, or all blocks of a dense cell.
-    cells = blocks.where("dense").groupBy("cx", "cy").agg(
-        F.min("key").alias("unit"), F.min(F.col("nodes")[0]).alias("top"),
-        *[(F.min if c.endswith("0") else F.max)(c).alias(f"u_{c}") for c in BOX],
-    )
     narrow = blocks.select("key", "dense", "cx", "cy", F.col("nodes")[0].alias("node"), *BOX)
-    dense = settle(narrow.where("dense").join(cells, ["cx", "cy"]))
-    units = narrow.where("not dense").select("key", *BOX).unionByName(
-        dense.groupBy(F.col("unit").alias("key")).agg(*[F.first(f"u_{c}").alias(c) for c in BOX])
+    if narrow.where("dense").isEmpty():
+        pairs, links = _units_in_reach(square, narrow.select("key", *BOX), eps), None
+    else:
+        pairs, links = _dense_pairs(square, narrow, eps)
+    found = _side_by_side(blocks, pairs, ["xs", "ys", "nodes"]).mapInArrow(_links(eps), "a bigint, b bigint")
+    places = blocks.select(F.explode(F.arrays_zip("xs", "ys", "ws", "ids", "nodes")).alias("p")).select(
+        F.col("p.xs").alias("x"), F.col("p.ys").alias("y"), F.col("p.ws").alias("w"), F.col("p.ids").alias("id"), F.col("p.nodes").alias("node")
     )
+    return places, found if links is None else found.unionByName(links)
+
+
+def _units_in_reach(square: Square, units: DataFrame, eps: float) -> DataFrame:
     reach = eps + square.pad
     wider = units.select("key", *[(F.col(c) - reach if c.endswith("0") else F.col(c) + reach).alias(c) for c in BOX])
-    met = settle(meeting(square, wider, units).where("a < b"))
-    inside = dense.select("node", "top").where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b"))
+    return meeting(square, wider, units).where("a < b")
+
+
+def _dense_pairs(square: Square, blocks: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of blocks that must be compared, and links that hold without comparing, where there are dense cells.
+
+    A unit is a block of whole cells, or all blocks of a dense cell.
+    """
+    cells = blocks.where("dense").groupBy("cx", "cy").agg(
+        F.min("key").alias("unit"), F.min("node").alias("top"), *[(F.min if c.endswith("0") else F.max)(c).alias(f"u_{c}") for c in BOX]
+    )
+    dense = store(blocks.where("dense").join(cells, ["cx", "cy"]), "plane-dense")
+    whole = blocks.where("not dense")
+    units = whole.select("key", *BOX).unionByName(
+        dense.groupBy(F.col("unit").alias("key")).agg(*[F.first(f"u_{c}").alias(c) for c in BOX])
+    )
+    met = store(_units_in_reach(square, units, eps), "plane-units")
+    inside = dense.where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b"))
 
     kinds = dense.select("unit", F.col("key").alias("block"), "node", *BOX)
-    whole = narrow.where("not dense").select(F.col("key").alias("unit"), F.col("key").alias("block"), F.lit(None).cast("bigint").alias("node"), *BOX)
-    members = whole.unionByName(kinds)
-    has_dense = met.join(kinds.select(F.col("unit").alias("a")).distinct(), "a", "left_semi").unionByName(
-        met.join(kinds.select(F.col("unit").alias("b")).distinct(), "b", "left_semi").select("a", "b")
-    ).distinct()
+    members = kinds.unionByName(
+        whole.select(F.col("key").alias("unit"), F.col("key").alias("block"), F.lit(None).cast("bigint").alias("node"), *BOX)
+    )
+    of_cells = kinds.select("unit").distinct()
+    has_dense = met.join(of_cells.withColumnRenamed("unit", "a"), "a", "left_semi").unionByName(
+        met.join(of_cells.withColumnRenamed("unit", "b"), "b", "left_semi")
+    ).select("a", "b").distinct()
     plain = met.join(has_dense, ["a", "b"], "left_anti")
 
     # Two dense cells: the block nearest to all of the other cell, and the other's block nearest to that one,
@@ -446,16 +454,12 @@ def linked_places(places: DataFrame, square: Square, eps: float, block: int = BL
         F.min_by(F.struct("a_node", "b_node", _across("a_", "b_").alias("far")), _across("a_", "b_")).alias("n")
     ).select("a", "b", "n.*")
     sure = second.where((F.col("far") <= eps * (1 - 1e-12)) & F.col("a_node").isNotNull() & F.col("b_node").isNotNull())
-    sure = settle(sure.select("a", "b", "a_node", "b_node"))
+    sure = store(sure.select("a", "b", "a_node", "b_node"), "plane-sure")
     rest = has_dense.join(sure, ["a", "b"], "left_anti").join(side_of("a", "a_"), "a").join(side_of("b", "b_"), "b")
-    rest = rest.where(_gap("a_", "b_") <= eps * (1 + 1e-12)).select(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
-    pairs = plain.select("a", "b").unionByName(rest)
-    found = _side_by_side(blocks, pairs, ["xs", "ys", "nodes"]).mapInArrow(_links(eps), "a bigint, b bigint")
-    links = found.unionByName(inside).unionByName(sure.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
-    places = blocks.select(F.explode(F.arrays_zip("xs", "ys", "ws", "ids", "nodes")).alias("p")).select(
-        F.col("p.xs").alias("x"), F.col("p.ys").alias("y"), F.col("p.ws").alias("w"), F.col("p.ids").alias("id"), F.col("p.nodes").alias("node")
-    )
-    return places, links
+    rest = rest.withColumn("gap", _gap("a_", "b_")).where(F.col("gap") <= eps)
+    rest = rest.select(F.col("a_block").alias("a"), F.col("b_block").alias("b"), "gap")
+    links = inside.unionByName(sure.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
+    return plain.unionByName(rest), links
 
 
 # --- components --------------------------------------------------------------------------------
@@ -488,18 +492,18 @@ def components(links: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
     Per-node minima combine before they move, and a node of many links is salted.
     """
     # A link goes from the larger node to the smaller one.
-    links = settle(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    links = store(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while links.count() > max_links:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         larger = join_groups(both, lowest, ["a"], "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        larger = settle(larger.where("a <> b").distinct())
+        larger = store(larger.where("a <> b").distinct(), "links")
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = join_groups(larger, lowest, ["a"], "b")
         hung = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(
             lowest.select("a", F.col("m").alias("b"))
         )
-        after = settle(hung.distinct())
+        after = store(hung.distinct(), "links")
         same = after.join(links, ["a", "b"], "left_anti").isEmpty() and links.join(after, ["a", "b"], "left_anti").isEmpty()
         links = after
         if same:

@@ -33,9 +33,57 @@ def _plane(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.pca_embed(cluster.array_vectors(_embeddings(spark, sf), "embedding"))
 
 
-@query("pca_embed")
+def _leading_sql(matrix: str, name: str, squarings: int = 16) -> str:
+    """`<name>`: the leading direction of a symmetric matrix ``(i, j, s)`` by squaring it again and again."""
+    return f"""
+{name}_pow(n, i, j, s) AS (SELECT 0, i, j, s / max(abs(s)) OVER () FROM {matrix}
+  UNION ALL SELECT n, i, j, s / max(abs(s)) OVER () FROM (
+    SELECT a.n + 1 AS n, a.i, b.j, sum(a.s * b.s) AS s FROM {name}_pow a JOIN {name}_pow b ON a.j = b.i
+    WHERE a.n < {squarings} GROUP BY ALL)),
+{name}_top AS (SELECT i, s FROM {name}_pow WHERE n = {squarings}
+  AND j = (SELECT i FROM {name}_pow WHERE n = {squarings} AND i = j ORDER BY s DESC, i LIMIT 1)),
+{name} AS (SELECT i, s / sqrt(sum(s * s) OVER ()) * (SELECT sign(s) FROM {name}_top ORDER BY abs(s) DESC, i LIMIT 1) AS v
+  FROM {name}_top)"""
+
+
+# `plane`: all coordinates of the embeddings turned onto two principal components.
+_PLANE_SQL = f"""
+e AS (SELECT vec_id AS row_id, unnest(range(len(embedding))) AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+c AS (SELECT row_id, d, v - avg(v) OVER (PARTITION BY d) AS v FROM e),
+cov AS (SELECT a.d AS i, b.d AS j, sum(a.v * b.v) AS s FROM c a JOIN c b ON a.row_id = b.row_id GROUP BY ALL),
+{_leading_sql('cov', 'first')},
+rest AS (SELECT cov.i, cov.j,
+    s - (SELECT sum(x.v * cov.s * y.v) FROM cov JOIN first x ON cov.i = x.i JOIN first y ON cov.j = y.i) * p.v * q.v AS s
+  FROM cov JOIN first p ON cov.i = p.i JOIN first q ON cov.j = q.i),
+{_leading_sql('rest', 'second')},
+plane AS (SELECT row_id, sum(c.v * first.v) AS x, sum(c.v * second.v) AS y
+  FROM c JOIN first ON c.d = first.i JOIN second ON c.d = second.i GROUP BY row_id)"""
+
+# `found`: density clusters of `plane`, by comparing all rows with all.
+_DENSITY_SQL = """
+d AS (SELECT a.row_id AS id, b.row_id AS other, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist
+  FROM plane a JOIN plane b ON a.row_id <> b.row_id),
+core AS (SELECT id, dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, other) AS r FROM d) WHERE r = 7),
+near AS (SELECT quantile_cont(dist, 0.9) AS eps FROM core),
+dense AS (SELECT id FROM core, near WHERE dist <= eps),
+edge AS (SELECT id, other FROM d, near WHERE dist <= eps AND id IN (SELECT id FROM dense) AND other IN (SELECT id FROM dense)),
+reach(id, comp) AS (SELECT id, id FROM dense
+  UNION SELECT e.other, r.comp FROM reach r JOIN edge e ON r.id = e.id WHERE r.comp < e.other),
+comp AS (SELECT id, min(comp) AS comp FROM reach GROUP BY id),
+kept AS (SELECT comp, row_number() OVER (ORDER BY count(*) DESC, comp) - 1 AS cluster FROM comp GROUP BY comp
+  HAVING count(*) >= greatest(5, (SELECT count(*) FROM plane) // 7)),
+found AS (SELECT p.row_id, CAST(coalesce(k.cluster, -1) AS INTEGER) AS cluster
+  FROM plane p LEFT JOIN comp ON p.row_id = comp.id LEFT JOIN kept k ON comp.comp = k.comp)"""
+
+
+def _rounded(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Six digits, and one zero instead of two."""
+    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
+
+
+@query("pca_embed", f"WITH RECURSIVE {_PLANE_SQL} SELECT row_id, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM plane")
 def pca_embed(spark: SparkSession, sf: str) -> DataFrame:
-    return _plane(spark, sf)
+    return _rounded(_plane(spark, sf), ["x", "y"])
 
 
 @query("knn_graph", """
@@ -50,32 +98,23 @@ def knn_graph(spark: SparkSession, sf: str) -> DataFrame:
     return graph.withColumn("distance", F.round("distance", 4))
 
 
-@query("density_cluster", """
-WITH RECURSIVE p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
-d AS (SELECT a.id, b.id AS other, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist
-  FROM p a JOIN p b ON a.id <> b.id),
-core AS (SELECT id, dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, other) AS r FROM d) WHERE r = 7),
-c AS (SELECT id FROM core WHERE dist <= (SELECT quantile_cont(dist, 0.9) FROM core)),
-edge AS (SELECT id, other FROM d WHERE dist <= (SELECT quantile_cont(dist, 0.9) FROM core)
-  AND id IN (SELECT id FROM c) AND other IN (SELECT id FROM c)),
-reach(id, comp) AS (SELECT id, id FROM c
-  UNION SELECT e.other, r.comp FROM reach r JOIN edge e ON r.id = e.id WHERE r.comp < e.other),
-comp AS (SELECT id, min(comp) AS comp FROM reach GROUP BY id),
-kept AS (SELECT comp, row_number() OVER (ORDER BY count(*) DESC, comp) - 1 AS cluster FROM comp GROUP BY comp
-  HAVING count(*) >= greatest(5, (SELECT count(*) FROM p) // 7))
-SELECT p.id AS row_id, CAST(coalesce(k.cluster, -1) AS INTEGER) AS cluster
-FROM p LEFT JOIN comp ON p.id = comp.id LEFT JOIN kept k ON comp.comp = k.comp""")
+@query("density_cluster", f"WITH RECURSIVE {_PLANE_SQL}, {_DENSITY_SQL} SELECT row_id, cluster FROM found")
 def density_cluster(spark: SparkSession, sf: str) -> DataFrame:
-    """Density clusters on the plane of the first two embedding coordinates."""
-    rows = _embeddings(spark, sf)
-    return cluster.density_cluster(rows.select("row_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y")))
+    """Density clusters on the plane of all embedding coordinates."""
+    return cluster.density_cluster(_plane(spark, sf))
 
 
-@query("cluster_coordinates")
+@query("cluster_coordinates", f"""WITH RECURSIVE {_PLANE_SQL}, {_DENSITY_SQL}
+SELECT p.row_id, CAST(d.doc_id AS VARCHAR) AS chr, CASE WHEN d.doc_id IS NOT NULL THEN 0 END AS start, d.n_chars AS stop,
+  CASE WHEN d.doc_id IS NOT NULL THEN '+' END AS strand, f.cluster, round(x, 6) + 0.0 AS pca_x, round(y, 6) + 0.0 AS pca_y
+FROM plane p JOIN found f ON p.row_id = f.row_id LEFT JOIN documents d ON p.row_id = d.doc_id""")
 def cluster_coordinates(spark: SparkSession, sf: str) -> DataFrame:
+    """Locus, cluster and plane coordinates; an embedding's locus is the document of its id."""
     plane = settle(_plane(spark, sf))
-    rows = _embeddings(spark, sf).select("row_id", "label")
-    return cluster.cluster_coordinates(rows, plane, cluster.density_cluster(plane))
+    loci = i.documents(spark, sf).select("row_id", "chr", "start", "stop", "strand")
+    rows = _embeddings(spark, sf).select("row_id").join(loci, "row_id", "left")
+    table = cluster.cluster_coordinates(rows, plane, cluster.density_cluster(plane))
+    return _rounded(table.withColumnsRenamed({"x": "pca_x", "y": "pca_y"}), ["pca_x", "pca_y"])
 
 
 @query("hierarchical_cluster")

@@ -34,8 +34,10 @@ def width(spark: SparkSession) -> int:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables, as the session names it.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own. Whoever needs the folder is about to
+    run this package's code in workers, so that is sent there, too.
     """
+    ship_package(spark)
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
     if not root:
