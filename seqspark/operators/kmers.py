@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, fold_lower, pieces
-from seqspark.operators.stats import exact_sum
+from seqspark.operators.exact import Limbs
 from seqspark.session import width
 
 # Characters per piece when k-mers are exploded: `substring` walks from the start of its string,
@@ -69,17 +69,19 @@ def postings(
 
 
 def kmer_index(
-    posted: DataFrame, row_id: str = "row_id", weight: str = "total_expr", by: Sequence[str] = ()
+    posted: DataFrame, row_id: str = "row_id", weight: str = "total_expr", by: Sequence[str] = (), limbs: Limbs | None = None
 ) -> DataFrame:
     """Per k-mer (and group): rows covered, their summed weight, and the first occurrence.
 
     All four aggregates have fixed-width buffers, so both halves are hash aggregates and a frequent
-    k-mer is combined before the shuffle. Weights are added as decimals: rankings must not hang on the order
-    of a floating-point sum, nor on digits cut off.
+    k-mer is combined before the shuffle. Weights are added exactly, as whole numbers: rankings must not hang
+    on the order of a floating-point sum, nor on digits cut off. ``limbs`` says how; taken from the table of
+    rows (``Limbs.of(rows, weight)``) it spares a pass over the postings.
     """
+    limbs = limbs or Limbs.of(posted, weight)
     return posted.groupBy(*by, F.col("kmer").alias("primer")).agg(
         F.count(F.lit(1)).alias("coverage"),
-        exact_sum(weight).alias("total_expr"),
+        limbs.sum(weight).alias("total_expr"),
         F.min(row_id).alias("first_row"),
         F.min_by("pos", row_id).alias("first_pos"),
     )

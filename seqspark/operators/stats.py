@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import cluster_label, gc_fraction
+from seqspark.operators.exact import Limbs
 from seqspark.operators.filters import row_sum, sample_conditions
 from seqspark.session import join_on
 
@@ -101,25 +102,14 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), nam
     )
 
 
-def exact_sum(column: str) -> Column:
-    """Sum that does not hang on the order of the rows: of decimals with ten digits after the point.
+def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """Count, mean, sd (n-1), min, max, quartiles and positive share per group of a long table.
 
-    Where a value is beyond them, the floating-point sum stands in.
+    Means come from exact sums, so they are the same however the rows are dealt.
     """
-    value = F.col(column).cast("double")
-    exact = value.try_cast("decimal(28,10)")
-    return F.when(F.count(exact) == F.count(value), F.sum(exact).cast("double")).otherwise(F.sum(value))
-
-
-def exact_mean(column: str) -> Column:
-    return F.when(F.count(column) > 0, exact_sum(column) / F.count(column))
-
-
-def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
-    """Count, mean, sd (n-1), min, max, quartiles and positive share per group of a long table."""
     summary = long.groupBy(*by).agg(
         F.count(value).alias("n"),
-        exact_mean(value).alias("mean"),
+        Limbs.of(long, value).mean(value).alias("mean"),
         F.stddev_samp(value).alias("sd"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
@@ -141,6 +131,12 @@ def seq_features(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn("length", F.length(seq).cast("bigint")).withColumn("gc", gc_fraction(seq))
 
 
+def chart_features(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """``length`` and ``gc`` as charts count them: an empty sequence has a gc share of 0."""
+    features = seq_features(df, seq)
+    return features.withColumn("gc", F.when(F.col(seq).isNotNull(), F.coalesce("gc", F.lit(0.0))))
+
+
 def condition_totals(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per-row sums of each condition's samples, as ``(by, condition, replicates, value)`` rows."""
     groups = sample_conditions(columns)
@@ -162,12 +158,14 @@ def condition_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 
 def condition_by_cluster(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Mean per-row condition sum for each cluster."""
-    return condition_totals(df, columns, [cluster]).groupBy(cluster, "condition").agg(exact_mean("value").alias("mean"))
+    totals = condition_totals(df, columns, [cluster])
+    return totals.groupBy(cluster, "condition").agg(Limbs.of(totals, "value").mean("value").alias("mean"))
 
 
 def expression_matrix(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """Mean of every sample per cluster, one column per sample."""
-    return df.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in columns])
+    limbs = Limbs.of(df, *columns)
+    return df.groupBy(cluster).agg(*[limbs.mean(c).alias(c) for c in columns])
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -190,10 +188,11 @@ def cluster_summary(
         features = features.withColumn("total_expr", row_sum(columns))
         metrics.append("total_expr")
     features = features.select(cluster, *metrics)
+    limbs = {m: Limbs.of(features, m) for m in metrics}
     means = features.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("size"),
-        *[F.avg(m).alias(f"mean_{m}") for m in metrics],
-        *([F.sum("total_expr").alias("sum_total_expr")] if columns else []),
+        *[limbs[m].mean(m).alias(f"mean_{m}") for m in metrics],
+        *([limbs["total_expr"].sum("total_expr").alias("sum_total_expr")] if columns else []),
     )
     medians = quantiles(long_form(features, metrics, [cluster]), "value", [cluster, "metric"], [0.5])
     wide = medians.groupBy(cluster).agg(

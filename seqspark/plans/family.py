@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case
 from seqspark.operators import align, cluster, filters, intervals, kmers, primers, search, stats
+from seqspark.operators.exact import Limbs
 from seqspark.operators.ordering import with_row_id
 from seqspark.session import settle
 from seqspark.sources import fasta, tables
@@ -91,8 +92,9 @@ def analyse(
     # Settled: the index over all rows and the one per cluster read the same postings.
     posted = kmers.postings(rows, settings.k, keep=["cluster", "total_expr"])
     posted = settle(posted)
-    index = settle(kmers.kmer_index(posted))
-    by_cluster = kmers.kmer_index(posted, by=["cluster"])
+    limbs = Limbs.of(rows, "total_expr")
+    index = settle(kmers.kmer_index(posted, limbs=limbs))
+    by_cluster = kmers.kmer_index(posted, by=["cluster"], limbs=limbs)
     selected = settle(primers.select_primers(index, settings.top_global))
     best = settle(primers.top_cluster_primers(by_cluster, n=settings.top_cluster))
     out |= {

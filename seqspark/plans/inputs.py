@@ -98,7 +98,7 @@ def index_sql(source: str, by: str = "", k: int = K) -> str:
     return f"""{kmers_sql(source, f'{also}row_id, total_expr', k)},
 postings AS (SELECT {also}row_id, total_expr, kmer, min(pos) AS pos FROM kmers
   WHERE NOT contains(kmer, 'N') GROUP BY ALL),
-idx AS (SELECT {also}kmer AS primer, count(*) AS coverage, CAST(sum(CAST(total_expr AS DECIMAL(28, 10))) AS DOUBLE) AS total_expr,
+idx AS (SELECT {also}kmer AS primer, count(*) AS coverage, fsum(total_expr) AS total_expr,
   min(row_id) AS first_row, arg_min(pos, row_id) AS first_pos FROM postings GROUP BY ALL)"""
 
 

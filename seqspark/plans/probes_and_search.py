@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqspark.operators import intervals, kmers, primers, sampling, search
+from seqspark.operators.exact import Limbs
 from seqspark.plans import inputs as i
 from seqspark.plans.registry import query
 from seqspark.session import settle
@@ -14,23 +15,25 @@ from seqspark.session import settle
 
 
 def _document_index(spark: SparkSession, sf: str, by: tuple[str, ...] = ()) -> DataFrame:
-    return kmers.kmer_index(kmers.postings(i.documents(spark, sf), i.K, keep=[*by, "total_expr"]), by=by)
+    docs = i.documents(spark, sf)
+    return kmers.kmer_index(kmers.postings(docs, i.K, keep=[*by, "total_expr"]), by=by, limbs=Limbs.of(docs, "total_expr"))
 
 
-def _chat_postings(spark: SparkSession, sf: str, by: tuple[str, ...] = ()) -> DataFrame:
-    return kmers.postings(i.chats(spark, sf), i.K, keep=[*by, "total_expr"])
+def _chat_index(spark: SparkSession, sf: str, by: tuple[str, ...] = ()) -> DataFrame:
+    chats = i.chats(spark, sf)
+    return kmers.kmer_index(kmers.postings(chats, i.K, keep=[*by, "total_expr"]), by=by, limbs=Limbs.of(chats, "total_expr"))
 
 
 @query("kmer_index", f"""
 WITH {i.CHATS_SQL}, {i.index_sql('chats')} SELECT * FROM idx""")
 def kmer_index(spark: SparkSession, sf: str) -> DataFrame:
-    return kmers.kmer_index(_chat_postings(spark, sf))
+    return _chat_index(spark, sf)
 
 
 @query("cluster_kmer_index", f"""
 WITH {i.CHATS_SQL}, {i.index_sql('chats', 'cluster')} SELECT * FROM idx""")
 def cluster_kmer_index(spark: SparkSession, sf: str) -> DataFrame:
-    return kmers.kmer_index(_chat_postings(spark, sf, ("cluster",)), by=["cluster"])
+    return _chat_index(spark, sf, ("cluster",))
 
 
 @query("kmer_counts", f"""

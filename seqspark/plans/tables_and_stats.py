@@ -187,21 +187,48 @@ def total_expr_stats(spark: SparkSession, sf: str) -> DataFrame:
 WITH {i.LINES_SQL},
 t AS (SELECT unnest(['gross', 'qty', 'rate']) AS condition, unnest([1, 1, 2]) AS replicates,
   unnest([A1_gross_r1, B1_qty_r1, C1_rate_r1 + C2_rate_r2]) AS v FROM lines)
-SELECT condition, replicates, CAST(round(CAST(CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean, round(quantile_cont(v, 0.5), 4) AS median,
+SELECT condition, replicates, CAST(round(CAST(fsum(v) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean, round(quantile_cont(v, 0.5), 4) AS median,
   round(stddev_samp(v), 4) AS sd FROM t GROUP BY ALL""")
 def expr_by_condition(spark: SparkSession, sf: str) -> DataFrame:
     return _round(stats.condition_stats(i.lines(spark, sf), i.LINE_SAMPLES), ["mean", "median", "sd"])
 
 
-@query("cluster_stats", f"""{_LINES_LONG_SQL}
+_CHAT_FEATURES_SQL = f"""{i.CHATS_SQL},
+shape AS (SELECT cluster, CAST(length(seq) AS DOUBLE) AS length,
+  (length(seq) - length(translate(seq, 'GC', ''))) / nullif(length(seq), 0) AS gc FROM chats)"""
+
+
+def _chat_features(spark: SparkSession, sf: str) -> DataFrame:
+    return i.chats(spark, sf).withColumn("seq", i.fold_case("seq"))
+
+
+@query("cluster_stats", f"""{_LINES_LONG_SQL}, {_CHAT_FEATURES_SQL},
+both_long AS (SELECT * FROM long
+  UNION ALL SELECT cluster, 'total_expr', {_TOTAL_SQL} FROM lines
+  UNION ALL SELECT cluster, 'length', length FROM shape UNION ALL SELECT cluster, 'gc', gc FROM shape)
 SELECT cluster, metric, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS sd,
   min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 4) AS q1,
   round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.75), 4) AS q3,
   count(*) FILTER (value > 0) AS nonzero, round(count(*) FILTER (value > 0) * 100.0 / count(*), 4) AS nonzero_pct
-FROM long GROUP BY cluster, metric""")
+FROM both_long GROUP BY cluster, metric""")
 def cluster_stats(spark: SparkSession, sf: str) -> DataFrame:
-    found = stats.describe(i.lines(spark, sf), i.LINE_SAMPLES, ["cluster"])
-    return _round(found, ["mean", "sd", "q1", "median", "q3", "nonzero_pct"])
+    """Samples and totals of line items, length and gc of conversation turns, per cluster with noise."""
+    lines = filters.with_total_expr(i.lines(spark, sf), i.LINE_SAMPLES)
+    found = stats.describe(lines, [*i.LINE_SAMPLES, "total_expr"], ["cluster"])
+    shape = stats.describe(stats.seq_features(_chat_features(spark, sf)), ["length", "gc"], ["cluster"])
+    return _round(found.unionByName(shape), ["mean", "sd", "q1", "median", "q3", "nonzero_pct"])
+
+
+@query("cluster_condition_stats", f"""
+WITH {i.LINES_SQL},
+t AS (SELECT cluster, unnest(['gross', 'qty', 'rate']) AS condition, unnest([1, 1, 2]) AS replicates,
+  unnest([A1_gross_r1, B1_qty_r1, C1_rate_r1 + C2_rate_r2]) AS v FROM lines)
+SELECT cluster, condition, replicates, CAST(round(CAST(fsum(v) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean,
+  round(quantile_cont(v, 0.5), 4) AS median, round(stddev_samp(v), 4) AS sd FROM t GROUP BY ALL""")
+def cluster_condition_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the condition sums per cluster with noise."""
+    found = stats.condition_stats(i.lines(spark, sf), i.LINE_SAMPLES, ["cluster"])
+    return _round(found, ["mean", "median", "sd"])
 
 
 @query("cluster_summary", f"""{_FEATURES_SQL}
@@ -241,31 +268,43 @@ def expression_matrix(spark: SparkSession, sf: str) -> DataFrame:
 WITH {i.LINES_SQL},
 t AS (SELECT cluster, unnest(['gross', 'qty', 'rate']) AS condition,
   unnest([A1_gross_r1, B1_qty_r1, C1_rate_r1 + C2_rate_r2]) AS v FROM lines)
-SELECT cluster, condition, CAST(round(CAST(CAST(sum(CAST(v AS DECIMAL(28, 10))) AS DOUBLE) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean FROM t GROUP BY ALL""")
+SELECT cluster, condition, CAST(round(CAST(fsum(v) / count(v) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean FROM t GROUP BY ALL""")
 def condition_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return _round(stats.condition_by_cluster(i.lines(spark, sf), i.LINE_SAMPLES), ["mean"])
 
 
-@query("histogram", f"""{_FEATURES_SQL},
+@query("histogram", f"""
+WITH {i.DOCUMENTS_SQL},
+feat AS (SELECT CAST(length(seq) AS DOUBLE) AS length,
+  CASE WHEN seq = '' THEN 0 ELSE (length(seq) - length(translate(seq, 'GC', ''))) / length(seq) END AS gc FROM docs),
 v AS (SELECT unnest(['length', 'gc']) AS metric, unnest([length, gc]) AS v FROM feat),
 e AS (SELECT metric, min(v) AS lo, max(v) AS hi FROM v GROUP BY metric),
 b AS (SELECT v.metric, lo, hi, least(29, floor((v - lo) / ((hi - lo) / 30))) AS bin FROM v JOIN e USING (metric) WHERE v IS NOT NULL)
 SELECT metric, CAST(bin AS INTEGER) AS bin, round(lo + bin * ((hi - lo) / 30), 4) AS bin_start,
   round(lo + (bin + 1) * ((hi - lo) / 30), 4) AS bin_stop, count(*) AS n FROM b GROUP BY ALL""")
 def histogram(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _features(spark, sf)
+    """Lengths and gc shares of all documents, empty ones included."""
+    docs = stats.chart_features(i.documents(spark, sf).withColumn("seq", i.fold_case("seq")))
     both = [stats.histogram(docs, c).select(F.lit(c).alias("metric"), "*") for c in ("length", "gc")]
     return _round(both[0].unionByName(both[1]), ["bin_start", "bin_stop"])
 
 
 @query("box_summary", f"""
-WITH {i.LINES_SQL},
-q AS (SELECT cluster, count(*) AS n, quantile_cont(A1_gross_r1, 0.25) AS q1, quantile_cont(A1_gross_r1, 0.5) AS median,
-  quantile_cont(A1_gross_r1, 0.75) AS q3 FROM lines GROUP BY cluster)
-SELECT q.cluster, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
-  min(A1_gross_r1) FILTER (A1_gross_r1 >= q1 - (q3 - q1) * 1.5) AS whisker_low,
-  max(A1_gross_r1) FILTER (A1_gross_r1 <= q3 + (q3 - q1) * 1.5) AS whisker_high,
+WITH {i.LINES_SQL}, {_CHAT_FEATURES_SQL},
+v AS (SELECT 'A1_gross_r1' AS metric, cluster, A1_gross_r1 AS v FROM lines
+  UNION ALL SELECT 'length', cluster, length FROM shape
+  UNION ALL SELECT 'gc', cluster, CASE WHEN length = 0 THEN 0 ELSE gc END FROM shape),
+q AS (SELECT metric, cluster, count(v) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+  quantile_cont(v, 0.75) AS q3 FROM v GROUP BY ALL)
+SELECT q.metric, q.cluster, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
+  round(min(v) FILTER (v >= q1 - (q3 - q1) * 1.5), 6) AS whisker_low,
+  round(max(v) FILTER (v <= q3 + (q3 - q1) * 1.5), 6) AS whisker_high,
   CASE WHEN q.cluster = -1 THEN 'Noise' ELSE 'C' || q.cluster END AS label
-FROM lines l JOIN q ON l.cluster = q.cluster GROUP BY ALL""")
+FROM v JOIN q ON v.metric = q.metric AND v.cluster = q.cluster GROUP BY ALL""")
 def box_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _round(stats.box_summary(i.lines(spark, sf), "A1_gross_r1"), ["q1", "median", "q3"])
+    """Boxes of a sample of line items, and of length and gc of conversation turns."""
+    shape = stats.chart_features(_chat_features(spark, sf))
+    boxes = [(i.lines(spark, sf), "A1_gross_r1"), (shape, "length"), (shape, "gc")]
+    found = [stats.box_summary(rows, c).select(F.lit(c).alias("metric"), "*") for rows, c in boxes]
+    both = found[0].unionByName(found[1]).unionByName(found[2])
+    return _round(_round(both, ["q1", "median", "q3"]), ["whisker_low", "whisker_high"], 6)

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import cluster_label, coord_label
 from seqspark.operators import filters, stats
+from seqspark.operators.exact import Limbs
 from seqspark.operators.filters import sample_conditions
 
 
@@ -99,6 +102,12 @@ def test_histogram_and_box(spark):
         assert r["label"] == ("Noise" if r["cluster"] == -1 else f"C{r['cluster']}")
 
 
+def test_empty_sequences_are_charted(spark):
+    df = spark.createDataFrame([("GC",), ("",), ("AT",), (None,), ("GA",)], "seq string")
+    assert [r["n"] for r in stats.histogram(stats.chart_features(df), "gc").orderBy("bin").collect()] == [2, 1, 1]
+    assert stats.describe(stats.seq_features(df), ["gc"]).first()["n"] == 3
+
+
 def test_filters(spark):
     df = spark.createDataFrame(
         [("HAB.9", "x", 1), ("hab19", "HAB", 2), (None, "hab", 3), ("other", "y", 4)], "TE_name string, note string, chr int"
@@ -125,6 +134,50 @@ def test_labels(spark):
     assert [r[0] for r in labels] == ["Noise", "C4"]
 
 
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, max_value=1e305, min_value=-1e305), min_size=1, max_size=40))
+def test_exact_sums_of_any_doubles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.agg(Limbs.of(df, "v").sum("v")).first()[0]
+    assert got == pytest.approx(math.fsum(values), rel=4e-16, abs=0)
+
+
+@pytest.mark.parametrize("values", [
+    [1e-11, 2e-11, 3e-11], [1e300, 1.0, -1e300], [1e300, 1e-300, 5e-324], [0.1] * 1000, [5e-324] * 3, [0.0, -0.0],
+    [2.0**53, 1.0, 1.0, -(2.0**53)], [1e16, 0.3, -1e16, 1e-7], [i / 7 for i in range(-400, 999)], [3.0, 4.0, 2.0**60],
+])
+def test_exact_sums(spark, values):
+    """The right sum, rounded once, and the same bits however rows are spread."""
+    found = set()
+    for parts in (1, 8, 200):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double").repartition(parts, "i")
+        found.add(df.agg(Limbs.of(df, "v").sum("v")).first()[0])
+    assert found == {math.fsum(values)}
+
+
+def test_exact_sums_of_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", None), ("b", 1.5), ("b", inf), ("c", inf), ("c", -inf), ("d", nan), ("d", 1.0), ("e", 0.1), ("e", 0.2), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    limbs = Limbs.of(df, "v")
+    got = {r["g"]: (r["s"], r["m"]) for r in df.groupBy("g").agg(limbs.sum("v").alias("s"), limbs.mean("v").alias("m")).collect()}
+    assert got["a"] == (None, None) and got["b"][0] == inf and got[None] == (2.0, 2.0)
+    assert math.isnan(got["c"][0]) and math.isnan(got["d"][0]) and got["e"][0] == math.fsum([0.1, 0.2])
+    assert df.limit(0).agg(Limbs.of(df.limit(0), "v").sum("v")).first()[0] is None
+
+
+def test_gc_shares_do_not_hang_on_partitioning(spark, data):
+    df = spark.createDataFrame([(i % 2, "ACG" * (i % 11) + "T" * (i % 17)) for i in range(3000)], "cluster int, seq string")
+    found = set()
+    for parts in (1, 8, 200):
+        spread = df.repartition(parts, "seq")
+        summary = stats.cluster_summary(spread).select("cluster", "mean_gc")
+        shares = stats.describe(stats.seq_features(spread), ["gc"], ["cluster"]).select("cluster", "mean")
+        matrix = stats.expression_matrix(stats.seq_features(spread), ["gc", "length"])
+        found.add(str([sorted(map(tuple, t.collect())) for t in (summary, shares, matrix)]))
+    assert len(found) == 1
+
+
 def test_means_do_not_hang_on_partitioning(spark):
     """Sums of tenths and hundredths in any order: the same bits, however the rows are spread."""
     rows = [(i % 3, 0.1 * (i % 7), 0.01 * (i % 13)) for i in range(5000)]
