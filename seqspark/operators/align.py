@@ -1,7 +1,7 @@
 """Alignments as rows of equal-axis strings: placing, profiles, consensus and cleaning.
 
-A row that is shorter than its group is gapped to the right. Column tables hold one row per column of a
-group and never per cell; columns are removed by cutting strings, so cells are only ever counted.
+A row that is shorter than its group is gapped to the right. Cells are never listed: characters are counted
+in place (``columns.py``), and columns are removed by cutting strings.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqspark.functions.sequence import GAP, fold_case, pieces, ungapped_length, without_gaps
+from seqspark.functions.sequence import GAP, fold_case, ungapped_length, without_gaps
+from seqspark.operators.columns import column_rows, counted_columns, joined_text, sizes_of
 from seqspark.operators.kmers import UNKNOWN, by_row, positions
 from seqspark.session import MAX_BROADCAST, broadcast_if_small, join_groups, join_on, settle
 
@@ -24,20 +25,10 @@ INSERTION_FLANK = 5
 INSERTION_SHARE = 0.5
 MIN_LENGTH = 50
 
-_PART = 1024
-
-# Characters per piece when cells are listed.
+# Columns listed at a time.
 _PIECE = 4096
 
 
-def cells(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id", gaps: bool = False) -> DataFrame:
-    """Long form ``(by, row_id, col, base)``; gap cells only when asked for."""
-    cut = rows.select(*by, row_id, F.posexplode(pieces(fold_case("seq"), _PIECE)).alias("_piece", "_text"))
-    split = cut.select(*by, row_id, "_piece", F.posexplode(F.split("_text", "")).alias("_i", "base"))
-    long = split.select(*by, row_id, (F.col("_piece").cast("bigint") * _PIECE + F.col("_i")).alias("col"), "base")
-    return long if gaps else long.where(F.col("base") != GAP)
-
-
 def group_sizes(rows: DataFrame, by: Sequence[str] = ("grp",)) -> DataFrame:
     """Rows and width of each alignment."""
     return rows.groupBy(*by).agg(
@@ -63,37 +54,14 @@ def consensus_columns(
     The most frequent base if it has at least ``share`` of the non-gap bases, otherwise ``N``; equal
     counts go to the base seen first in row order. Bases are counted before anything is shuffled.
     """
-    counted = cells(rows, by, row_id, gaps).groupBy(*by, "col", "base").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_first")
-    )
-    blank = axis(rows, by).select(
-        *by, "col", F.lit(UNKNOWN).alias("base"), F.lit(0).cast("bigint").alias("_n"),
-        F.lit(None).cast(rows.schema[row_id].dataType).alias("_first"),
-    )
-    best = counted.unionByName(blank).groupBy(*by, "col").agg(
-        F.sum("_n").alias("total"),
-        F.max("_n").alias("top"),
-        F.max_by("base", F.struct("_n", -F.col("_first"))).alias("_base"),
-    )
-    chosen = F.when(F.col("top") >= F.col("total") * share, F.col("_base")).otherwise(F.lit(UNKNOWN))
-    return best.select(*by, "col", "total", "top", chosen.alias("base"))
-
-
-def assemble(columns: DataFrame, by: Sequence[str] = ("grp",), name: str = "consensus") -> DataFrame:
-    """One string per group from its column bases, built in parts."""
-    def concat(order: str, text: str) -> Column:
-        pairs = F.array_sort(F.collect_list(F.struct(order, text)))
-        return F.array_join(F.transform(pairs, lambda p: p[text]), "")
-
-    parts = columns.groupBy(*by, F.floor(F.col("col") / _PART).alias("_part")).agg(concat("col", "base").alias("_text"))
-    return parts.groupBy(*by).agg(concat("_part", "_text").alias(name))
+    return column_rows(counted_columns(rows, share, by, row_id, gaps), by)
 
 
 def consensus(
     rows: DataFrame, share: float = CONSENSUS_SHARE, by: Sequence[str] = ("grp",), row_id: str = "seq_id"
 ) -> DataFrame:
     """Threshold consensus string of each group."""
-    return assemble(consensus_columns(rows, share, by, row_id), by)
+    return joined_text(counted_columns(rows, share, by, row_id), by)
 
 
 def positional_consensus(
@@ -101,37 +69,34 @@ def positional_consensus(
 ) -> DataFrame:
     """Most frequent character per raw position without a threshold, and the same without gaps."""
     rows = df.select(*by, row_id, F.col(seq).alias("seq"))
-    text = assemble(consensus_columns(rows, 0.0, by, row_id, gaps=True), by)
+    text = joined_text(counted_columns(rows, 0.0, by, row_id, gaps=True), by)
     return text.withColumn("gap_reduced", without_gaps("consensus"))
 
 
 def alignment_profile(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
-    """Rows, width, mean gaps per column, columns without gaps, columns with more than half gaps.
-
-    Computed from occupied cells: a column without any is all gaps and need not be listed.
-    """
-    occupied = cells(rows, by, row_id).groupBy(*by, "col").agg(F.count(F.lit(1)).alias("_o"))
-    sizes = group_sizes(rows, by)
-    few = F.col("n") - F.col("_o") > F.col("n") / 2
-    counted = join_on(occupied, sizes, by).groupBy(*by).agg(
-        F.sum("_o").alias("_cells"),
-        F.count_if(F.col("_o") == F.col("n")).alias("_full"),
-        F.count_if(few).alias("_few"),
-        F.count(F.lit(1)).alias("_seen"),
+    """Rows, width, mean gaps per column, columns without gaps, columns with more than half gaps."""
+    counted = settle(counted_columns(rows, 0.0, by, row_id))
+    sizes = sizes_of(counted, by)
+    joined = join_on(counted.select(*by, "totals"), sizes, by)
+    per_stretch = joined.select(
+        *by, "n", F.col("width"),
+        F.aggregate("totals", F.lit(0).cast("bigint"), lambda a, t: a + t).alias("_cells"),
+        F.size(F.filter("totals", lambda t: t == F.col("n"))).alias("_full"),
+        F.size(F.filter("totals", lambda t: F.col("n") - t > F.col("n") / 2)).alias("_few"),
     )
-    joined = join_on(sizes, counted, by, "left").fillna(0, ["_cells", "_full", "_few", "_seen"])
-    return joined.select(
+    summed = per_stretch.groupBy(*by, "n", "width").agg(*[F.sum(c).alias(c) for c in ("_cells", "_full", "_few")])
+    return summed.select(
         *by, "n", "width",
         F.when(F.col("width") > 0, F.col("n") - F.col("_cells") / F.col("width")).alias("mean_gaps"),
         F.col("_full").alias("columns_without_gaps"),
-        (F.col("_few") + F.col("width") - F.col("_seen")).alias("columns_over_half_gaps"),
+        F.col("_few").alias("columns_over_half_gaps"),
     )
 
 
 def consensus_summary(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
     """Size, consensus length without gaps and alignment length of each group."""
-    text = consensus(rows, CONSENSUS_SHARE, by, row_id)
-    return join_on(group_sizes(rows, by), text, by, "left").select(
+    counted = settle(counted_columns(rows, CONSENSUS_SHARE, by, row_id))
+    return join_on(sizes_of(counted, by), joined_text(counted, by), by, "left").select(
         *by, F.col("n").alias("size"),
         F.coalesce(ungapped_length("consensus"), F.lit(0)).cast("bigint").alias("consensus_length"),
         F.col("width").alias("alignment_length"),
@@ -203,7 +168,7 @@ def anchor_align(
 
 def identity_to_majority(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
     """Rows with ``identity``: share of their non-gap columns that equal the majority base."""
-    major = assemble(consensus_columns(rows, 0.0, by, row_id), by, "_major")
+    major = joined_text(counted_columns(rows, 0.0, by, row_id), by, "_major")
     joined = join_groups(rows, major, by, row_id, "left")
     folded = fold_case("seq")
     pairs = F.zip_with(
@@ -230,8 +195,9 @@ def remove_short(rows: DataFrame, threshold: int = MIN_LENGTH) -> DataFrame:
 
 def occupancy(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
     """Occupied cells of every column, empty columns included, with the number of rows."""
-    seen = cells(rows, by, row_id).groupBy(*by, "col").agg(F.count(F.lit(1)).alias("occupied"))
-    return join_on(axis(rows, by), seen, [*by, "col"], "left").fillna(0, ["occupied"])
+    counted = settle(counted_columns(rows, 0.0, by, row_id))
+    columns = column_rows(counted, by).select(*by, "col", F.col("total").alias("occupied"))
+    return join_on(columns, sizes_of(counted, by).select(*by, "n"), by).select(*by, "n", "col", "occupied")
 
 
 def gap_only_columns(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id") -> DataFrame:
@@ -269,11 +235,12 @@ def drop_gap_only(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "
 def insertion_columns(
     rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str = "seq_id",
     min_size: int = INSERTION_MIN, max_size: int = INSERTION_MAX,
-    min_flank: int = INSERTION_FLANK, share: float = INSERTION_SHARE,
+    min_flank: int = INSERTION_FLANK, share: float = INSERTION_SHARE, occupied: DataFrame | None = None,
 ) -> DataFrame:
     """Columns of insertions: runs of thinly occupied columns, of bounded width, carried by a row that
-    has bases enough on both sides of the run."""
-    thin = occupancy(rows, by, row_id).where(F.col("occupied") < F.col("n") * share).select(*by, "col")
+    has bases enough on both sides of the run. ``occupied`` is their occupancy, if that is known."""
+    columns = occupancy(rows, by, row_id) if occupied is None else occupied
+    thin = columns.where(F.col("occupied") < F.col("n") * share).select(*by, "col")
     runs = _runs(thin, by).where(F.col("size").between(min_size, max_size))
     listed = runs.groupBy(*by).agg(F.collect_list(F.struct("start", "size")).alias("_runs"))
 
@@ -325,17 +292,23 @@ def clean_alignment(
         note(step, "row", rows.join(kept.select(row_id), row_id, "left_anti"), row_id)
         return kept
 
+    def renumbered(kept: DataFrame, order: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(order)).cast("bigint") - 1
+        return kept.withColumn("col", place)
+
     def drop_columns(step: str, dropped: DataFrame) -> tuple[DataFrame, DataFrame]:
         dropped = settle(dropped)
         note(step, "column", columns.join(dropped, keys, "left_semi"), "_original")
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("_original")).cast("bigint") - 1
-        left = columns.join(dropped, keys, "left_anti").withColumn("col", place)
+        left = renumbered(columns.join(dropped, keys, "left_anti"), "_original")
         return settle(without_columns(rows, dropped, by, row_id)), settle(left)
 
     rows = drop_rows("remove_divergent", remove_divergent(rows, min_identity, by, row_id))
-    rows, columns = drop_columns("remove_gap_only", gap_only_columns(rows, by, row_id))
-    rows, columns = drop_columns("remove_insertions", insertion_columns(rows, by, row_id, **limits))
-    rows, columns = drop_columns("remove_gap_only", gap_only_columns(rows, by, row_id))
+    # Counted once for two steps: cutting columns leaves the others as occupied as they were. For the same
+    # reason no column can be empty again before the next rows go.
+    occupied = settle(occupancy(rows, by, row_id))
+    rows, columns = drop_columns("remove_gap_only", occupied.where("occupied = 0").select(*keys))
+    occupied = renumbered(occupied.where("occupied > 0"), "col")
+    rows, columns = drop_columns("remove_insertions", insertion_columns(rows, by, row_id, occupied=occupied, **limits))
     rows = drop_rows("remove_short", remove_short(rows, min_length))
     rows, columns = drop_columns("remove_gap_only", gap_only_columns(rows, by, row_id))
     removed = log[0]
