@@ -204,13 +204,16 @@ def gap_only_columns(rows: DataFrame, by: Sequence[str] = ("grp",), row_id: str
     return occupancy(rows, by, row_id).where(F.col("occupied") == 0).select(*by, "col")
 
 
-def _runs(columns: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Consecutive columns as ``(start, size)``."""
+def _runs(columns: DataFrame, by: Sequence[str], at: str = "col") -> DataFrame:
+    """Consecutive columns as ``(start, span, size)``: where they are, and how many there are."""
     number = F.row_number().over(Window.partitionBy(*by).orderBy("col"))
     return (
         columns.withColumn("_island", F.col("col") - number)
         .groupBy(*by, "_island")
-        .agg(F.min("col").cast("int").alias("start"), F.count(F.lit(1)).cast("int").alias("size"))
+        .agg(
+            F.min(at).cast("int").alias("start"), (F.max(at) - F.min(at) + 1).cast("int").alias("span"),
+            F.count(F.lit(1)).cast("int").alias("size"),
+        )
         .drop("_island")
     )
 
@@ -238,11 +241,12 @@ def insertion_columns(
     min_flank: int = INSERTION_FLANK, share: float = INSERTION_SHARE, occupied: DataFrame | None = None,
 ) -> DataFrame:
     """Columns of insertions: runs of thinly occupied columns, of bounded width, carried by a row that
-    has bases enough on both sides of the run. ``occupied`` is their occupancy, if that is known."""
-    columns = occupancy(rows, by, row_id) if occupied is None else occupied
-    thin = columns.where(F.col("occupied") < F.col("n") * share).select(*by, "col")
-    runs = _runs(thin, by).where(F.col("size").between(min_size, max_size))
-    listed = runs.groupBy(*by).agg(F.collect_list(F.struct("start", "size")).alias("_runs"))
+    has bases enough on both sides of the run. ``occupied`` is the occupancy of the columns that count, numbered
+    one by one in ``col``, with their place in the rows (``at``); what lies between two of them holds no base."""
+    columns = occupancy(rows, by, row_id).withColumn("at", F.col("col")) if occupied is None else occupied
+    thin = columns.where(F.col("occupied") < F.col("n") * share).select(*by, "col", "at")
+    runs = _runs(thin, by, "at").where(F.col("size").between(min_size, max_size))
+    listed = runs.groupBy(*by).agg(F.collect_list(F.struct("start", "span")).alias("_runs"))
 
     def bases(start: Column, size: Column) -> Column:
         return ungapped_length(F.substring(F.col("seq"), start, size))
@@ -252,16 +256,16 @@ def insertion_columns(
         F.explode(
             F.filter(
                 "_runs",
-                lambda r: (bases(r["start"] + 1, r["size"]) > 0)
+                lambda r: (bases(r["start"] + 1, r["span"]) > 0)
                 & (bases(F.lit(1), r["start"]) >= min_flank)
-                & (bases(r["start"] + r["size"] + 1, F.length("seq")) >= min_flank),
+                & (bases(r["start"] + r["span"] + 1, F.length("seq")) >= min_flank),
             )
         ).alias("_run"),
     )
-    found = carried.select(*by, "_run.start", "_run.size").distinct()
+    found = carried.select(*by, "_run.start", "_run.span").distinct()
     return found.select(
         *by,
-        F.explode(F.sequence(F.col("start").cast("bigint"), (F.col("start") + F.col("size") - 1).cast("bigint"))).alias("col"),
+        F.explode(F.sequence(F.col("start").cast("bigint"), (F.col("start") + F.col("span") - 1).cast("bigint"))).alias("col"),
     )
 
 
@@ -277,11 +281,11 @@ def clean_alignment(
     """Divergent rows, insertions and short rows removed in this order, gap-only columns after each.
 
     Returns the cleaned rows and a log ``(step, by, kind, id)`` with row ids and original column numbers.
-    Every step reads its input several times, so each result is checkpointed.
+    Rows are checkpointed where rows have gone; columns are lists of numbers until then.
     """
     log: list[DataFrame] = []
     rows = settle(rows)
-    columns = settle(axis(rows, by).select(*by, "col", F.col("col").alias("_original")))
+    columns = axis(rows, by).select(*by, "col")
     keys = [*by, "col"]
 
     def note(step: str, kind: str, removed: DataFrame, ident: str) -> None:
@@ -296,21 +300,24 @@ def clean_alignment(
         place = F.row_number().over(Window.partitionBy(*by).orderBy(order)).cast("bigint") - 1
         return kept.withColumn("col", place)
 
-    def drop_columns(step: str, dropped: DataFrame) -> tuple[DataFrame, DataFrame]:
-        dropped = settle(dropped)
-        note(step, "column", columns.join(dropped, keys, "left_semi"), "_original")
-        left = renumbered(columns.join(dropped, keys, "left_anti"), "_original")
-        return settle(without_columns(rows, dropped, by, row_id)), settle(left)
-
     rows = drop_rows("remove_divergent", remove_divergent(rows, min_identity, by, row_id))
-    # Counted once for two steps: cutting columns leaves the others as occupied as they were. For the same
-    # reason no column can be empty again before the next rows go.
-    occupied = settle(occupancy(rows, by, row_id))
-    rows, columns = drop_columns("remove_gap_only", occupied.where("occupied = 0").select(*keys))
-    occupied = renumbered(occupied.where("occupied > 0"), "col")
-    rows, columns = drop_columns("remove_insertions", insertion_columns(rows, by, row_id, occupied=occupied, **limits))
+    # Counted once for two steps: cutting columns leaves the others as occupied as they were, and a gap-only
+    # column more or less in a row's text changes no count of bases. So both steps are one cut, and no column
+    # can be empty again before the next rows go.
+    occupied = occupancy(rows, by, row_id).withColumn("at", F.col("col"))
+    empty = occupied.where("occupied = 0").select(*keys)
+    filled = renumbered(occupied.where("occupied > 0"), "at")
+    inserted = settle(insertion_columns(rows, by, row_id, occupied=filled, **limits).join(empty, keys, "left_anti"))
+    note("remove_gap_only", "column", empty, "col")
+    note("remove_insertions", "column", inserted, "col")
+    gone = empty.unionByName(inserted)
+    kept = columns.join(gone, keys, "left_anti").withColumn("_original", F.col("col"))
+    columns = settle(renumbered(kept, "_original"))
+    rows = settle(without_columns(rows, gone, by, row_id))
     rows = drop_rows("remove_short", remove_short(rows, min_length))
-    rows, columns = drop_columns("remove_gap_only", gap_only_columns(rows, by, row_id))
+    empty = settle(gap_only_columns(rows, by, row_id))
+    note("remove_gap_only", "column", columns.join(empty, keys, "left_semi"), "_original")
+    rows = settle(without_columns(rows, empty, by, row_id))
     removed = log[0]
     for entry in log[1:]:
         removed = removed.unionByName(entry)

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqspark.session import join_groups, scratch_path
+from seqspark.session import join_groups, settle
 
 # Locations of a block, and locations in a row that share a box of what they reach.
 BLOCK = 512
@@ -32,13 +32,6 @@ MAX_LINKS = 1_000_000
 BOX = ("x0", "x1", "y0", "y1")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def locations(points: DataFrame, row_id: str, x: str, y: str) -> DataFrame:
     """Distinct places ``x, y`` with their number of points ``w`` and lowest ``id``; no place without both numbers."""
 
@@ -268,7 +261,7 @@ def core_distances(places: DataFrame, square: Square, k: int, block: int = BLOCK
     """
     ordered = places.select("x", "y", "w", "id", square.curve(F.col("x"), F.col("y")).alias("z"))
     ordered = ordered.repartitionByRange("z", "x", "y").sortWithinPartitions("z", "x", "y")
-    blocks = store(ordered.mapInArrow(_first_blocks(k, block, square.pad), f"key bigint, {_PLACES}, {_BOX}, reaches array<struct<{_BOX}>>"), "plane-blocks")
+    blocks = settle(ordered.mapInArrow(_first_blocks(k, block, square.pad), f"key bigint, {_PLACES}, {_BOX}, reaches array<struct<{_BOX}>>"))
     reaching = blocks.select("key", F.explode("reaches").alias("r")).select("key", *[F.col(f"r.{c}").alias(c) for c in BOX])
     pairs = meeting(square, reaching, blocks.select("key", *BOX))
     rows = _side_by_side(blocks, pairs, ["xs", "ys", "ws", "ids", *BOX])
@@ -395,7 +388,7 @@ def linked_places(places: DataFrame, square: Square, eps: float, block: int = BL
     built = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         _linked_blocks(eps, block), f"key bigint, dense boolean, cx double, cy double, {_PLACES}, nodes array<bigint>, {_BOX}"
     )
-    blocks = store(built, "plane-cells")
+    blocks = settle(built)
 
     narrow = blocks.select("key", "dense", "cx", "cy", F.col("nodes")[0].alias("node"), *BOX)
     if narrow.where("dense").isEmpty():
@@ -423,12 +416,12 @@ def _dense_pairs(square: Square, blocks: DataFrame, eps: float) -> tuple[DataFra
     cells = blocks.where("dense").groupBy("cx", "cy").agg(
         F.min("key").alias("unit"), F.min("node").alias("top"), *[(F.min if c.endswith("0") else F.max)(c).alias(f"u_{c}") for c in BOX]
     )
-    dense = store(blocks.where("dense").join(cells, ["cx", "cy"]), "plane-dense")
+    dense = settle(blocks.where("dense").join(cells, ["cx", "cy"]))
     whole = blocks.where("not dense")
     units = whole.select("key", *BOX).unionByName(
         dense.groupBy(F.col("unit").alias("key")).agg(*[F.first(f"u_{c}").alias(c) for c in BOX])
     )
-    met = store(_units_in_reach(square, units, eps), "plane-units")
+    met = settle(_units_in_reach(square, units, eps))
     inside = dense.where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b"))
 
     kinds = dense.select("unit", F.col("key").alias("block"), "node", *BOX)
@@ -454,7 +447,7 @@ def _dense_pairs(square: Square, blocks: DataFrame, eps: float) -> tuple[DataFra
         F.min_by(F.struct("a_node", "b_node", _across("a_", "b_").alias("far")), _across("a_", "b_")).alias("n")
     ).select("a", "b", "n.*")
     sure = second.where((F.col("far") <= eps * (1 - 1e-12)) & F.col("a_node").isNotNull() & F.col("b_node").isNotNull())
-    sure = store(sure.select("a", "b", "a_node", "b_node"), "plane-sure")
+    sure = settle(sure.select("a", "b", "a_node", "b_node"))
     rest = has_dense.join(sure, ["a", "b"], "left_anti").join(side_of("a", "a_"), "a").join(side_of("b", "b_"), "b")
     rest = rest.withColumn("gap", _gap("a_", "b_")).where(F.col("gap") <= eps)
     rest = rest.select(F.col("a_block").alias("a"), F.col("b_block").alias("b"), "gap")
@@ -492,18 +485,18 @@ def components(links: DataFrame, max_links: int = MAX_LINKS) -> DataFrame:
     Per-node minima combine before they move, and a node of many links is salted.
     """
     # A link goes from the larger node to the smaller one.
-    links = store(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    links = settle(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while links.count() > max_links:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         larger = join_groups(both, lowest, ["a"], "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        larger = store(larger.where("a <> b").distinct(), "links")
+        larger = settle(larger.where("a <> b").distinct())
         lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = join_groups(larger, lowest, ["a"], "b")
         hung = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(
             lowest.select("a", F.col("m").alias("b"))
         )
-        after = store(hung.distinct(), "links")
+        after = settle(hung.distinct())
         same = after.join(links, ["a", "b"], "left_anti").isEmpty() and links.join(after, ["a", "b"], "left_anti").isEmpty()
         links = after
         if same:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from seqspark.functions.sequence import cluster_label, gc_fraction
 from seqspark.operators.exact import Limbs
 from seqspark.operators.filters import row_sum, sample_conditions
-from seqspark.session import join_on
+from seqspark.session import join_on, settle
 
 QUARTILES = (0.25, 0.5, 0.75)
 # Values of a group are cut into STEP * STEP buckets.
@@ -122,8 +122,12 @@ def describe_long(long: DataFrame, by: Sequence[str], value: str = "value") -> D
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """One row of statistics per group and column (``metric``)."""
-    return describe_long(long_form(df, columns, by), [*by, "metric"])
+    """One row of statistics per group and column (``metric``).
+
+    The columns are settled as plain numbers: they are gone through several times, the texts they come from once.
+    """
+    numbers = settle(df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]))
+    return describe_long(long_form(numbers, columns, by), [*by, "metric"])
 
 
 def seq_features(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -140,7 +144,7 @@ def chart_features(df: DataFrame, seq: str = "seq") -> DataFrame:
 def condition_totals(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per-row sums of each condition's samples, as ``(by, condition, replicates, value)`` rows."""
     groups = sample_conditions(columns)
-    wide = df.select(*by, *[row_sum(cols).alias(c) for c, cols in groups.items()])
+    wide = settle(df.select(*by, *[row_sum(cols).alias(c) for c, cols in groups.items()]))
     replicates = F.create_map(*[F.lit(x) for c, cols in groups.items() for x in (c, len(cols))])
     return wide.unpivot([*by], list(groups), "condition", "value").withColumn(
         "replicates", replicates[F.col("condition")]
@@ -187,7 +191,7 @@ def cluster_summary(
     if columns:
         features = features.withColumn("total_expr", row_sum(columns))
         metrics.append("total_expr")
-    features = features.select(cluster, *metrics)
+    features = settle(features.select(cluster, *metrics))
     limbs = {m: Limbs.of(features, m) for m in metrics}
     means = features.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("size"),
@@ -241,7 +245,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 def box_summary(df: DataFrame, column: str, cluster: str = "cluster") -> DataFrame:
     """Quartiles and whiskers (outermost values within 1.5 interquartile ranges) per cluster."""
-    values = df.select(cluster, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    values = settle(df.select(cluster, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull()))
     quarts = quantiles(values, "_v", [cluster])
     reach = (F.col("p2") - F.col("p0")) * 1.5
     # Distinct values are enough for the whiskers, and far fewer than rows.
