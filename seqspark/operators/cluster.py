@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_lower, pieces
-from seqspark.operators.kmers import PIECE
+from seqspark.operators.kmers import PIECE, kmer_counts
 from seqspark.operators.ordering import with_rank
 from seqspark.operators.plane import BLOCK, Square, components, core_distances, linked_places, locations
 from seqspark.operators.stats import NOISE, quantiles
@@ -46,6 +46,20 @@ def kmer_vectors(
     return HashingTF(numFeatures=dims, inputCol="_words", outputCol=name).transform(tokens).drop("_words")
 
 
+def vocabulary_vectors(
+    df: DataFrame, k: int, min_rows: int = 2, row_id: str = "row_id", seq: str = "seq"
+) -> DataFrame:
+    """K-mer counts over the vocabulary of k-mers found in ``min_rows`` rows: ``(row_id, term, n)``.
+
+    ``term`` numbers the vocabulary in k-mer order from 0. A vector's entries stay rows: neither the vocabulary
+    nor a vector of its width is ever in one place.
+    """
+    counts = settle(kmer_counts(df, k, row_id, seq))
+    found = counts.groupBy("kmer").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
+    terms = with_rank(found.select("kmer"), ["kmer"], "term", first=0)
+    return counts.join(terms, "kmer").select(row_id, "term", "n")
+
+
 def array_vectors(df: DataFrame, column: str, row_id: str = "row_id", name: str = "vector") -> DataFrame:
     """Vectors from an array column."""
     return df.select(row_id, array_to_vector(F.col(column).cast("array<double>")).alias(name))

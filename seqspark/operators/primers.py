@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import coord_label, fold_case
 from seqspark.operators.kmers import holding_any, positions
 from seqspark.operators.ordering import with_rank
-from seqspark.session import MAX_BROADCAST, broadcast_if_small
+from seqspark.session import MAX_BROADCAST, broadcast_if_small, join_on
 
 # How many primers are kept overall and per cluster.
 TOP_GLOBAL = 8
@@ -100,19 +102,57 @@ def rows_covered(
     return found.join(wanted, found["kmer"] == wanted["primer"]).select("primer", row_id).distinct()
 
 
-def row_lists(lines: DataFrame, row_id: str = "row_id", span: int = 10_000) -> DataFrame:
+def row_lists(
+    lines: DataFrame, row_id: str = "row_id", span: int = 10_000, keys: Sequence[str] = ("primer",)
+) -> DataFrame:
     """Comma-joined row ids and coordinates per primer, one list per stretch of ``span`` row ids.
 
     A list holds at most ``span`` entries; ``part`` gives the order of a primer's lists.
     """
-    listed = lines.groupBy("primer", F.floor(F.col(row_id) / span).alias("part")).agg(
+    listed = lines.groupBy(*keys, F.floor(F.col(row_id) / span).alias("part")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.array_sort(F.collect_list(F.struct(row_id, "coordinates"))).alias("_list"),
     )
     return listed.select(
-        "primer",
+        *keys,
         "part",
         "rows",
         F.array_join(F.transform("_list", lambda e: e[row_id].cast("string")), ",").alias("rows_covered"),
         F.array_join(F.transform("_list", lambda e: e["coordinates"]), ",").alias("rows_coordinates"),
     )
+
+
+_SCORES = ["coverage", "total_expr"]
+_RANKS = ["rank_by_cov_expr", "rank_by_expr_cov"]
+_LISTS = ["part", "rows", "rows_covered", "rows_coordinates"]
+
+
+def primer_candidates(index: DataFrame, lines: DataFrame, row_id: str = "row_id", span: int = 10_000) -> DataFrame:
+    """Every k-mer with its scores, both ranks, and the rows it covers with their coordinates.
+
+    ``lines`` are covered rows (``primer_rows``). A primer has a line per stretch of ``span`` row ids, so that no
+    list grows with the table; a frequent primer's lists are made in as many tasks as it has stretches.
+    """
+    ranked = rank_kmers(index)
+    return ranked.join(row_lists(lines, row_id, span), "primer").select("primer", *_SCORES, *_RANKS, *_LISTS)
+
+
+def selected_rows(
+    selected: DataFrame, rows: DataFrame, k: int, row_id: str = "row_id", seq: str = "seq",
+    chrom: str = "chr", start: str = "start", stop: str = "stop", span: int = 10_000,
+) -> DataFrame:
+    """The selected primers (settled) with scores, strategy, covered rows and their coordinates."""
+    covered = rows_covered(selected, rows, k, row_id, seq).withColumnRenamed("primer", "kmer")
+    lists = row_lists(primer_rows(covered, rows, row_id, chrom, start, stop), row_id, span)
+    return selected.join(lists, "primer").select("place", "primer", *_SCORES, "strategy", *_LISTS)
+
+
+def cluster_rows_covered(
+    best: DataFrame, rows: DataFrame, k: int, row_id: str = "row_id", seq: str = "seq", cluster: str = "cluster",
+    chrom: str = "chr", start: str = "start", stop: str = "stop", span: int = 10_000,
+) -> DataFrame:
+    """The best primers of each cluster (settled) with the rows they cover within it."""
+    covered = rows_covered(best, rows, k, row_id, seq).withColumnRenamed("primer", "kmer")
+    placed = primer_rows(covered, rows, row_id, chrom, start, stop).join(rows.select(row_id, cluster), row_id)
+    lists = row_lists(placed, row_id, span, (cluster, "primer"))
+    return join_on(best, lists, [cluster, "primer"]).select(cluster, "rank", "primer", *_SCORES, *_LISTS)

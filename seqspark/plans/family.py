@@ -34,7 +34,10 @@ class Settings:
 
 
 def family_rows(annotations: DataFrame, family: str, genome: DataFrame | None, settings: Settings) -> DataFrame:
-    """Rows of the family with a row id in input order and their sequence in ``seq``."""
+    """Rows of the family with a row id in input order and their sequence in ``seq``.
+
+    Where sequences were cut out of the genome, ``reason`` tells why one could not be.
+    """
     rows = filters.filter_family(annotations, family, literal=settings.literal)
     rows = with_row_id(rows.withColumn("_input", F.monotonically_increasing_id()), ["_input"]).drop("_input")
     if rows.isEmpty():
@@ -45,7 +48,7 @@ def family_rows(annotations: DataFrame, family: str, genome: DataFrame | None, s
     filters.require_columns(rows, ["chr", "start", "stop"])
     if genome is None:
         raise ValueError("rows without sequences need a genome")
-    return intervals.extract_sequences(rows.drop("Seq"), genome).drop("reason")
+    return intervals.extract_sequences(rows.drop("Seq"), genome)
 
 
 def cluster_rows(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +68,7 @@ def analyse(
     settings = settings or Settings()
     samples = filters.expression_columns(annotations, [*settings.not_expression, "row_id", "cluster"])
     found = family_rows(annotations, family, genome, settings)
-    rows = settle(filters.with_total_expr(found.drop("cluster", "Cluster"), samples))
+    rows = settle(filters.with_total_expr(found.drop("cluster", "Cluster", "reason"), samples))
     labels, plane = cluster_rows(rows, settings)
     rows = settle(rows.join(labels, "row_id"))
     for name in ("chr", "start", "stop", "strand"):
@@ -79,11 +82,20 @@ def analyse(
         "cluster_statistics": stats.describe(features, metrics, ["cluster"]),
         "cluster_summary": stats.cluster_summary(rows, "seq", samples),
         "cluster_comparison": stats.cluster_comparison(rows),
+        "cluster_sizes": stats.cluster_sizes(rows),
+        "positional_consensus": align.positional_consensus(rows),
         "cluster_coordinates": cluster.cluster_coordinates(
             rows.select("row_id", "chr", "start", "stop", "strand"), plane, labels
         ),
     }
+    charts = stats.chart_features(rows)
+    for c in ("length", "gc"):
+        out[f"{c}_histogram"] = stats.histogram(charts, c)
+        out[f"{c}_boxes"] = stats.box_summary(charts, c)
+    if "reason" in found.columns:
+        out["extraction_errors"] = intervals.extraction_errors(found.drop("seq", "reason"), genome)
     if len(filters.sample_conditions(samples)) > 1:
+        out["cluster_condition_statistics"] = stats.condition_stats(rows, samples, ["cluster"])
         out["condition_statistics"] = stats.condition_stats(rows, samples)
         out["condition_by_cluster"] = stats.condition_by_cluster(rows, samples)
     if samples:
@@ -98,8 +110,10 @@ def analyse(
     selected = settle(primers.select_primers(index, settings.top_global))
     best = settle(primers.top_cluster_primers(by_cluster, n=settings.top_cluster))
     out |= {
-        "primer_candidates": primers.rank_kmers(index),
+        "primer_candidates": primers.primer_candidates(index, primers.primer_rows(posted, rows)),
         "selected_primers": selected,
+        "selected_primer_rows": primers.selected_rows(selected, rows, settings.k),
+        "cluster_primer_rows": primers.cluster_rows_covered(best, rows, settings.k),
         "cluster_primers": best,
     }
     wanted = selected.select("primer").unionAll(search.pending(best.select("primer").distinct(), selected))

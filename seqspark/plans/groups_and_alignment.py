@@ -11,6 +11,7 @@ from seqspark.operators.knn import knn, neighbour_count
 from seqspark.plans import inputs as i
 from seqspark.plans.registry import query
 from seqspark.session import settle
+from seqspark.sources.fasta import combine_fasta
 
 # --- embedding and clustering ------------------------------------------------------------------
 
@@ -25,6 +26,17 @@ def kmer_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.select("row_id", total.alias("kmers"))
 
 
+@query("vocabulary_vectors", f"""
+WITH {i.CHATS_SQL}, low AS (SELECT row_id, translate(seq, '{i.UPPER}', '{i.LOWER}') AS seq FROM chats),
+{i.kmers_sql('low', 'row_id')},
+n AS (SELECT row_id, kmer, count(*) AS n FROM kmers GROUP BY ALL),
+terms AS (SELECT kmer, row_number() OVER (ORDER BY kmer) - 1 AS term FROM n GROUP BY kmer HAVING count(*) >= 2)
+SELECT row_id, term, n FROM n JOIN terms USING (kmer)""")
+def vocabulary_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """K-mer vectors of conversation turns over the k-mers that two turns share."""
+    return cluster.vocabulary_vectors(i.chats(spark, sf), i.K)
+
+
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return i.spread(i.table(spark, sf, "embeddings"), "vec_id").select(F.col("vec_id").alias("row_id"), "embedding", "label")
 
@@ -289,10 +301,25 @@ def cleaned_consensus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("cleaning_log", f"""{_CLEANED_SQL},
-lg AS (SELECT 'remove_divergent' AS step, grp, seq_id FROM aln WHERE seq_id NOT IN (SELECT seq_id FROM d1)
-  UNION ALL SELECT 'remove_short', grp, seq_id FROM e2 WHERE seq_id NOT IN (SELECT seq_id FROM s1))
-SELECT step, grp, seq_id AS id FROM lg""")
+left1 AS (SELECT a.grp, a.col AS original, row_number() OVER (PARTITION BY a.grp ORDER BY a.col) - 1 AS col
+  FROM e1_s_axis a LEFT JOIN e1_e x ON a.grp = x.grp AND a.col = x.col WHERE x.col IS NULL),
+left2 AS (SELECT k.grp, k.original, row_number() OVER (PARTITION BY k.grp ORDER BY k.original) - 1 AS col
+  FROM left1 k LEFT JOIN iy_ins x ON k.grp = x.grp AND k.col = x.col WHERE x.col IS NULL),
+lg AS (SELECT 'remove_divergent' AS step, grp, 'row' AS kind, seq_id AS id FROM aln WHERE seq_id NOT IN (SELECT seq_id FROM d1)
+  UNION ALL SELECT 'remove_short', grp, 'row', seq_id FROM e2 WHERE seq_id NOT IN (SELECT seq_id FROM s1)
+  UNION ALL SELECT 'remove_gap_only', grp, 'column', col FROM e1_e
+  UNION ALL SELECT 'remove_insertions', x.grp, 'column', original FROM iy_ins x JOIN left1 USING (grp, col)
+  UNION ALL SELECT 'remove_gap_only', x.grp, 'column', original FROM e3_e x JOIN left2 USING (grp, col))
+SELECT step, grp, kind, id FROM lg""")
 def cleaning_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows removed by the cleaning; removed columns are covered by a fixture test."""
+    """Rows and columns removed by the cleaning, columns by their first numbers."""
     _, log = align.clean_alignment(i.aligned_chats(spark, sf), min_identity=_MIN_IDENTITY)
-    return log.where(F.col("kind") == "row").select("step", "grp", "id")
+    return log.select("step", "grp", "kind", "id")
+
+
+@query("consensus_fasta", f"""{_CHAT_CELLS}, {i.consensus_sql(0.5)}
+SELECT grp, '>chats_cluster' || grp || '_consensus' || chr(10)
+   || regexp_replace(regexp_replace(consensus, '(.{{80}})', '\\1' || chr(10), 'g'), '\\n$', '') AS record FROM cons""")
+def consensus_fasta(spark: SparkSession, sf: str) -> DataFrame:
+    """The consensus of every role as a FASTA record."""
+    return combine_fasta(align.consensus(i.aligned_chats(spark, sf)), "chats", "grp")

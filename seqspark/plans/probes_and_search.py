@@ -119,6 +119,53 @@ def primer_row_lists(spark: SparkSession, sf: str) -> DataFrame:
     return primers.row_lists(primer_rows(spark, sf))
 
 
+_LISTS_SQL = """count(*) AS rows, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY row_id) AS rows_covered,
+  string_agg(coordinates, ',' ORDER BY row_id) AS rows_coordinates"""
+
+
+@query("primer_candidates", f"""{_LINES_SQL},
+lists AS (SELECT primer, row_id // 10000 AS part, {_LISTS_SQL} FROM listed GROUP BY ALL),
+ranked AS (SELECT primer, coverage, total_expr, row_number() OVER (ORDER BY {i.BY_COVERAGE_SQL}) AS rank_by_cov_expr,
+  row_number() OVER (ORDER BY {i.BY_EXPRESSION_SQL}) AS rank_by_expr_cov FROM idx)
+SELECT * FROM ranked JOIN lists USING (primer)""")
+def primer_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """All k-mers of conversation turns with scores, both ranks, covered rows and coordinates."""
+    chats = settle(i.chats(spark, sf))
+    posted = settle(kmers.postings(chats, i.K, keep=["total_expr"]))
+    index = kmers.kmer_index(posted, limbs=Limbs.of(chats, "total_expr"))
+    return primers.primer_candidates(index, primers.primer_rows(posted, chats))
+
+
+_DOCUMENT_ROWS_SQL = """labelled AS (SELECT row_id, cluster, chr || ':' || start || '-' || stop AS coordinates FROM docs)"""
+
+
+@query("selected_primer_rows", f"""
+WITH {i.DOCUMENTS_SQL}, {i.index_sql('docs')}, {i.SELECTED_SQL}, {_DOCUMENT_ROWS_SQL},
+lists AS (SELECT kmer AS primer, row_id // 10000 AS part, {_LISTS_SQL}
+  FROM postings JOIN selected ON kmer = primer JOIN labelled USING (row_id) GROUP BY ALL)
+SELECT s.place, primer, coverage, total_expr, strategy, part, rows, rows_covered, rows_coordinates
+FROM (SELECT primer, coverage, total_expr, strategy, row_number() OVER (ORDER BY place) AS place FROM selected) s
+JOIN lists USING (primer)""")
+def selected_primer_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Selected primers of the documents with the documents they cover."""
+    docs = i.documents(spark, sf)
+    return primers.selected_rows(settle(primers.select_primers(_document_index(spark, sf))), docs, i.K)
+
+
+@query("cluster_primer_rows", f"""
+WITH {i.DOCUMENTS_SQL}, {i.index_sql('docs', 'cluster')}, {_DOCUMENT_ROWS_SQL},
+best AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY {i.BY_COVERAGE_SQL}) AS rank FROM idx) WHERE rank <= 5),
+lists AS (SELECT p.cluster, kmer AS primer, row_id // 10000 AS part, {_LISTS_SQL}
+  FROM postings p JOIN best b ON p.kmer = b.primer AND p.cluster = b.cluster JOIN labelled USING (row_id) GROUP BY ALL)
+SELECT b.cluster, rank, b.primer, coverage, total_expr, part, rows, rows_covered, rows_coordinates
+FROM best b JOIN lists l ON b.cluster = l.cluster AND b.primer = l.primer""")
+def cluster_primer_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The best primers of each language with the documents of that language they cover."""
+    best = settle(primers.top_cluster_primers(_document_index(spark, sf, ("cluster",))))
+    return primers.cluster_rows_covered(best, i.documents(spark, sf), i.K)
+
+
 # --- intervals ---------------------------------------------------------------------------------
 
 @query("interval_validity", f"""

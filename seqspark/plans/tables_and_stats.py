@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqspark.functions.sequence import reverse_complement as reversed_strand
 from seqspark.operators import filters, stats
+from seqspark.operators.exact import Limbs
 from seqspark.operators.ordering import with_row_id
 from seqspark.plans import inputs as i
 from seqspark.plans.registry import query
 from seqspark.session import scratch_path
-from seqspark.sources import fasta
+from seqspark.sources import fasta, tables
 
 
 def _round(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
@@ -52,6 +54,59 @@ def fasta_scan(spark: SparkSession, sf: str) -> DataFrame:
     return fasta.read_fasta(spark, path, chunk=1000, overlap=17)
 
 
+_ANNOTATED = T.StructType([
+    T.StructField("row_id", T.LongType()), T.StructField("chr", T.StringType()), T.StructField("start", T.LongType()),
+    T.StructField("stop", T.LongType()), T.StructField("TE_name", T.StringType()), T.StructField("A1_price_r1", T.DoubleType()),
+])
+
+
+@query("annotation_csv", """
+SELECT p_partkey AS row_id, 'chr' || p_size AS chr, CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS start,
+  p_size + length(p_name) AS stop, p_name || ', "' || p_type || '"' AS TE_name, p_retailprice AS A1_price_r1,
+  p_partkey % 7 = 0 AS rejected FROM part""")
+def annotation_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts written as an annotation CSV, every seventh with a start that is no number, and read back by a schema."""
+    part = i.table(spark, sf, "part")
+    size = F.col("p_size").cast("string")
+    written = part.select(
+        F.col("p_partkey").alias("row_id"), F.concat(F.lit("chr"), size).alias("chr"),
+        F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("about "), size)).otherwise(size).alias("start"),
+        (F.col("p_size") + F.length("p_name")).alias("stop"),
+        F.concat("p_name", F.lit(', "'), "p_type", F.lit('"')).alias("TE_name"), F.col("p_retailprice").alias("A1_price_r1"),
+    )
+    path = scratch_path(spark, "annotations")
+    tables.write_csv(written, path)
+    found = tables.read_checked(spark, path, _ANNOTATED)
+    return found.select(*_ANNOTATED.names, F.col(tables.REJECTED).isNotNull().alias("rejected"))
+
+
+@query("aligned_fasta", f"""
+WITH {i.ALIGNED_CHATS_SQL}, w AS (SELECT max(length(seq)) AS width FROM aln)
+SELECT seq_id, 'row' || seq_id || '|' || grp || '|cluster' || grp AS name, rpad(seq, CAST(width AS INTEGER), '-') AS seq FROM aln, w""")
+def aligned_fasta(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns as an alignment of one width, written as FASTA in id order and read back."""
+    rows = i.aligned_chats(spark, sf)
+    width = rows.agg(F.max(F.length("seq"))).scalar()
+    padded = rows.select("seq_id", "grp", F.rpad("seq", width, F.lit("-")).alias("seq"))
+    path = scratch_path(spark, "aligned-fasta")
+    fasta.write_fasta(fasta.to_fasta(padded, "seq_id", "grp", "grp").orderBy("seq_id"), path)
+    return fasta.read_alignment(spark, path)
+
+
+@query("expression_columns", """
+SELECT metric, round(total, 2) AS total FROM (
+  SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS metric,
+    unnest([sum(l_orderkey), sum(l_partkey), sum(l_suppkey), sum(l_linenumber), fsum(l_quantity), fsum(l_extendedprice),
+      fsum(l_discount), fsum(l_tax)]) AS total FROM lineitem)""")
+def expression_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of line items that count as expression, found by type, with their totals."""
+    rows = i.table(spark, sf, "lineitem")
+    names = filters.expression_columns(rows)
+    limbs = Limbs.of(rows, *names)
+    totals = rows.agg(*[limbs.sum(c).alias(c) for c in names])
+    return _round(totals.unpivot([], names, "metric", "total"), ["total"], 2)
+
+
 # --- filters and projections -------------------------------------------------------------------
 
 @query("family_filter", """

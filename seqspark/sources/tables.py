@@ -18,9 +18,23 @@ def read_annotations(spark: SparkSession, path: str, schema: T.StructType | None
     return require_columns(reader.csv(path), REQUIRED)
 
 
+REJECTED = "_rejected"
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An annotation CSV by a schema, every line kept: ``_rejected`` holds a line that does not fit, else NULL.
+
+    Values that cannot be read are NULL. Lines are judged where they are read, in one pass over splittable files.
+    """
+    noted = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    reader = spark.read.schema(noted).option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+    found = reader.option("columnNameOfCorruptRecord", REJECTED).option("enforceSchema", False).csv(path)
+    return require_columns(found, REQUIRED)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """A result table as CSV part files with a header."""
-    df.write.option("header", True).csv(path)
+    """A result table as CSV part files with a header; quotes within values are doubled."""
+    df.write.option("header", True).option("escape", '"').csv(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:

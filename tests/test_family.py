@@ -36,6 +36,13 @@ def test_whole_analysis(spark, data, tmp_path):
     assert {r["primer"]: r["count"] for r in pairs} == {p: hits[p] * covered[p]["rows"] for p in wanted["primer"]}
     labels = dict(read("rows").select("row_id", "cluster").collect())
     assert {labels[i] for i in range(8)} & {labels[i] for i in range(8, 15)} <= {-1}
+    listed = read("selected_primer_rows").orderBy("place").toPandas()
+    assert listed["primer"].tolist() == wanted["primer"].tolist()
+    assert listed["coverage"].tolist() == wanted["coverage"].tolist() == listed["rows"].tolist()
+    assert listed["rows_covered"].tolist() == [covered[p]["rows_covered"] for p in wanted["primer"]]
+    candidates = read("primer_candidates")
+    assert candidates.count() == 5768 and candidates.where("rank_by_cov_expr <= 8").join(read("selected_primers"), "primer").count() == 8
+    assert read("length_histogram").agg({"n": "sum"}).first()[0] == 15 == read("gc_boxes").agg({"n": "sum"}).first()[0]
     assert read("family_consensus_summary").first()["size"] == 15
     assert read("cluster_consensus").count() >= 2
     records = fasta.read_records(spark, os.path.join(out, "sequences_fasta"))
@@ -59,4 +66,6 @@ def test_rows_without_sequences(spark, tmp_path):
     rows = {r["row_id"]: r for r in found["rows"].collect()}
     assert [rows[i]["seq"] for i in range(3)] == [("ACGTTGCATT" * 5)[:30], ("ACGTTGCATT" * 5)[10:40], "N" * 100]
     assert {r["cluster"] for r in rows.values()} == {0}
+    errors = {r["row_id"]: r["reason"] for r in found["extraction_errors"].collect()}
+    assert errors == {2: "unknown contig"}
     assert found["selected_primers"].count() > 0

@@ -59,6 +59,10 @@ def test_cluster_primers(rows, data):
     first = df.where("row_id = 8").first()
     label = f"{first['chr']}:{first['start']}-{first['stop']}"
     assert lists[wanted["primer"][0]]["rows_coordinates"].split(",")[0] == label
+    table = primers.cluster_rows_covered(top, df, 18).orderBy("rank").toPandas()
+    assert table["primer"].tolist() == wanted["primer"].tolist()
+    assert table["coverage"].tolist() == wanted["coverage"].tolist()
+    assert table["rows_covered"].tolist() == wanted["rows_covered"].tolist()
     covered = primers.rows_covered(top, df, 18).groupBy("primer").count().collect()
     assert {r["primer"]: r["count"] for r in covered} == dict(zip(wanted["primer"], wanted["coverage"]))
 
