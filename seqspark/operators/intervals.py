@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqspark.session import broadcast_if_small, settle
 from seqspark.sources.genome import chunk_size
 
 # What a row gets when its sequence cannot be cut out.
@@ -12,6 +13,9 @@ FAILED_SEQUENCE = "N" * 100
 
 OVERLAP_BIN = 16384
 
+# Intervals of a list that meets a copy of its chunk, on average.
+LIST = 4096
+
 
 def contigs(genome: DataFrame) -> DataFrame:
     """One row per contig of a chunk table: every contig has exactly one chunk starting at 0."""
@@ -40,46 +44,53 @@ def validate_intervals(
 def extract_sequences(
     ann: DataFrame, genome: DataFrame, row_id: str = "row_id",
     chrom: str = "chr", start: str = "start", stop: str = "stop",
-    name: str = "seq", drop_failed: bool = False,
+    name: str = "seq", drop_failed: bool = False, per_list: int = LIST,
 ) -> DataFrame:
     """Cut ``[start, stop)`` out of the genome for every row, with ``reason`` as for validation.
 
-    Rows look their chunks up by an equi-join. An interval inside one chunk needs nothing more; only
-    longer ones are put together again, each list holding the pieces of one interval. Failed rows get
-    the fixed placeholder, or go with ``drop_failed``.
+    Only chunks that an interval asks for are moved or cut: the distinct keys asked for go to the genome first.
+    A chunk then meets its intervals as lists of bounded size, a much asked chunk one list after another in
+    tasks of their own. An interval inside one chunk needs nothing more; only longer ones are put together
+    again, each list holding the pieces of one interval. Failed rows get the fixed placeholder, or go with
+    ``drop_failed``.
     """
     chunk = chunk_size(genome)
-    checked = validate_intervals(ann, genome, chrom, start, stop)
+    # Settled: the keys asked for, the lists and the failed rows all come from it.
+    checked = settle(validate_intervals(ann, genome, chrom, start, stop))
     good = checked.where(F.col("reason").isNull())
     bad = checked.where(F.col("reason").isNotNull()).withColumn(name, F.lit(FAILED_SEQUENCE))
     low, high = F.floor(F.col(start) / chunk), F.floor((F.col(stop) - 1) / chunk)
-    parts = genome.select(
-        F.col("chrom").alias("_chrom"),
-        F.floor(F.col("chunk_start") / chunk).alias("_chunk"),
-        F.col("chunk_start").alias("_at"),
-        F.substring(F.col("seq"), F.lit(1), F.col("owned")).alias("_text"),
+    asking = good.select(
+        F.struct(*checked.columns).alias("_row"), F.col(row_id).alias("_id"), F.col(chrom).alias("_chrom"),
+        (low < high).alias("_long"), F.explode(F.sequence(low, high)).alias("_chunk"),
+    )
+    at = ["_chrom", "_chunk"]
+    wanted = settle(asking.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / per_list).cast("int").alias("_lists")))
+    wanted = broadcast_if_small(wanted)
+    salt = F.pmod(F.xxhash64("_id"), F.col("_lists")).cast("int")
+    lists = asking.join(wanted, at).groupBy(*at, salt.alias("_list")).agg(F.collect_list(F.struct("_row", "_long")).alias("_rows"))
+    found = genome.select(
+        F.col("chrom").alias("_chrom"), F.floor(F.col("chunk_start") / chunk).alias("_chunk"), F.col("chunk_start").alias("_at"), "seq", "owned"
+    ).join(wanted, at)
+    copies = found.select(
+        *at, "_at", F.substring(F.col("seq"), F.lit(1), F.col("owned")).alias("_text"),
+        F.explode(F.sequence(F.lit(0), F.col("_lists") - 1)).alias("_list"),
+    )
+    met = lists.join(copies, [*at, "_list"]).select("_at", "_text", F.explode("_rows").alias("_r")).select(
+        "_at", "_text", "_r._long", "_r._row.*"
     )
     piece = F.substring(
         F.col("_text"),
         (F.greatest(F.col(start), F.col("_at")) - F.col("_at") + 1).cast("int"),
         (F.least(F.col(stop), F.col("_at") + chunk) - F.greatest(F.col(start), F.col("_at"))).cast("int"),
     )
-
-    def look_up(rows: DataFrame) -> DataFrame:
-        same = (rows[chrom] == parts["_chrom"]) & (rows["_chunk_no"] == parts["_chunk"])
-        return rows.join(parts, same)
-
-    inside = look_up(good.where(low == high).withColumn("_chunk_no", low)).withColumn(name, piece)
-    inside = inside.select(*checked.columns, name)
-    across = good.where(low < high)
-    pieces = look_up(across.withColumn("_chunk_no", F.explode(F.sequence(low, high)))).select(
-        row_id, F.struct("_at", piece.alias("text")).alias("_piece")
-    )
+    inside = met.where(~F.col("_long")).withColumn(name, piece).select(*checked.columns, name)
+    pieces = met.where("_long").select(row_id, F.struct("_at", piece.alias("text")).alias("_piece"))
     joined = pieces.groupBy(row_id).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("_piece")), lambda p: p["text"]), "").alias(name)
     )
-    found = inside.unionByName(across.join(joined, row_id).select(*checked.columns, name))
-    return found if drop_failed else found.unionByName(bad)
+    whole = inside.unionByName(good.where(low < high).join(joined, row_id).select(*checked.columns, name))
+    return whole if drop_failed else whole.unionByName(bad)
 
 
 def extraction_errors(

@@ -126,6 +126,28 @@ def test_overlap_join_over_many_bins(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_extraction_from_a_popular_chunk(spark):
+    """Half of all intervals ask for one chunk; lists of any size give the same, and rows may share everything but the id."""
+    genome = _genome(spark, overlap=0)
+    texts = dict(CONTIGS)
+    rng = random.Random(11)
+    size = len(texts["chr1"])
+    spans = [(0, 3)] * 60 + [tuple(sorted(rng.sample(range(size + 1), 2))) for _ in range(60)]
+    ann = spark.createDataFrame([(i, "chr1", a, b) for i, (a, b) in enumerate(spans)], "row_id bigint, chr string, start bigint, stop bigint")
+    for per_list in (1, 7, 4096):
+        got = {r["row_id"]: r["seq"] for r in intervals.extract_sequences(ann, genome, per_list=per_list).collect()}
+        assert got == {i: texts["chr1"].upper()[a:b] for i, (a, b) in enumerate(spans)}
+
+
+def test_extraction_moves_asked_chunks_only(spark):
+    """Text is cut above the join with the keys that are asked for."""
+    genome = _genome(spark, overlap=0)
+    ann = spark.createDataFrame([(0, "chr1", 2, 5)], "row_id bigint, chr string, start bigint, stop bigint")
+    plan = intervals.extract_sequences(ann, genome, drop_failed=True)._jdf.queryExecution().optimizedPlan().toString()
+    cut = next(line for line in plan.splitlines() if "AS _text" in line)
+    assert plan.index("_lists") and plan.index(cut) < plan.rindex("Join Inner")
+
+
 def test_extraction(spark):
     genome = _genome(spark, overlap=0)
     cases = [
