@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -16,7 +18,7 @@ from seqspark.operators.kmers import PIECE, kmer_counts
 from seqspark.operators.ordering import with_rank
 from seqspark.operators.plane import BLOCK, Square, components, core_distances, linked_places, locations
 from seqspark.operators.stats import NOISE, quantiles
-from seqspark.session import join_groups, settle
+from seqspark.session import join_groups, settle, ship_package
 
 # Parameters of clustering.
 MIN_SEQUENCES = 10
@@ -24,7 +26,6 @@ MIN_SAMPLES = 7
 MIN_CLUSTER = 5
 CLUSTER_SHARE = 7
 MAX_GROUPS = 10
-SEED = 42
 EPS_QUANTILE = 0.9
 
 
@@ -86,12 +87,127 @@ def pca_embed(vectors: DataFrame, row_id: str = "row_id", vector: str = "vector"
     )
 
 
-def hierarchical_cluster(
-    vectors: DataFrame, groups: int, row_id: str = "row_id", vector: str = "vector", seed: int = SEED
-) -> DataFrame:
-    """Up to ``groups`` clusters by repeated splitting: ``(row_id, cluster)``."""
-    model = BisectingKMeans(k=max(2, groups), seed=seed, featuresCol=vector, predictionCol="cluster").fit(vectors)
-    return model.transform(vectors).select(row_id, "cluster")
+# Bits of a coordinate in the sums that decide on directions, and rows after which a task hands its sums on.
+FIXED_BITS = 20
+SUMMED_ROWS = 1 << 20
+
+
+def _labels(values: np.ndarray, splits: list[tuple[int, int, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The group of every row after the splits so far.
+
+    A row's projection is summed by itself, so that it does not hang on the rows beside it.
+    """
+    label = np.zeros(len(values), dtype=np.int64)
+    for group, new, middle, direction in splits:
+        over = ((values - middle) * direction).sum(axis=1) > 0
+        label[(label == group) & over] = new
+    return label
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _moments(splits: list, wanted: list[int], unit: float):
+    """Per group, as whole numbers: rows, sums (line -1) and cross products (a line per coordinate)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        rows = 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            for group, table in sums.items():
+                yield pa.RecordBatch.from_pydict({
+                    "group": pa.array([group] * len(table), pa.int64()), "line": pa.array(range(-1, len(table) - 1), pa.int32()),
+                    "sums": pa.array(table.tolist(), pa.list_(pa.int64())),
+                })
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = _matrix(batch.column("_v"))
+            label = _labels(values, splits)
+            for group in wanted:
+                whole = np.rint(values[label == group] / unit).astype(np.int64)
+                if len(whole):
+                    # Ones in front give the counts and sums along with the products.
+                    wide = np.concatenate([np.ones((len(whole), 1), dtype=np.int64), whole], axis=1)
+                    sums[group] = sums.get(group, 0) + wide.T @ wide
+            rows += batch.num_rows
+            if rows >= SUMMED_ROWS:
+                yield from emit()
+                sums, rows = {}, 0
+        yield from emit()
+
+    return run
+
+
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one group and number, sorted, added up without end and rounded once."""
+    current, total = None, None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "group": pa.array([current[0]], pa.int64()), "line": pa.array([current[1]], pa.int32()),
+            "sums": pa.array([[float(v) for v in total]], pa.list_(pa.float64())),
+        })
+
+    for batch in batches:
+        for group, line, sums in zip(*[batch.column(c).to_pylist() for c in ("group", "line", "sums")], strict=True):
+            if (group, line) != current:
+                if total is not None:
+                    yield row()
+                current, total = (group, line), [0] * len(sums)
+            total = [a + b for a, b in zip(total, sums, strict=True)]
+    if total is not None:
+        yield row()
+
+
+def hierarchical_cluster(vectors: DataFrame, groups: int, row_id: str = "row_id", vector: str = "vector") -> DataFrame:
+    """Up to ``groups`` clusters by repeated splitting: ``(row_id, cluster)``.
+
+    The group with the largest sum of squared distances from its mean is split across the direction in which
+    it extends most, at its mean, until there are enough groups or none extends. The side the direction points to
+    (its largest loading is positive) gets the next number. Sums and cross products are added as whole numbers
+    of ``FIXED_BITS`` bits, so the result does not hang on how the rows are dealt; they give the directions
+    only, rows are projected as they are. One job per split; the driver sees matrices of dims x dims.
+    """
+    ship_package(vectors.sparkSession)
+    rows = settle(vectors.select(row_id, vector_to_array(vector).alias("_v")))
+    largest = rows.agg(F.max(F.array_max(F.transform("_v", F.abs)))).first()[0] or 1.0
+    unit = 2.0 ** (math.frexp(largest)[1] - FIXED_BITS)
+    splits: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    spread: dict[int, tuple[float, np.ndarray, np.ndarray]] = {}
+    wanted, count = [0], 1
+    while True:
+        summed = (
+            rows.select("_v").mapInArrow(_moments(list(splits), wanted, unit), "group bigint, line int, sums array<bigint>")
+            .repartition("group", "line").sortWithinPartitions("group", "line")
+            .mapInArrow(_added, "group bigint, line int, sums array<double>")
+        )
+        lines: dict[int, dict[int, list[float]]] = {}
+        for r in summed.collect():
+            lines.setdefault(r["group"], {})[r["line"]] = r["sums"]
+        for group, own in lines.items():
+            table = np.array([own[i] for i in sorted(own)])
+            n, total = table[0, 0], table[0, 1:]
+            around = table[1:, 1:] - np.outer(total, total) / n
+            spread[group] = float(np.trace(around)) * unit**2 if n > 1 else 0.0, total / n * unit, around
+        open_groups = [g for g, (size, _, _) in spread.items() if size > 0]
+        if count >= groups or not open_groups:
+            break
+        group = max(open_groups, key=lambda g: (spread[g][0], -g))
+        _, middle, around = spread.pop(group)
+        direction = np.linalg.eigh(around)[1][:, -1]
+        direction = direction * (np.sign(direction[np.abs(direction).argmax()]) or 1.0)
+        splits.append((group, count, middle, direction))
+        wanted, count = [group, count], count + 1
+
+    @F.pandas_udf("int")
+    def label(values: pd.Series) -> pd.Series:
+        return pd.Series(_labels(np.stack(values.to_list()), splits).astype("int32")) if len(values) else pd.Series([], dtype="int32")
+
+    return rows.select(row_id, label("_v").alias("cluster"))
 
 
 def group_count(rows: int) -> int:

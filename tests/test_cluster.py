@@ -149,6 +149,33 @@ def test_pca_equals_numpy(spark):
     assert cluster.pca_embed(cluster.array_vectors(flat, "v")).agg(F.max(F.abs("y"))).first()[0] == 0.0
 
 
+def _naive_splits(points, groups):
+    label = np.zeros(len(points), dtype=int)
+    for new in range(1, groups):
+        size = [((points[label == g] - points[label == g].mean(0)) ** 2).sum() for g in range(new)]
+        if max(size) <= 1e-9:
+            break
+        g = int(np.argmax(size))
+        own = points[label == g] - points[label == g].mean(0)
+        direction = np.linalg.svd(own)[2][0]
+        direction *= np.sign(direction[np.abs(direction).argmax()])
+        label[np.flatnonzero(label == g)[own @ direction > 0]] = new
+    return label
+
+
+def test_splitting_equals_numpy(spark):
+    rng = np.random.default_rng(3)
+    points = np.vstack([rng.normal(0, s, (40, 6)) + rng.normal(0, 9, 6) for s in (0.3, 1, 2, 0.5, 1.5)])
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(200), "v": [list(map(float, p)) for p in points]}))
+    for parts in (1, 64):
+        vectors = cluster.array_vectors(df.repartition(parts, "row_id"), "v")
+        got = cluster.hierarchical_cluster(vectors, 7).orderBy("row_id").toPandas()["cluster"].to_numpy()
+        assert got.tolist() == _naive_splits(points, 7).tolist()
+    alike = cluster.array_vectors(df.withColumn("v", F.array(F.lit(1.0), F.lit(2.0))), "v")
+    assert {r["cluster"] for r in cluster.hierarchical_cluster(alike, 5).collect()} == {0}
+    assert cluster.hierarchical_cluster(alike.limit(0), 5).count() == 0
+
+
 def test_families_separate(spark, data):
     df = spark.read.csv(f"{data}/annotations.csv", header=True, inferSchema=True).select(
         (F.regexp_extract("TE_name", r"(\d+)$", 1).cast("bigint") - 1).alias("row_id"), F.col("Seq").alias("seq")
