@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from seqspark.llm.common import join_groups, per_batch, slices, stored, text_digest, text_or_empty
 from seqspark.llm.tokens import vocabulary_path
+from seqspark.session import ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -264,6 +265,7 @@ def encode_documents(docs: DataFrame, ranks: str = RANKS, chunk: int = CHUNK, ov
     overlapping windows, which are dealt over the tasks. A null text is an empty one, with one empty piece;
     rows may share an id or have none, and repeated rows are returned as often as they occur.
     """
+    ship_package(docs.sparkSession)
     short, long = _split_by_length(docs, chunk)
     whole = short.select("doc_id", text_digest().alias("digest"), F.lit(0).alias("piece"), "text").mapInArrow(
         _encode(ranks), "doc_id bigint, digest binary, piece int, ids binary"
@@ -364,6 +366,7 @@ def digest_tokens(docs: DataFrame, ranks: str = RANKS, chunk: int = CHUNK, overl
     ``ids_sha256`` is of the decimal ids joined by commas, ``decoded_sha256`` of the bytes these ids decode to.
     Each long text is encoded once however many rows hold it. A null text is an empty one.
     """
+    ship_package(docs.sparkSession)
     short, long = _split_by_length(docs, chunk)
     result = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     near = short.mapInArrow(_digest_short(ranks), f"doc_id bigint, {result}")
