@@ -31,7 +31,7 @@ def neighbour_count(rows: int) -> int:
     return max(MIN_NEIGHBOURS, min(MAX_NEIGHBOURS, rows - 1))
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
+def matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
@@ -39,7 +39,7 @@ def _distances(point: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.sqrt(((others - point) ** 2).sum(axis=1))
 
 
-def _distinct_vectors(df: DataFrame, keep: int, row_id: str, vector: str) -> DataFrame:
+def distinct_vectors(df: DataFrame, keep: int, row_id: str, vector: str) -> DataFrame:
     """One row per distinct vector: its lowest id and its ``keep`` lowest ids.
 
     However many copies a vector has, only its lowest ids can ever be among anyone's neighbours.
@@ -61,20 +61,20 @@ def knn(
     """The ``k`` nearest other rows of every row by Euclidean distance, lower id first on ties:
     ``(id, rank, neighbour, distance)``."""
     keep = k + 1
-    groups = settle(_distinct_vectors(df, keep, row_id, vector))
+    groups = settle(distinct_vectors(df, keep, row_id, vector))
 
     if pivots is None:
         pivots = max(1, min(MAX_PIVOTS, groups.count() // PIVOT_ROWS))
     # A sample of bounded size goes to the driver, chosen by hash so that it is reproducible.
     drawn = groups.orderBy(F.xxhash64("gid"), "gid").limit(pivots).select("vector").collect()
     if not drawn:
-        return df.sparkSession.createDataFrame([], _graph_schema())
-    centres = _matrix(pd.Series([r["vector"] for r in drawn]))
+        return df.sparkSession.createDataFrame([], graph_schema())
+    centres = matrix(pd.Series([r["vector"] for r in drawn]))
 
     @F.pandas_udf("cell int, reach double")
     def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
         cell, reach = [], []
-        for v in _matrix(vectors):
+        for v in matrix(vectors):
             d = _distances(v, centres)
             i = int(d.argmin())
             cell.append(i)
@@ -102,7 +102,7 @@ def knn(
     @F.pandas_udf("array<int>")
     def candidate_cells(vectors: pd.Series) -> pd.Series:
         out = []
-        for v in _matrix(vectors):
+        for v in matrix(vectors):
             d = _distances(v, used)
             bounds = d[near_cell] + near_reach
             limit = np.partition(bounds, keep - 1)[keep - 1] if len(bounds) >= keep else np.inf
@@ -126,9 +126,9 @@ def knn(
     def compare(_key: tuple, asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or offering.empty:
             return pd.DataFrame({"gid": [], "other": [], "distance": []})
-        ids, points = offering["at_gid"].to_numpy(), _matrix(offering["at_vector"])
+        ids, points = offering["at_gid"].to_numpy(), matrix(offering["at_vector"])
         others, reach = [], []
-        for v in _matrix(asking["vector"]):
+        for v in matrix(asking["vector"]):
             d = _distances(v, points)
             best = np.lexsort((ids, d))[:keep]
             others.append(ids[best])
@@ -144,14 +144,22 @@ def knn(
     )
     place = F.row_number().over(Window.partitionBy("gid").orderBy("distance", "other"))
     closest = best.withColumn("_n", place).where(F.col("_n") <= keep)
+    return rows_of_groups(df, located, closest, k, row_id, vector)
 
-    # From distinct vectors back to rows: at most (k + 1)^2 candidates per distinct vector.
-    expanded = closest.join(located.select(F.col("gid").alias("other"), "members"), "other").select(
+
+def rows_of_groups(
+    df: DataFrame, groups: DataFrame, closest: DataFrame, k: int, row_id: str, vector: str
+) -> DataFrame:
+    """From the ``k + 1`` closest distinct vectors ``(gid, other, distance)`` back to rows.
+
+    A distinct vector has at most (k + 1)^2 candidates.
+    """
+    expanded = closest.join(groups.select(F.col("gid").alias("other"), "members"), "other").select(
         "gid", F.explode(F.transform("members", lambda m: F.struct(F.col("distance"), m.alias("id")))).alias("_c")
     )
-    lists = expanded.groupBy("gid").agg(F.slice(F.array_sort(F.collect_list("_c")), 1, keep).alias("_near"))
+    lists = expanded.groupBy("gid").agg(F.slice(F.array_sort(F.collect_list("_c")), 1, k + 1).alias("_near"))
     everyone = df.select(F.col(row_id).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    named = everyone.join(located.select("gid", "vector"), "vector").select("id", "gid")
+    named = everyone.join(groups.select("gid", "vector"), "vector").select("id", "gid")
     return named.join(lists, "gid").select(
         "id",
         F.posexplode(F.slice(F.filter("_near", lambda c: c["id"] != F.col("id")), 1, k)).alias("_i", "_c"),
@@ -160,5 +168,5 @@ def knn(
     )
 
 
-def _graph_schema() -> T.StructType:
+def graph_schema() -> T.StructType:
     return T.StructType.fromDDL("id bigint, rank int, neighbour bigint, distance double")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from seqspark.operators import align, cluster
 from seqspark.operators.knn import knn, neighbour_count
+from seqspark.operators.knn_lsh import RECALL, graph_recall, knn_lsh
 from seqspark.plans import inputs as i
 from seqspark.plans.registry import query
 from seqspark.session import settle
@@ -110,6 +111,30 @@ def knn_graph(spark: SparkSession, sf: str) -> DataFrame:
     return graph.withColumn("distance", F.round("distance", 4))
 
 
+# Small blocks, so that the given tables need several rounds.
+_LSH_BLOCK = 256
+
+
+@query("knn_graph_lsh")
+def knn_graph_lsh(spark: SparkSession, sf: str) -> DataFrame:
+    """The neighbour graph by hashing: which neighbours are missed hangs on the hashes, so there is no SQL."""
+    rows = _embeddings(spark, sf)
+    graph = knn_lsh(rows, neighbour_count(rows.count()), "row_id", "embedding", block=_LSH_BLOCK).edges
+    return graph.withColumn("distance", F.round("distance", 4))
+
+
+@query("knn_recall", """
+WITH n AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(n * least(n - 1, greatest(2, least(30, n - 1))) AS BIGINT) AS neighbours, true AS reached FROM n""")
+def knn_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """The hashed graph against the exact one over all rows: neighbours there are, and whether enough were found."""
+    rows = _embeddings(spark, sf)
+    k = neighbour_count(rows.count())
+    hashed = knn_lsh(rows, k, "row_id", "embedding", block=_LSH_BLOCK).edges
+    measured = graph_recall(hashed, knn(rows, k, "row_id", "embedding"))
+    return measured.select("neighbours", (F.col("recall") >= RECALL).alias("reached"))
+
+
 @query("density_cluster", f"WITH RECURSIVE {_PLANE_SQL}, {_DENSITY_SQL} SELECT row_id, cluster FROM found")
 def density_cluster(spark: SparkSession, sf: str) -> DataFrame:
     """Density clusters on the plane of all embedding coordinates."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seqspark.operators import cluster, plane
 from seqspark.operators.knn import knn, neighbour_count
+from seqspark.operators.knn_lsh import graph_recall, knn_lsh
 
 
 def _naive_knn(points, k):
@@ -43,6 +44,45 @@ def test_knn_of_nothing(spark):
     assert (neighbour_count(2), neighbour_count(12), neighbour_count(500)) == (2, 11, 30)
 
 
+@pytest.mark.parametrize("n,copies,dims", [(600, 200, 8), (500, 0, 24)])
+def test_knn_lsh_reaches_its_recall(spark, n, copies, dims):
+    points = _points(n, copies, 3, dims)
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(n), "vector": [list(map(float, p)) for p in points]}))
+    graph = knn_lsh(df, 6, block=64, probes=10_000)
+    assert graph.rounds > 1 and not graph.exact and graph.recall >= 0.9
+    got = graph.edges.toPandas()
+    # Every row has all its neighbours, ranked by exact distances, itself left out.
+    assert got.groupby("id").size().tolist() == [6] * n
+    assert (got["id"] != got["neighbour"]).all() and not got.duplicated(["id", "neighbour"]).any()
+    want = np.sqrt(((points[got["id"]] - points[got["neighbour"]]) ** 2).sum(axis=1))
+    assert got["distance"].to_numpy() == pytest.approx(want)
+    ranked = got.sort_values(["id", "rank"])
+    assert (ranked.groupby("id")["distance"].diff().fillna(0) >= 0).all()
+    naive = _naive_knn(points, 6)
+    near = [x <= naive[i][-1][1] + 1e-9 for i, x in zip(got["id"], got["distance"], strict=True)]
+    assert np.mean(near) >= 0.9
+    measured = graph_recall(graph.edges, knn(df, 6)).first()
+    assert measured["neighbours"] == 6 * n and measured["recall"] == pytest.approx(np.mean(near))
+
+
+def test_knn_lsh_falls_back_to_the_exact_graph(spark):
+    points = _points(300, 0, 4, 16)
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(300), "vector": [list(map(float, p)) for p in points]}))
+    graph = knn_lsh(df, 4, block=16, max_rounds=1, recall=1.0)
+    assert graph.exact and graph.recall == 1.0
+    got = graph.edges.orderBy("id", "rank").toPandas()
+    naive = _naive_knn(points, 4)
+    assert got["neighbour"].tolist() == [j for i in range(300) for j, _ in naive[i]]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 30])
+def test_knn_lsh_of_small_tables(spark, n):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(n)]
+    df = spark.createDataFrame(rows, "row_id bigint, vector array<double>")
+    got = sorted(map(tuple, knn_lsh(df, 3).edges.collect()))
+    assert got == sorted(map(tuple, knn(df, 3).collect()))
+
+
 def _naive_density(points, eps, samples, smallest):
     d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1))
     core = np.array([np.sort(np.delete(d[i], i))[samples - 1] <= eps for i in range(len(points))])
