@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, wrap_lines
-from seqspark.session import settle
+from seqspark.session import broadcast_if_small, settle
 from seqspark.sources.genome import CHUNK, noted
 
 LINE = 80
@@ -16,35 +21,64 @@ BLANKS = " \t\r\n"
 _BLOCK = ["_file", "_block"]
 
 
-def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Sequence lines with their contig number and offset in the contig, and the headers.
-
-    Files may be split anywhere. Lines are numbered within a file block only; what a block inherits from
-    the blocks before it (header and offset) comes from a table with one row per block.
-    """
+# Lines as they are numbered inside their file block: characters and headers so far, and the characters that
+# came before the last header.
+_NUMBERED = (
+    "_file string, _block bigint, _head boolean, name string, text string, _run bigint, _heads bigint, _head_run bigint"
+)
+
+
+def _number_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the lines where they are read: a task reads its file blocks one after another, each from its start."""
+    at, run, heads, last = None, 0, 0, -1
+    for batch in batches:
+        file, block, head, _, text = batch.columns
+        # A task reads few blocks; a batch is cut where the next one begins.
+        change = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1]))
+        cuts = [0, *(np.flatnonzero(change.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+        is_head = head.to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.utf8_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        runs, counts, lasts = (np.empty(batch.num_rows, dtype=np.int64) for _ in range(3))
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            here = (file[a].as_py(), block[a].as_py())
+            if here != at:
+                at, run, heads, last = here, 0, 0, -1
+            runs[a:b] = run + np.cumsum(size[a:b])
+            counts[a:b] = heads + np.cumsum(is_head[a:b])
+            # Characters never become fewer, so the last header is the one that has the most before it.
+            lasts[a:b] = np.maximum(np.maximum.accumulate(np.where(is_head[a:b], runs[a:b], -1)), last)
+            run, heads, last = runs[b - 1], counts[b - 1], lasts[b - 1]
+        added = [pa.array(runs), pa.array(counts), pa.array(lasts, mask=lasts < 0)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "_run", "_heads", "_head_run"])
+
+
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines, numbered within their file block by the task that reads it; no text is moved."""
     raw = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
     )
     head = F.startswith("value", F.lit(">"))
     marked = raw.select(
-        *_BLOCK, "_at",
+        *_BLOCK,
         head.alias("_head"),
         F.when(head, F.split(F.btrim(F.substring("value", 2, 1 << 30), F.lit(BLANKS)), r"\s+")[0]).alias("name"),
         F.when(~head, fold_case(F.btrim(F.col("value"), F.lit(BLANKS)))).alias("text"),
     )
-    size = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
-    upto = Window.partitionBy(*_BLOCK).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    # Read three times below, so the files are scanned and shuffled once and the result is kept.
-    local = settle(
-        marked.withColumn("_run", F.sum(size).over(upto)).select(
-            "*",
-            F.sum(F.col("_head").cast("bigint")).over(upto).alias("_heads"),
-            F.max(F.when(F.col("_head"), F.col("_run"))).over(upto).alias("_head_run"),
-        )
-    )
+    return marked.mapInArrow(_number_lines, _NUMBERED)
+
+
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Sequence lines with their contig number and offset in the contig, and the headers.
+
+    Files may be split anywhere. What a block inherits from the blocks before it (header and offset) comes from
+    a table with one row per block.
+    """
+    # Read three times below, so the files are scanned once and the result is kept.
+    local = settle(scan_lines(spark, path))
     # One row per file block from here to `inherited`.
     blocks = local.groupBy(*_BLOCK).agg(
         F.max("_heads").alias("_n"), F.max("_run").alias("_size"), F.max("_head_run").alias("_last")
@@ -59,7 +93,9 @@ def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         *_BLOCK, "_heads_before", "_size_before",
         F.max(F.col("_size_before") + F.col("_last")).over(earlier).alias("_inherited"),
     )
-    known = local.join(inherited, _BLOCK).withColumn("contig_no", F.col("_heads_before") + F.col("_heads"))
+    known = local.join(broadcast_if_small(settle(inherited)), _BLOCK).withColumn(
+        "contig_no", F.col("_heads_before") + F.col("_heads")
+    )
     begin = F.greatest(F.col("_inherited"), F.col("_size_before") + F.col("_head_run"))
     lines = known.where(~F.col("_head") & (F.col("contig_no") > 0) & (F.length("text") > 0)).select(
         "contig_no",

@@ -221,6 +221,26 @@ def test_fasta_scan_of_split_files(spark, tmp_path):
     assert [(r["name"], r["seq"]) for r in records] == [(c, s.upper()) for c, s in contigs]
 
 
+def test_fasta_scan_of_a_folder_in_small_batches(spark, tmp_path):
+    """Many files in one task, contigs that go on in the next file, batches that end anywhere; no text is moved."""
+    rng = random.Random(5)
+    contigs = [(f"c{i}", "".join(rng.choice("ACGT") for _ in range(rng.choice([0, 3, 400])))) for i in range(30)]
+    lines = []
+    for name, s in contigs:
+        lines += [f">{name}", *[s[i:i + 20] for i in range(0, len(s), 20)]]
+    for n, at in enumerate(range(0, len(lines), 17)):
+        (tmp_path / f"part-{n:03d}.txt").write_text("\n".join(lines[at:at + 17]) + "\n")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+        records = fasta.read_records(spark, str(tmp_path)).orderBy("seq_id").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert [(r["name"], r["seq"]) for r in records] == contigs
+    plan = fasta.scan_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan
+
+
 def test_alignment_width_is_checked(spark, tmp_path):
     path = os.path.join(tmp_path, "a.fa")
     with open(path, "w") as f:
