@@ -14,6 +14,22 @@ from seqspark.session import broadcast_if_small, join_groups, join_on, scratch_p
 BATCH_CHARS = 4_000_000
 
 
+# What this worker process keeps between batches, by operator and parameters: one entry at most.
+_kept: dict[tuple, object] = {}
+
+
+def worker_cache(key: tuple, make: Callable[[], object]):
+    """What this worker keeps under ``key``, made if it is not there.
+
+    Python workers are used again by later stages, so what another operator kept is let go first: a worker never
+    holds more than the largest of these caches, however many operators it has run.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -128,4 +144,5 @@ def drop_repeated_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -
 __all__ = [
     "BATCH_CHARS", "broadcast_if_small", "drop_repeated_rows", "id_remainder", "join_groups", "join_on", "per_batch",
     "read_table", "settle", "slices", "stored", "text_digest", "text_or_empty", "whole_groups", "without",
+    "worker_cache",
 ]

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqspark.llm.common import id_remainder, per_batch
+from seqspark.llm.common import id_remainder, per_batch, worker_cache
 
 DIMENSIONS = 512
 GRAM = 3
 UNKNOWN = "und"
 
-# Documents whose counts are bundled at a time, and n-grams whose vectors a worker keeps.
+# Documents whose counts are bundled at a time, n-grams whose vectors are made at a time and that a worker keeps.
 BLOCK = 64
+PART = 4_096
 MAX_KEPT = 60_000
 
 # Learning rows a least score is taken from, and the share of it that a text must reach.
@@ -59,18 +60,20 @@ class Space:
     def __init__(self, dimensions: int, seed: int):
         self.dimensions, self.seed = dimensions, seed
         self._letter: dict[int, np.ndarray] = {}
+        # Sorted n-grams, the place of each in the table, and the table, which never moves.
         self._keys = np.zeros(0, dtype=np.int64)
-        self._table = np.zeros((0, dimensions), dtype=np.float32)
+        self._place = np.zeros(0, dtype=np.int64)
+        self._table = np.empty((MAX_KEPT, dimensions), dtype=np.int8)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self._letter:
             bits = np.random.default_rng([self.seed, code]).integers(0, 2, self.dimensions)
-            self._letter[code] = (2 * bits - 1).astype(np.float32)
+            self._letter[code] = (2 * bits - 1).astype(np.int8)
         return self._letter[code]
 
     def _bind(self, keys: np.ndarray) -> np.ndarray:
         """Product of the letters' vectors, the one n places before the last rotated n times."""
-        out = np.ones((len(keys), self.dimensions), dtype=np.float32)
+        out = np.ones((len(keys), self.dimensions), dtype=np.int8)
         for n in range(GRAM):
             codes, place = np.unique((keys >> (_BITS * n)) & ((1 << _BITS) - 1), return_inverse=True)
             rolled = np.stack([np.roll(self.letter(int(c)), n) for c in codes])
@@ -84,31 +87,39 @@ class Space:
             if len(self._keys) + len(new) > MAX_KEPT:
                 if len(keys) > MAX_KEPT:
                     return self._bind(keys)
-                new, self._keys, self._table = keys, self._keys[:0], self._table[:0]
+                new, self._keys, self._place = keys, self._keys[:0], self._place[:0]
+            held = len(self._keys)
+            self._table[held : held + len(new)] = self._bind(new)
             merged = np.concatenate([self._keys, new])
-            table = np.concatenate([self._table, self._bind(new)])
+            place = np.concatenate([self._place, np.arange(held, held + len(new))])
             order = np.argsort(merged)
-            self._keys, self._table = merged[order], table[order]
-        return self._table[np.searchsorted(self._keys, keys)]
+            self._keys, self._place = merged[order], place[order]
+        return self._table[self._place[np.searchsorted(self._keys, keys)]]
+
+    def total(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sum of the n-grams' vectors, each as often as it is counted: whole numbers, so in any order the same."""
+        out = np.zeros(self.dimensions, dtype=np.float64)
+        for at in range(0, len(keys), PART):
+            out += counts[at : at + PART].astype(np.float64) @ self._bind(keys[at : at + PART]).astype(np.float64)
+        return out
 
     def bundle(self, counted: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """A row per document: the sum of its n-grams' vectors."""
         keys = np.unique(np.concatenate([k for k, _ in counted]))
         out = np.zeros((len(counted), self.dimensions), dtype=np.float32)
         # N-grams in parts, so that long texts in many scripts need no large table at once.
-        for at in range(0, len(keys), 8192):
-            part = keys[at : at + 8192]
+        for at in range(0, len(keys), PART):
+            part = keys[at : at + PART]
             counts = np.zeros((len(counted), len(part)), dtype=np.float32)
             for row, (k, n) in enumerate(counted):
                 lo, hi = np.searchsorted(k, part[0]), np.searchsorted(k, part[-1], side="right")
                 counts[row, np.searchsorted(part, k[lo:hi])] = n[lo:hi]
-            out += counts @ self.vectors(part)
+            out += counts @ self.vectors(part).astype(np.float32)
         return out
 
 
-@lru_cache(maxsize=4)
 def space(dimensions: int, seed: int) -> Space:
-    return Space(dimensions, seed)
+    return worker_cache(("space", dimensions, seed), lambda: Space(dimensions, seed))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -137,8 +148,7 @@ def learn_prototypes(
             keys, at = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
             totals = np.bincount(at, weights=np.concatenate([n for _, n in counted])).astype(np.int64)
             names.append(name)
-            # Whole numbers in double precision: sums do not depend on their order.
-            vectors.append(totals.astype(np.float64) @ space(dimensions, seed)._bind(keys).astype(np.float64))
+            vectors.append(space(dimensions, seed).total(keys, totals))
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([v.tolist() for v in vectors], pa.list_(pa.float64()))], ["lang", "bundle"]
         )

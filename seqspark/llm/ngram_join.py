@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from seqspark.llm.common import (
     broadcast_if_small, drop_repeated_rows, join_groups, per_batch, settle, stored, text_or_empty, whole_groups, without,
-)
+    worker_cache,
 from seqspark.operators.cluster import connected_components
 
 SHINGLE = 5
@@ -53,8 +53,6 @@ _SEEDS = np.random.default_rng(6).integers(0, 2**63, POSITIONS, dtype=np.uint64)
 # Hashes of words a worker keeps.
 MAX_KEPT = 150_000
 
-_words: dict[str, int] = {}
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -74,11 +72,12 @@ def shingles_of(text: str, size: int = SHINGLE) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    if len(_words) > MAX_KEPT:
-        _words.clear()
-    for w in set(words).difference(_words):
-        _words[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-    hashes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    known = worker_cache(("words",), dict)
+    if len(known) > MAX_KEPT:
+        known.clear()
+    for w in set(words).difference(known):
+        known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     size = min(size, len(words))
     found = np.full(len(words) - size + 1, size, dtype=np.uint64)
     for k in range(size):

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import re
 import struct
-from functools import lru_cache
 from itertools import chain
 
 from tokenizers import Tokenizer, pre_tokenizers
 
+from seqspark.llm.common import worker_cache
+
 # Vocabulary files, by name, as the package public_tokenizers holds them.
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 
@@ -145,7 +146,6 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=4)
 def encoder(name: str = DEFAULT_VOCABULARY) -> Encoder:
-    """The encoder of this worker process, kept between tasks."""
-    return Encoder(vocabulary_path(name))
+    """The encoder of this worker process, kept between tasks until another operator needs the room."""
+    return worker_cache(("encoder", name), lambda: Encoder(vocabulary_path(name)))

@@ -15,6 +15,29 @@ def test_bundle_is_linear():
     assert language.grams("12 !? ") is None and language.grams("") is None
 
 
+def test_kept_vectors_are_those_made_anew(monkeypatch):
+    """However the table of kept vectors fills up and is begun again, a bundle is the sum of its own vectors."""
+    monkeypatch.setattr(language, "MAX_KEPT", 40)
+    monkeypatch.setattr(language, "PART", 16)
+    space, fresh = language.Space(64, 3), language.Space(64, 3)
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        texts = ["".join(rng.choice(list("abcdefg 1é"), rng.integers(1, 60))) + "a" for _ in range(3)]
+        counted = [language.grams(t) for t in texts]
+        want = [n @ fresh._bind(k).astype(np.int64) for k, n in counted]
+        assert (space.bundle(counted) == want).all()
+        assert all((space.total(*c) == w).all() for c, w in zip(counted, want, strict=True))
+
+
+def test_a_worker_keeps_one_cache():
+    from seqspark.llm.common import _kept, worker_cache
+
+    first = worker_cache(("one",), dict)
+    assert worker_cache(("one",), dict) is first
+    language.space(64, 3)
+    assert list(_kept) == [("space", 64, 3)] and worker_cache(("one",), dict) is not first
+
+
 def test_permutation_tells_order():
     space = language.Space(2048, 1)
     a, b = (space.bundle([language.grams(t)])[0] for t in ("abcabcabc", "cbacbacba"))
