@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from seqspark.llm.common import (
     broadcast_if_small, drop_repeated_rows, join_groups, per_batch, settle, stored, text_or_empty, whole_groups, without,
     worker_cache,
+)
 from seqspark.operators.cluster import connected_components
 
 SHINGLE = 5
