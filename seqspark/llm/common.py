@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -25,11 +26,21 @@ def worker_cache(key: tuple, make: Callable[[], object]):
     holds more than the largest of these caches, however many operators it has run.
     """
     if key not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            _give_back()
         _kept[key] = make()
     return _kept[key]
 
 
+def _give_back() -> None:
+    """Free memory goes back to the system, where the C library can be asked to; else it waits for its next use."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
