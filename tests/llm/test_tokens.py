@@ -27,6 +27,18 @@ def test_encoder_equals_library():
         assert ids == struct.pack(f"<{len(ids) // 4}I", *plain(text)), repr(text)
 
 
+def test_words_and_signs_equal_library():
+    rnd = random.Random(3)
+    words = ["à", "là", "\u0420", "caf\u00e9", "naïve", "日本語", "don't", "x", "word", "Wörter", "a_b", "9", "ß", "\u00a0"]
+    tails = ["", "", "", ".", "&&&", "...", "'", "_", "!\"", ".\nThe", "'s", "\u00a0", "$$$,", "—"]
+    texts = [" ".join(rnd.choice(words) + rnd.choice(tails) for _ in range(rnd.randrange(1, 300))) for _ in range(400)]
+    texts += ["", " ", "  a", "a ", "\u00a0", "x" * 100_000, "é " * 50_000, "&&& &&&", "&&&", "'s 's"]
+    for batch in (texts, texts[::-1], texts[:1]):
+        for text, ids in zip(batch, encoder().encode(batch), strict=True):
+            assert ids == struct.pack(f"<{len(ids) // 4}I", *plain(text)), repr(text[:200])
+    assert encoder().encode([]) == []
+
+
 def test_added_tokens_equal_a_fresh_tokenizer():
     fresh = Tokenizer.from_file(vocabulary_path())
     rnd = random.Random(2)
