@@ -221,9 +221,21 @@ def _agreeing(a: np.ndarray, b: np.ndarray, near: float) -> tuple[np.ndarray, np
 
 
 def _near_pairs(near: float):
-    """Brute force inside buckets, rows sorted by bucket: links that keep what is similar connected."""
+    """Brute force inside buckets, rows sorted by bucket: links that keep what is similar connected.
+
+    All buckets of a task share one forest, so a task writes fewer links than it has members, however many
+    buckets a group meets in.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while above.get(i, i) != i:
+                above[i] = above.get(above[i], above[i])
+                i = above[i]
+            return i
+
         for table in whole_groups(batches, ["bucket", "part"], 4096):
             bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
             cid, side = table.column("cid").to_numpy(), table.column("side").to_numpy()
@@ -243,11 +255,14 @@ def _near_pairs(near: float):
                     j = j + middle
                 root = forest((i, j), e - s)
                 moved = np.flatnonzero(root != np.arange(e - s))
-                a.append(cid[s:e][root[moved]])
-                b.append(cid[s:e][moved])
-            a, b = np.concatenate(a), np.concatenate(b)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                for x, y in zip(cid[s:e][root[moved]].tolist(), cid[s:e][moved].tolist(), strict=True):
+                    x, y = find(x), find(y)
+                    if x != y:
+                        above[max(x, y)] = min(x, y)
+                        a.append(min(x, y))
+                        b.append(max(x, y))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
@@ -301,7 +316,8 @@ def candidate_links(classes: DataFrame, threshold: float, recall: float, near: f
         if open_.isEmpty():
             return links
         if depth == MAX_DEPTH:
-            return links.unionByName(_blocks(open_, sketches, near))
+            # Written, as the links are read more than once.
+            return links.unionByName(stored(_blocks(open_, sketches, near).distinct(), "links"))
         paths = open_.select("path", "cid").join(sketches, "cid").select("path", "cid", "sketch").mapInArrow(
             _longer_paths, "path bigint, cid bigint"
         )
