@@ -28,8 +28,8 @@ GENERATIONS = 6
 # Distinct well-filled bins an island sends to the next one.
 ELITE = 512
 
-# Islands whose badly filled bins are packed anew together.
-MERGE = 64
+# Rounds in which elite patterns go to the next island and it breeds on.
+MIGRATIONS = 2
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -206,12 +206,11 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
     """Bins for settled ``(item, length)`` rows, lengths from 1 to ``capacity``: ``item, bin, offset``.
 
     Every island (a hash share of the items) runs the genetic algorithm; the patterns of its elite bins
-    migrate to the next island, whose second run starts from its own best solution and one built from the
-    migrants. Bins left badly filled on neighbouring islands are opened and packed together once more.
+    migrate to the next island, whose next run starts from its own best solution and one built from the
+    migrants. Bins left badly filled are dealt to groups of about ``island`` pieces, opened and packed once more.
     """
     count = items.count()
     islands = max(1, -(-count // island))
-    merged = -(-islands // MERGE)
     on = items.select(
         "item", "length", F.pmod(F.xxhash64("item", F.lit(seed)), F.lit(islands)).cast("bigint").alias("island")
     )
@@ -221,7 +220,7 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
         here = int(frame["island"].iloc[0])
         return _placed(frame, evolve(frame["length"].tolist(), capacity, seed * 7919 + here), here)
 
-    first = settle(on.groupBy("island").applyInPandas(first_run, _PLACED))
+    best = settle(on.groupBy("island").applyInPandas(first_run, _PLACED))
 
     def patterns(frame: pd.DataFrame) -> pd.DataFrame:
         bins = _bins_of(frame)
@@ -229,9 +228,7 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
         target = (int(frame["island"].iloc[0]) + 1) % islands
         return pd.DataFrame({"island": target, "pattern": elite_patterns(bins, sizes, capacity)})
 
-    migrants = first.groupBy("island").applyInPandas(patterns, "island bigint, pattern array<bigint>")
-
-    def second_run(frame: pd.DataFrame, arrived: pd.DataFrame) -> pd.DataFrame:
+    def next_run(frame: pd.DataFrame, arrived: pd.DataFrame) -> pd.DataFrame:
         if not len(frame):
             return pd.DataFrame({k: pd.Series(dtype="int64") for k in ("item", "length", "island", "bin", "fill", "offset")})
         frame = frame.sort_values("item", ignore_index=True)
@@ -240,22 +237,25 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
         guided = inject(own, built, sizes, capacity)
         return _placed(frame, evolve(sizes, capacity, seed * 104729 + here, [own, guided]), here)
 
-    second = settle(
-        first.groupBy("island").cogroup(migrants.groupBy("island")).applyInPandas(second_run, _PLACED)
-    )
+    for _ in range(MIGRATIONS):
+        migrants = best.groupBy("island").applyInPandas(patterns, "island bigint, pattern array<bigint>")
+        best = settle(best.groupBy("island").cogroup(migrants.groupBy("island")).applyInPandas(next_run, _PLACED))
+    if islands == 1:
+        return best.select("item", "bin", "offset")
     # Bins short of full by more than one part in 64 are opened and packed with those of other islands.
     loose = F.col("fill") < capacity - capacity // 64
-    group = F.floor(F.col("island") / F.lit(MERGE)).cast("bigint")
+    groups = max(1, -(-best.where(loose).count() // island))
 
     def last_run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("item", ignore_index=True)
         here = islands + int(frame["island"].iloc[0])
-        best = evolve(frame["length"].tolist(), capacity, seed * 1299709 + here)
-        return _placed(frame, min([_bins_of(frame), best], key=len), here)
+        packed = evolve(frame["length"].tolist(), capacity, seed * 1299709 + here)
+        return _placed(frame, min([_bins_of(frame), packed], key=len), here)
 
-    again = second.where(loose).withColumn("island", group).groupBy("island").applyInPandas(last_run, _PLACED)
-    result = second.where(~loose).unionByName(again) if merged < islands or islands > 1 else second
-    return result.select("item", "bin", "offset")
+    # A bin goes to one group whole.
+    group = F.pmod(F.xxhash64("bin", F.lit(seed)), F.lit(groups)).cast("bigint")
+    again = best.where(loose).withColumn("island", group).groupBy("island").applyInPandas(last_run, _PLACED)
+    return best.where(~loose).unionByName(again).select("item", "bin", "offset")
 
 
 def pack_documents(
