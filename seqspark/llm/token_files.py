@@ -28,6 +28,10 @@ _BLOCK_DDL = ("part int, block int, first bigint, n_ids bigint, width int, doc_i
               "payload binary")
 
 
+# Widths that are numbers of the machine.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
+
+
 def id_width(vocabulary_size: int) -> int:
     """The fewest bits that hold every id below ``vocabulary_size``."""
     return max(1, (int(vocabulary_size) - 1).bit_length())
@@ -35,8 +39,12 @@ def id_width(vocabulary_size: int) -> int:
 
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids as consecutive ``width``-bit numbers, lowest bit first, padded to whole 64-bit words and one more."""
+    words = np.zeros((len(ids) * width + 63) // 64 + 1, dtype="<u8")
+    if width in _WHOLE:
+        # Numbers of whole bytes lie side by side as they are.
+        words.view(_WHOLE[width])[: len(ids)] = ids
+        return words.tobytes()
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
-    words = np.zeros((len(ids) * width + 63) // 64 + 1, dtype=np.uint64)
     if len(ids):
         at = np.arange(len(ids), dtype=np.uint64) * np.uint64(width)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
@@ -50,6 +58,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 def unpack(payload: bytes, width: int, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` (exclusive) of a packed block, read without touching the others."""
+    if width in _WHOLE:
+        return np.frombuffer(payload, dtype=_WHOLE[width])[start:stop].astype(np.uint32)
     words = np.frombuffer(payload, dtype="<u8")
     at = np.arange(start, stop, dtype=np.uint64) * np.uint64(width)
     word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
