@@ -58,7 +58,9 @@ def vocabulary_vectors(
     counts = settle(kmer_counts(df, k, row_id, seq))
     found = counts.groupBy("kmer").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
     terms = with_rank(found.select("kmer"), ["kmer"], "term", first=0)
-    return counts.join(terms, "kmer").select(row_id, "term", "n")
+    # Sorted on both sides: a table's size before its texts were cut into k-mers says nothing about the vocabulary's,
+    # and a broadcast planned by it would not fit the driver.
+    return counts.join(terms.hint("merge"), "kmer").select(row_id, "term", "n")
 
 
 def array_vectors(df: DataFrame, column: str, row_id: str = "row_id", name: str = "vector") -> DataFrame:

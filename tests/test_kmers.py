@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seqspark.functions.sequence import fold_case, gc_fraction, pieces, reverse_complement, wrap_lines
 from seqspark.operators import kmers, primers
-from seqspark.operators.cluster import kmer_vectors
+from seqspark.operators.cluster import kmer_vectors, vocabulary_vectors
 from seqspark.operators.ordering import first_per_key, running_total, with_rank
 from seqspark.session import is_small, join_groups, settle
 
@@ -145,3 +145,13 @@ def test_size_is_measured(spark):
     df = settle(spark.createDataFrame([("x" * 1000, [1, 2]), (None, None)], "s string, a array<bigint>"))
     assert is_small(df, 1300) and not is_small(df, 900)
     assert is_small(df.limit(0), 0)
+
+
+def test_vocabulary_is_never_broadcast(spark):
+    """The estimate of a few short texts is small, that of their k-mers would be as small."""
+    df = spark.range(20).select(F.col("id").alias("row_id"), F.lit("ACGTTGCAGT" * 3).alias("seq"))
+    found = vocabulary_vectors(df, 5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString() + found._jdf.queryExecution().sparkPlan().toString()
+    # What with_rank broadcasts is one row per partition, keyed by it.
+    assert "SortMergeJoin [kmer" in plan and "BroadcastHashJoin [kmer" not in plan
+    assert found.groupBy("row_id").agg(F.sum("n").alias("n")).where("n <> 26").count() == 0
