@@ -155,3 +155,37 @@ def test_vocabulary_is_never_broadcast(spark):
     # What with_rank broadcasts is one row per partition, keyed by it.
     assert "SortMergeJoin [kmer" in plan and "BroadcastHashJoin [kmer" not in plan
     assert found.groupBy("row_id").agg(F.sum("n").alias("n")).where("n <> 26").count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=6), st.integers(1, 20))
+def test_binned_positions_equal_naive(spark, texts, k):
+    rows = [*enumerate(texts), (90, None), (91, "A" * 9000), (92, "acgtn" * 1700), (93, "é😀" * 2100)]
+    df = spark.createDataFrame(rows, "row_id bigint, seq string")
+    found = kmers.binned_positions(df, k, keep=["row_id"]).collect()
+    assert len(found) == len(want := _naive([(i, s or "") for i, s in rows], k))
+    assert {(r["row_id"], r["pos"], r["kmer"]) for r in found} == want
+    assert len({(r["kmer"], r["bin"]) for r in found}) == len({r["kmer"] for r in found})
+    known = kmers.binned_positions(df, k, keep=["row_id"], without="N").collect()
+    assert {(r["row_id"], r["pos"], r["kmer"]) for r in known} == {w for w in want if "N" not in w[2]}
+    assert len(known) == sum("N" not in w[2] for w in want)
+
+
+def test_vocabulary_moves_stretches(spark):
+    """Before a k-mer is listed its stretch is moved; no exchange has a row per k-mer."""
+    df = spark.range(20).select(F.lit("ACGTTGCAGT" * 3).alias("seq"))
+    plan = kmers.kmer_vocabulary(df, 5)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode")[:2]
+    assert "Exchange hashpartitioning" not in above and "Exchange hashpartitioning(bin" in below
+    assert kmers.kmer_vocabulary(df, 5).first()["vocabulary"] == 10
+
+
+def test_binned_index_equals_index(spark):
+    rng = random.Random(5)
+    rows = [(i, float(i % 5), "".join(rng.choice("ACGTN") for _ in range(rng.randint(0, 60))) * 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id bigint, total_expr double, seq string")
+    want = sorted(kmers.kmer_index(kmers.postings(df, 4, keep=["total_expr"])).collect())
+    index = kmers.kmer_index(kmers.binned_postings(df, 4, keep=["total_expr"]))
+    assert sorted(index.collect()) == want
+    # Stretches are moved, k-mers are not.
+    assert "Exchange hashpartitioning" not in index._jdf.queryExecution().executedPlan().toString().split("Generate explode")[0]
