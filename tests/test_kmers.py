@@ -189,3 +189,27 @@ def test_binned_index_equals_index(spark):
     assert sorted(index.collect()) == want
     # Stretches are moved, k-mers are not.
     assert "Exchange hashpartitioning" not in index._jdf.queryExecution().executedPlan().toString().split("Generate explode")[0]
+
+
+def test_leading_rows_hold_both_lists(spark):
+    rng = random.Random(9)
+    rows = [
+        (f"w{i:04d}", rng.randint(1, 4), rng.choice([None, float("nan"), float("inf"), -1.0, 0.0, 2.0, 3.0]),
+         rng.choice([None, 1, 2, 3]), rng.randint(0, 3)) for i in range(3000)
+    ]
+    names = "primer string, coverage bigint, total_expr double, first_row bigint, first_pos bigint"
+    index = spark.createDataFrame(rows, names).repartition(3)
+    trimmed = primers.leading(index, 8)
+    assert trimmed.count() <= 3 * 16
+    for order in (primers.coverage_order(), primers.expression_order()):
+        want = [r["primer"] for r in index.orderBy(*order).limit(8).collect()]
+        assert [r["primer"] for r in trimmed.orderBy(*order).limit(8).collect()] == want
+
+
+def test_selected_primers_make_the_index_once(spark):
+    """Before, both lists went back to the k-mers."""
+    df = spark.range(30).select(F.col("id").alias("row_id"), F.lit(1.0).alias("total_expr"), F.lit("ACGTTGCAGT" * 3).alias("seq"))
+    found = primers.select_primers(kmers.kmer_index(kmers.binned_postings(df, 5, keep=["total_expr"])), 4)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 4
