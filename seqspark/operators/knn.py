@@ -1,19 +1,22 @@
 """Exact k-nearest-neighbour graph without comparing everything with everything.
 
-Rows are assigned to the cells of a few pivots. The distances of rows to their pivot give every row an
-upper bound on the distance of its k-th neighbour, and the triangle inequality then rules out whole cells.
-What is left is compared in blocks of bounded size. The pruning never loses a neighbour.
+Rows are put in the order of the cells of a few pivots and cut into blocks. A row's neighbours in its own block
+give an upper bound on the distance of its k-th neighbour, and the triangle inequality then rules out whole blocks.
+The others are compared block by block, where they lie. The pruning never loses a neighbour.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqspark.session import settle
+from seqspark.session import settle, ship_package, width
 
 # Neighbours asked for in the graph.
 MAX_NEIGHBOURS = 30
@@ -25,6 +28,14 @@ BLOCK = 2048
 PIVOT_ROWS = 1024
 MAX_PIVOTS = 1024
 
+# Vectors of a partition of blocks: fewer are not worth a task, more are not held by one.
+MIN_PART = 256
+MAX_PART = 16_384
+
+# Vectors asked for at a time inside a block, and pairs measured at a time.
+_ASKED = 256
+_MEASURED = 1 << 16
+
 
 def neighbour_count(rows: int) -> int:
     """30, but fewer for a small table, and never below 2."""
@@ -55,6 +66,160 @@ def distinct_vectors(df: DataFrame, keep: int, row_id: str, vector: str) -> Data
     )
 
 
+def nearest(
+    points: np.ndarray, ids: np.ndarray, asked: np.ndarray, limits: np.ndarray, keep: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Among the ``points`` within ``limits`` of the ``asked``, the ``keep`` closest and others: row of the asked one,
+    id and distance. Where there is no limit yet, the points themselves give one.
+
+    Products leave out what is certainly farther, by more than their rounding; the rest is measured by differences.
+    """
+    square, own = (points**2).sum(axis=1), (asked**2).sum(axis=1)
+    # Squared distances less the asked vector's own square, by one product.
+    about = np.c_[asked, np.ones(len(asked))] @ np.c_[-2 * points, square].T
+    # An upper estimate of what products of this length may lose, and the rounding of a limit.
+    slack = 1e-15 * (points.shape[1] + 8) * (own + square.max(initial=0.0))
+    most = limits**2 * (1 + 1e-12) + slack - own
+    free = np.flatnonzero(np.isinf(limits))
+    if len(free) and len(ids) > keep:
+        most[free] = np.partition(about[free], keep - 1, axis=1)[:, keep - 1] + 2 * slack[free]
+    row, at = np.divmod(np.flatnonzero(about <= most[:, None]), max(1, len(ids)))
+    distance = np.empty(len(row))
+    for s in range(0, len(row), _MEASURED):
+        e = s + _MEASURED
+        distance[s:e] = np.sqrt(((points[at[s:e]] - asked[row[s:e]]) ** 2).sum(axis=1))
+    return row, ids[at], distance
+
+
+def closest_of(
+    row: np.ndarray, ids: np.ndarray, distance: np.ndarray, keep: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first ``keep`` of every row by distance, then id."""
+    order = np.lexsort((ids, distance, row))
+    row, ids, distance = row[order], ids[order], distance[order]
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, dtype=np.int64)
+    place = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)]))
+    kept = place < keep
+    return row[kept], ids[kept], distance[kept]
+
+
+class _Asking:
+    """Vectors of a block and the ``keep`` closest ones they have met so far."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, limits: np.ndarray, keep: int):
+        self.ids, self.points, self.limits, self.keep = ids, points, limits, keep
+        self.found = np.zeros(0, dtype=np.int64), ids[:0], np.zeros(0)
+
+    def meet(self, ids: np.ndarray, points: np.ndarray, centre: np.ndarray, radius: float) -> None:
+        # A little slack keeps rounding from ruling out a block that touches the limit.
+        near = np.flatnonzero(_distances(centre, self.points) - radius <= self.limits * (1 + 1e-9) + 1e-9 * radius)
+        new: list[tuple] = []
+        for s in range(0, len(near), _ASKED):
+            part = near[s : s + _ASKED]
+            row, other, distance = nearest(points, ids, self.points[part], self.limits[part], self.keep)
+            new.append(closest_of(part[row], other, distance, self.keep))
+        if new:
+            self.found = closest_of(*[np.concatenate(c) for c in zip(self.found, *new, strict=True)], self.keep)
+            full = np.bincount(self.found[0], minlength=len(self.ids)) == self.keep
+            last = np.r_[self.found[0][1:] != self.found[0][:-1], True]
+            farthest = np.full(len(self.ids), np.inf)
+            farthest[self.found[0][last]] = self.found[2][last]
+            self.limits = np.where(full, np.minimum(self.limits, farthest), self.limits)
+
+
+_BLOCKS = "block bigint, ids binary, vectors binary, limits binary, centre array<double>, radius double, reach double"
+
+
+def _block_rows(block: int, keep: int):
+    """Blocks of consecutive vectors: their centre, radius, and how far each one's neighbours are at most."""
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, points = frame["gid"].to_numpy(), matrix(frame["vector"])
+        centre = points.mean(axis=0)
+        if len(ids) < keep:
+            limits = np.full(len(ids), np.inf)
+        else:
+            asking = _Asking(ids, points, np.full(len(ids), np.inf), keep)
+            asking.meet(ids, points, centre, np.inf)
+            limits = asking.limits
+        return pd.DataFrame({
+            "block": [int(ids.min())], "ids": [ids.tobytes()], "vectors": [points.tobytes()], "limits": [limits.tobytes()],
+            "centre": [centre.tolist()], "radius": [float(_distances(centre, points).max())], "reach": [float(limits.max())],
+        })
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for frame in frames:
+            held.append(frame)
+            rows += len(frame)
+            if rows >= block:
+                whole = pd.concat(held, ignore_index=True)
+                for at in range(0, rows - rows % block, block):
+                    yield one(whole[at : at + block])
+                held, rows = [whole[rows - rows % block :]], rows % block
+        if rows:
+            yield one(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def _meeting(keep: int):
+    """All asking blocks of a task against what is offered to them; their closest vectors once at its end."""
+
+    def numbers(column: pa.Array, i: int, kind: str) -> np.ndarray:
+        return np.frombuffer(column[i].as_buffer(), dtype=kind)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asking: dict[int, _Asking] = {}
+        for batch in batches:
+            get = batch.column
+            for i in range(batch.num_rows):
+                own, other = numbers(get("ids"), i, "<i8"), numbers(get("at_ids"), i, "<i8")
+                name = get("block")[i].as_py()
+                if name not in asking:
+                    # Copies, as a batch's memory goes back with it.
+                    points = numbers(get("vectors"), i, "<f8").reshape(len(own), -1).copy()
+                    asking[name] = _Asking(own.copy(), points, numbers(get("limits"), i, "<f8").copy(), keep)
+                centre = np.array(get("at_centre")[i].as_py())
+                points = numbers(get("at_vectors"), i, "<f8").reshape(len(other), -1)
+                asking[name].meet(other, points, centre, get("at_radius")[i].as_py())
+        for one in asking.values():
+            row, other, distance = one.found
+            yield pa.RecordBatch.from_arrays([pa.array(one.ids[row]), pa.array(other), pa.array(distance)], ["gid", "other", "distance"])
+
+    return run
+
+
+def closest_vectors(located: DataFrame, keep: int, block: int, rows: int) -> DataFrame:
+    """``gid, other, distance``: the ``keep`` closest vectors of every one of ``(gid, vector, cell, reach)``, itself included.
+
+    Vectors are moved once, to be put into blocks in the order of their cells. Blocks then meet by a product of
+    partitions, which reads the blocks again and shuffles nothing; all that one partition meets is read by one
+    task, so only the closest vectors leave it. Pairs of blocks that cannot hold a neighbour are not made.
+    """
+    spark = located.sparkSession
+    ship_package(spark)
+    parts = max(1, min(width(spark), -(-rows // MIN_PART)), -(-rows // MAX_PART))
+    ordered = located.select("cell", "reach", "gid", "vector").repartitionByRange(parts, "cell", "reach", "gid")
+    blocks = settle(
+        ordered.sortWithinPartitions("cell", "reach", "gid").select("gid", "vector").mapInPandas(_block_rows(block, keep), _BLOCKS)
+    )
+    offered = blocks.select(*[F.col(c).alias(f"at_{c}") for c in ("ids", "vectors", "centre", "radius")])
+    apart = F.sqrt(F.aggregate(
+        F.zip_with("centre", "at_centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x
+    ))
+    spread = F.col("radius") + F.col("at_radius")
+    touching = apart * (1 - 1e-9) - spread * (1 + 1e-9) <= F.col("reach") * (1 + 1e-9) + 1e-12
+    asking = blocks.select("block", "ids", "vectors", "limits", "centre", "radius", "reach")
+    pairs = asking.hint("shuffle_replicate_nl").join(offered, touching).select(
+        "block", "ids", "vectors", "limits", "at_ids", "at_vectors", "at_centre", "at_radius"
+    )
+    # The parts of a product stand in the order of the asking side: each task gets all parts of one or a few.
+    found = pairs.coalesce(parts).mapInArrow(_meeting(keep), "gid bigint, other bigint, distance double")
+    place = F.row_number().over(Window.partitionBy("gid").orderBy("distance", "other"))
+    return found.withColumn("_n", place).where(F.col("_n") <= keep).drop("_n")
+
+
 def knn(
     df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", pivots: int | None = None, block: int = BLOCK
 ) -> DataFrame:
@@ -63,8 +228,9 @@ def knn(
     keep = k + 1
     groups = settle(distinct_vectors(df, keep, row_id, vector))
 
+    rows = groups.count()
     if pivots is None:
-        pivots = max(1, min(MAX_PIVOTS, groups.count() // PIVOT_ROWS))
+        pivots = max(1, min(MAX_PIVOTS, rows // PIVOT_ROWS))
     # A sample of bounded size goes to the driver, chosen by hash so that it is reproducible.
     drawn = groups.orderBy(F.xxhash64("gid"), "gid").limit(pivots).select("vector").collect()
     if not drawn:
@@ -73,78 +239,14 @@ def knn(
 
     @F.pandas_udf("cell int, reach double")
     def nearest_pivot(vectors: pd.Series) -> pd.DataFrame:
-        cell, reach = [], []
-        for v in matrix(vectors):
-            d = _distances(v, centres)
-            i = int(d.argmin())
-            cell.append(i)
-            reach.append(d[i])
-        return pd.DataFrame({"cell": pd.Series(cell, dtype="int32"), "reach": reach})
-
-    located = settle(groups.withColumn("_p", nearest_pivot("vector")).select("gid", "members", "vector", "_p.*"))
-
-    # Per cell: size, radius, and the distances of the few rows nearest to the pivot. Its size is
-    # bounded by pivots * (k + 1) numbers.
-    near = F.row_number().over(Window.partitionBy("cell").orderBy("reach", "gid"))
-    inner = located.withColumn("_n", near).where(F.col("_n") <= keep).groupBy("cell").agg(
-        F.collect_list("reach").alias("near")
-    )
-    cells = located.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("reach").alias("radius"))
-    summary = {r["cell"]: r for r in cells.join(inner, "cell").collect()}
-    order = sorted(summary)
-    radius = np.array([summary[c]["radius"] for c in order])
-    used = centres[order]
-    blocks = {c: -(-summary[c]["size"] // block) for c in order}
-    near_reach = np.concatenate([np.asarray(summary[c]["near"]) for c in order])
-    near_cell = np.concatenate([np.full(len(summary[c]["near"]), i) for i, c in enumerate(order)])
-    codes = np.array(order)
-
-    @F.pandas_udf("array<int>")
-    def candidate_cells(vectors: pd.Series) -> pd.Series:
-        out = []
-        for v in matrix(vectors):
-            d = _distances(v, used)
-            bounds = d[near_cell] + near_reach
-            limit = np.partition(bounds, keep - 1)[keep - 1] if len(bounds) >= keep else np.inf
-            # A little slack keeps rounding from ruling out a cell that touches the limit.
-            out.append(codes[d - radius <= limit * (1 + 1e-9) + 1e-12].tolist())
-        return pd.Series(out)
-
-    count = F.create_map(*[F.lit(x) for c in order for x in (c, blocks[c])])
-    part = F.pmod(F.xxhash64("gid"), count[F.col("cell")]).cast("int")
-    stored = located.select("gid", "vector", "cell", part.alias("part"))
-    routed = (
-        stored.withColumn("to_cell", F.explode(candidate_cells("vector")))
-        .withColumn("to_part", F.explode(F.sequence(F.lit(0), count[F.col("to_cell")].cast("int") - 1)))
-        .withColumnsRenamed({"cell": "from_cell", "part": "from_part"})
-    )
-    meeting = ["from_cell", "from_part", "to_cell", "to_part"]
-    wanted = routed.select(*meeting).distinct()
-    offered = stored.withColumnsRenamed({"cell": "to_cell", "part": "to_part"}).join(wanted, ["to_cell", "to_part"])
-    offered = offered.select(*[F.col(c).alias(f"at_{c}") for c in ("gid", "vector", *meeting)])
-
-    def compare(_key: tuple, asking: pd.DataFrame, offering: pd.DataFrame) -> pd.DataFrame:
-        if asking.empty or offering.empty:
-            return pd.DataFrame({"gid": [], "other": [], "distance": []})
-        ids, points = offering["at_gid"].to_numpy(), matrix(offering["at_vector"])
-        others, reach = [], []
-        for v in matrix(asking["vector"]):
-            d = _distances(v, points)
-            best = np.lexsort((ids, d))[:keep]
-            others.append(ids[best])
-            reach.append(d[best])
-        own = np.repeat(asking["gid"].to_numpy(), min(keep, len(ids)))
-        return pd.DataFrame({"gid": own, "other": np.concatenate(others), "distance": np.concatenate(reach)})
-
-    best = (
-        routed.select("gid", "vector", *meeting)
-        .groupBy(*meeting)
-        .cogroup(offered.groupBy(*[f"at_{c}" for c in meeting]))
-        .applyInPandas(compare, "gid bigint, other bigint, distance double")
-    )
-    place = F.row_number().over(Window.partitionBy("gid").orderBy("distance", "other"))
-    closest = best.withColumn("_n", place).where(F.col("_n") <= keep)
-    return rows_of_groups(df, located, closest, k, row_id, vector)
+        points, square = matrix(vectors), (centres**2).sum(axis=1)
+        cell = np.concatenate([
+            (square - 2 * (points[s : s + _ASKED] @ centres.T)).argmin(axis=1) for s in range(0, len(points), _ASKED)
+        ])
+        return pd.DataFrame({"cell": cell.astype("int32"), "reach": _distances(points, centres[cell])})
+
+    located = groups.select("gid", "vector", nearest_pivot("vector").alias("_p")).select("gid", "vector", "_p.*")
+    return rows_of_groups(df, groups, settle(closest_vectors(located, keep, block, rows)), k, row_id, vector)
 
 
 def rows_of_groups(

@@ -5,7 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from seqspark.operators import cluster, plane
-from seqspark.operators.knn import knn, neighbour_count
+from seqspark.operators.knn import closest_vectors, knn, neighbour_count
 from seqspark.operators.knn_lsh import graph_recall, knn_lsh
 
 
@@ -39,6 +39,29 @@ def test_knn_equals_naive(spark, n, copies, dims, pivots, block):
         assert [x for _, x in got[i]] == pytest.approx([x for _, x in want[i]])
 
 
+def test_knn_moves_each_vector_once(spark):
+    points = _points(900, 0, 5, 24)
+    rows = [(i, list(map(float, p)), 0, 0.0) for i, p in enumerate(points)]
+    located = spark.createDataFrame(rows, "gid bigint, vector array<double>, cell int, reach double")
+    found = closest_vectors(located, 6, 64, 900)
+    # Blocks meet in a product, which shuffles nothing; only the closest vectors are moved.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "CoGroup" not in plan and plan.count("Exchange hashpartitioning") == 1
+    got = found.orderBy("gid", "distance", "other").toPandas()
+    d = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(-1))
+    want = [j for i in range(900) for j in np.lexsort((np.arange(900), d[i]))[:6]]
+    assert got["other"].tolist() == want
+
+
+def test_knn_far_from_the_origin(spark):
+    """Products of such coordinates hold no digit of the differences between them."""
+    points = _points(300, 20, 6, 5) + 1e8
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(300), "vector": [list(map(float, p)) for p in points]}))
+    got = knn(df, 4, block=32).orderBy("id", "rank").toPandas()
+    naive = _naive_knn(points, 4)
+    assert got["neighbour"].tolist() == [j for i in range(300) for j, _ in naive[i]]
+
+
 def test_knn_of_nothing(spark):
     assert knn(spark.createDataFrame([], "row_id bigint, vector array<double>"), 3).count() == 0
     assert (neighbour_count(2), neighbour_count(12), neighbour_count(500)) == (2, 11, 30)
