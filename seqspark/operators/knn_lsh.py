@@ -139,6 +139,18 @@ def _round_pairs(groups: DataFrame, first: int, rounds: int, levels: int, deviat
     return blocks.groupBy("round", "_block").applyInPandas(compare, _PAIRS)
 
 
+def _rounds_left(before: float, reached: float, recall: float, rounds: int) -> float:
+    """Rounds still needed if each ``rounds`` find the share of the missing that the last ones found.
+
+    What is easy to find is found first, so it is hardly ever less.
+    """
+    if reached >= recall:
+        return 0.0
+    if reached <= before or recall >= 1.0:
+        return math.inf if reached <= before else 0.0
+    return rounds * math.log((1 - recall) / (1 - reached)) / math.log((1 - reached) / (1 - before))
+
+
 def knn_lsh(
     df: DataFrame, k: int, row_id: str = "row_id", vector: str = "vector", recall: float = RECALL, block: int = BLOCK,
     probes: int = PROBES, max_rounds: int = MAX_ROUNDS, seed: int = 17,
@@ -146,7 +158,8 @@ def knn_lsh(
     """The graph of `knn` with at least the share ``recall`` of the true neighbours of the probes.
 
     Every row is indexed and gets ``k`` neighbours wherever there are so many; distances are exact. Copies are
-    joined first, as in `knn`. If the rounds allowed do not reach the recall, the graph is the exact one.
+    joined first, as in `knn`. If the rounds allowed do not reach the recall, the graph is the exact one; it is made
+    as soon as the gain of the last rounds shows that they will not.
     Vectors are arrays of one length without nulls.
     """
     keep = k + 1
@@ -159,14 +172,15 @@ def knn_lsh(
     truth = settle(_probe_truth(groups, keep, probes).where("gid <> other").select("gid", "other"))
     # A bucket of all its levels holds about a block.
     levels = max(0, math.ceil(math.log2(count / block)))
-    best, done, reached = None, 0, 0.0
-    while reached < recall and done < max_rounds:
+    best, done, reached, hopeless = None, 0, 0.0, False
+    while reached < recall and done < max_rounds and not hopeless:
         # A single block is compared whole, so one round is all there is to do.
         rounds = 1 if count <= block else min(ROUNDS_AT_ONCE, max_rounds - done)
         pairs = _round_pairs(groups, done, rounds, levels, deviation or 1.0, keep, block, seed)
         best = settle(_best(pairs if best is None else best.unionByName(pairs), keep))
-        done += rounds
+        before, done = reached, done + rounds
         reached = _least_recall(best, truth)
+        hopeless = done > rounds and _rounds_left(before, reached, recall, rounds) > max_rounds - done
     if best is None or reached < recall:
         return Graph(knn(df, k, row_id, vector), 1.0, done, True)
     return Graph(rows_of_groups(df, groups, best, k, row_id, vector), reached, done, count <= block)

@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from seqspark.operators import cluster, plane
+from seqspark.operators import knn_lsh as hashing
 from seqspark.operators.knn import closest_vectors, knn, neighbour_count
 from seqspark.operators.knn_lsh import graph_recall, knn_lsh
 
@@ -62,6 +63,14 @@ def test_knn_far_from_the_origin(spark):
     assert got["neighbour"].tolist() == [j for i in range(300) for j, _ in naive[i]]
 
 
+def test_knn_lsh_gives_up_when_rounds_will_not_do(spark):
+    points = np.random.default_rng(8).normal(0, 1, (1500, 48))
+    df = spark.createDataFrame(pd.DataFrame({"row_id": range(1500), "vector": [list(map(float, p)) for p in points]}))
+    graph = knn_lsh(df, 6, block=16, max_rounds=64)
+    assert graph.exact and graph.rounds < 32
+    assert hashing._rounds_left(0.5, 0.75, 0.9, 4) == pytest.approx(4 * np.log(0.4) / np.log(0.5))
+
+
 def test_knn_of_nothing(spark):
     assert knn(spark.createDataFrame([], "row_id bigint, vector array<double>"), 3).count() == 0
     assert (neighbour_count(2), neighbour_count(12), neighbour_count(500)) == (2, 11, 30)
