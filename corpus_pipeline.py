@@ -14,6 +14,10 @@ from seqspark.llm.queries import MIXING_SEED, TARGET_WEIGHTS
 from seqspark.llm.registry import query
 
 
+# Parts of texts whose ids a packing worker keeps: the stages before have left the executors little memory.
+KEPT_PARTS = 100_000
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go."""
     return language.drop_unknown_language(docs)
@@ -36,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of 1024 tokens."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, kept=KEPT_PARTS)
 
 
 STAGES = [

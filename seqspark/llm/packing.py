@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqspark.llm.common import per_batch, settle, text_or_empty
+from seqspark.llm.common import BATCH_CHARS, arrow_batches, let_go, per_batch, settle, text_or_empty
 from seqspark.llm.token_files import END_ID
-from seqspark.llm.tokens import DEFAULT_VOCABULARY, encoder
+from seqspark.llm.tokens import DEFAULT_VOCABULARY, MAX_KEPT, encoder
 
 CAPACITY = 1024
 
@@ -155,13 +155,13 @@ def elite_patterns(bins: list[list[int]], sizes: list[int], capacity: int, most:
 # --- on Spark --------------------------------------------------------------------------------------
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, kept: int = MAX_KEPT) -> DataFrame:
     """Pieces of at most ``capacity`` ids, the first of a longer document holding what is left over."""
     end = struct.pack("<I", end_id)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        encoded = encoder(vocabulary).encode(batch.column("text").to_pylist())
+        encoded = encoder(vocabulary, kept).encode(batch.column("text").to_pylist())
         for name, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
             data = ids + end
             n = len(data) // 4
@@ -175,7 +175,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) ->
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(per_batch(cut), _PIECES)
+    # Fewer parts are kept where less memory is left, so less text is taken up at a time, too.
+    return rows.mapInArrow(per_batch(cut, chars=BATCH_CHARS * kept // MAX_KEPT), _PIECES)
 
 
 def _bins_of(frame: pd.DataFrame) -> list[list[int]]:
@@ -216,6 +217,7 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
     )
 
     def first_run(frame: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         frame = frame.sort_values("item", ignore_index=True)
         here = int(frame["island"].iloc[0])
         return _placed(frame, evolve(frame["length"].tolist(), capacity, seed * 7919 + here), here)
@@ -260,17 +262,19 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, island: int = ISLAND,
 
 def pack_documents(
     docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, end_id: int = END_ID, capacity: int = CAPACITY,
-    island: int = ISLAND, seed: int = 0,
+    island: int = ISLAND, seed: int = 0, kept: int = MAX_KEPT,
 ) -> DataFrame:
     """Pack whole documents into sequences of at most ``capacity`` ids.
 
     Returns per piece ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``. Only documents longer
     than ``capacity`` are cut. Full pieces are sequences of their own. Null texts are empty and take one id;
     null ids and repeated rows are packed like any other row, a repeated row once per occurrence. An empty
-    table gives no rows.
+    table gives no rows. ``kept`` bounds the parts of texts whose ids a worker holds, and changes no result.
     """
     # Settled: the item numbers below have to stay the same wherever the pieces are read again.
-    pieces = settle(cut_pieces(docs, vocabulary, end_id, capacity)).withColumn("item", F.monotonically_increasing_id())
+    with arrow_batches(docs.sparkSession, 2 * BATCH_CHARS * kept // MAX_KEPT):
+        pieces = settle(cut_pieces(docs, vocabulary, end_id, capacity, kept))
+    pieces = pieces.withColumn("item", F.monotonically_increasing_id())
     part = pieces.where(F.col("length") < capacity)
     packed = pack_items(part.select("item", "length"), capacity, island, seed)
     full = pieces.where(F.col("length") >= capacity).select(

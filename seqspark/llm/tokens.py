@@ -55,10 +55,11 @@ class Encoder:
     by the pattern itself, and texts that hold an added token go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = MAX_KEPT):
         import public_tokenizers
         import regex
 
+        self._kept = kept
         self._whole = Tokenizer.from_file(path)
         with open(path) as file:
             spec = json.load(file)
@@ -182,7 +183,7 @@ class Encoder:
             return self._by_library(text)
         pieces = self._pattern.findall(text)
         new = list(set(pieces).difference(self._pieces))
-        if len(self._pieces) + len(new) > MAX_KEPT:
+        if len(self._pieces) + len(new) > self._kept:
             self._pieces, new = {}, list(set(pieces))
         if new:
             self._pieces.update(zip(new, self._encode_pieces(new), strict=True))
@@ -195,7 +196,7 @@ class Encoder:
         if not self._cut:
             found = [e.ids for e in self._whole.encode_batch_fast(texts, add_special_tokens=False)]
             return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
-        if len(self._row) > MAX_KEPT:
+        if len(self._row) > self._kept:
             self._forget()
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         cuts = split.offsets.to_numpy().astype(np.int64)
@@ -219,6 +220,6 @@ class Encoder:
         return out
 
 
-def encoder(name: str = DEFAULT_VOCABULARY) -> Encoder:
+def encoder(name: str = DEFAULT_VOCABULARY, kept: int = MAX_KEPT) -> Encoder:
     """The encoder of this worker process, kept between tasks until another operator needs the room."""
-    return worker_cache(("encoder", name), lambda: Encoder(vocabulary_path(name)))
+    return worker_cache(("encoder", name, kept), lambda: Encoder(vocabulary_path(name), kept))

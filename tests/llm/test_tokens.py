@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from seqspark.llm import packing, token_files
-from seqspark.llm.tokens import encoder, vocabulary_path
+from seqspark.llm.tokens import Encoder, encoder, vocabulary_path
 
 PARTS = ["a", "é", "word", "Don't", "'s", " ", "  ", "\n", " \n", "\t", "12", "²", "!", "...", "\u00a0", "\u3000", "<|endoftext|>", "日本", "\x1c",
          "\x85", "😀", "_", "\r\n", "I'LL", " 's", "\0"]
@@ -39,6 +39,15 @@ def test_words_and_signs_equal_library():
     assert encoder().encode([]) == []
 
 
+def test_encoder_keeps_what_it_is_told():
+    small = Encoder(vocabulary_path(), kept=50)
+    for at in range(0, 2000, 40):
+        texts = [f"word{i} and {i}" for i in range(at, at + 40)]
+        assert [struct.pack(f"<{len(plain(t))}I", *plain(t)) for t in texts] == small.encode(texts)
+        # At most what it keeps and what one batch adds: 40 words, 40 numbers, 40 first parts, two more words.
+        assert len(small._row) <= 50 + 130
+
+
 def test_added_tokens_equal_a_fresh_tokenizer():
     fresh = Tokenizer.from_file(vocabulary_path())
     rnd = random.Random(2)
