@@ -55,7 +55,8 @@ class _Table:
     def __init__(self, room: int):
         self.counts = np.zeros((STRETCH, room), dtype=np.int64)
         self.first = np.full((STRETCH, room), _NEVER, dtype=np.int64)
-        self.rows = self.width = 0
+        # Rows that count in ``rows`` only do so in stretch 0; ``seen`` counts all that were added.
+        self.rows = self.width = self.seen = 0
 
     @property
     def bytes(self) -> int:
@@ -127,6 +128,7 @@ def _count(by: list[str], schema: pa.Schema, gaps: bool):
                     codes = np.frombuffer(text[start : start + STRETCH].encode("utf-32-le"), dtype="<u4")
                     into = table(key, start // STRETCH)
                     into.width = max(into.width, len(codes))
+                    into.seen += 1
                     columns = np.arange(len(codes)) if gaps else np.flatnonzero(codes != ord(GAP))
                     places = alphabet.places(codes[columns])
                     used -= into.bytes
@@ -134,9 +136,11 @@ def _count(by: list[str], schema: pa.Schema, gaps: bool):
                     used += into.bytes
                     into.add(columns, places, 1, ident)
                 if used > HELD_BYTES:
-                    for (k, s), t in held.items():
-                        yield _emit(schema, [_written(k, s, t, alphabet)])
-                    held, used = {}, 0
+                    # Those that few rows have reached go: what many rows share is added up here for longer.
+                    for at in sorted(held, key=lambda at: held[at].seen)[: max(1, len(held) // 2)]:
+                        gone = held.pop(at)
+                        used -= gone.bytes
+                        yield _emit(schema, [_written(*at, gone, alphabet)])
         for (k, s), t in held.items():
             yield _emit(schema, [_written(k, s, t, alphabet)])
 

@@ -1,12 +1,15 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from seqspark.operators import align
+from seqspark.operators import align, columns
 from seqspark.session import settle
 
 ROW = st.text(alphabet="ACgt-", max_size=12)
@@ -155,3 +158,23 @@ def test_families_align_on_themselves(spark, data):
     ).withColumn("cluster", F.when(F.col("row_id") < 8, 0).otherwise(1))
     got = align.anchor_align(df, 12).collect()
     assert len(got) == 15 and {r["offset"] for r in got} == {0}
+
+
+def test_common_columns_stay_in_one_table(monkeypatch):
+    """Few long rows among many short ones make a task hand on their own far columns, not those all rows share."""
+    monkeypatch.setattr(columns, "HELD_BYTES", 2_000_000)
+    fields = [T.StructField("grp", T.StringType()), *[T.StructField(n, t) for n, t in columns._TABLE]]
+    schema = to_arrow_schema(T.StructType(fields))
+    texts = ["ACGT" * 50 if i % 10 else "ACGT" * 5000 for i in range(200)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["x"] * 200), pa.array(range(200), pa.int64()), pa.array(texts)], ["grp", "_id", "_text"]
+    )
+    tables = [t for t in columns._count(["grp"], schema, True)([batch])]
+    rows, near = [], []
+    for t in tables:
+        if t.column("stretch")[0].as_py() == 0:
+            rows.append(t.column("rows")[0].as_py())
+            near += t.column("counts")[0].as_py()
+    assert len(rows) <= 2 and sum(rows) == 200
+    assert sum(near) == sum(min(len(t), columns.STRETCH) for t in texts)
+    assert sum(sum(t.column("counts")[0].as_py()) for t in tables) == sum(map(len, texts))
