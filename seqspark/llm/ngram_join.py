@@ -36,11 +36,15 @@ DEPTH = 2
 # Agreement a pair needs to be kept for the exact test; over four deviations below the threshold.
 NEAR = 0.65
 
-# Sets a bucket is brute-forced up to, depth at which larger ones are cut into blocks, and rows of a block.
+# Sets a bucket is brute-forced up to, depth at which all larger ones are cut into blocks, and rows of a block.
 BUCKET = 256
 MAX_DEPTH = 5
 BLOCK = 1_024
 
+# Sets of other labels a set of a large bucket is compared with, on average, before longer paths split the bucket:
+# near copies share them as well and are not split, however deep.
+OTHERS = 1_024
+
 # Part of the pairs that may be missed at DEPTH; the rest is shared by the depths of split buckets.
 FIRST_SHARE = 0.7
 
@@ -304,20 +308,28 @@ def candidate_links(classes: DataFrame, threshold: float, recall: float, near: f
         links = new if links is None else links.unionByName(new)
         if large.isEmpty():
             return links
-        # A large bucket that is connected by now needs no more; any other is split by longer paths.
+        # A large bucket that is connected by now needs no more. One whose sets have few others of another label is
+        # compared in blocks, which is linear; any other is split by longer paths.
         nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
         labels = connected_components(nodes, links)
         named = large.join(labels, large["cid"] == labels["node"], "left").select(
             "path", "cid", F.coalesce("component", "cid").alias("label")
         )
         named = stored(named, "labelled")
-        mixed = named.groupBy("path").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("path")
-        open_ = stored(named.join(mixed, "path", "left_semi"), "open")
-        if open_.isEmpty():
-            return links
-        if depth == MAX_DEPTH:
+        by_label = named.groupBy("path", "label").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        mixed = by_label.groupBy("path").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_n")).alias("_same")).where(
+            "_n * _n > _same"
+        )
+        pairs = (F.col("_n") * F.col("_n") - F.col("_same")) / 2
+        ends = F.lit(True) if depth == MAX_DEPTH else pairs <= OTHERS * F.col("_n")
+        open_ = stored(named.join(mixed.select("path", ends.alias("ends")), "path"), "open")
+        some = {row["ends"] for row in open_.select("ends").distinct().collect()}
+        if True in some:
             # Written, as the links are read more than once.
-            return links.unionByName(stored(_blocks(open_, sketches, near).distinct(), "links"))
+            links = links.unionByName(stored(_blocks(open_.where("ends").drop("ends"), sketches, near).distinct(), "links"))
+        if False not in some:
+            return links
+        open_ = open_.where("NOT ends")
         paths = open_.select("path", "cid").join(sketches, "cid").select("path", "cid", "sketch").mapInArrow(
             _longer_paths, "path bigint, cid bigint"
         )

@@ -172,6 +172,25 @@ def test_hot_buckets_draw_more_runs(docs_of, monkeypatch):
     check_join(ngram_join.ngram_join(docs_of(rows)).collect(), rows)
 
 
+@pytest.mark.parametrize("others", [0, 64])
+def test_near_copies_are_not_split(docs_of, monkeypatch, others):
+    """A large bucket of near copies with a few other texts in it is compared at once; split ones give the same links."""
+    rng = np.random.default_rng(11)
+    words, rows = [f"w{i}" for i in range(100)], []
+    for n in range(60):
+        changed = list(words)
+        for at in rng.integers(0, 100, rng.integers(0, 3) if n % 6 else 9):
+            changed[at] = f"new{rng.integers(10**6)}"
+        rows.append((n, " ".join(changed)))
+    written = []
+    stored = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: (written.append(name), stored(df, name))[1])
+    monkeypatch.setattr(ngram_join, "BUCKET", 4)
+    monkeypatch.setattr(ngram_join, "OTHERS", others, raising=False)
+    check_join(ngram_join.ngram_join(docs_of(rows)).collect(), rows)
+    assert "blocked" in written and (written.count("paths") == 1) == (others > 0)
+
+
 # --- repeats ---
 
 
