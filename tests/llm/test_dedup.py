@@ -244,3 +244,17 @@ def test_repeats_odd_rows(docs_of):
     found = repeats.remove_repeats(docs).collect()
     assert sorted((str(r[0]), *r[1:]) for r in found) == brute_repeats(rows, 400)
     assert repeats.remove_repeats(docs_of([])).count() == 0
+
+
+def test_repeats_of_one_passage(docs_of, monkeypatch):
+    """A passage of many documents: equal surroundings are told by one row, and marks that touch are one."""
+    rng = np.random.default_rng(4)
+    passage = "".join(rng.choice(list("abcdefgh"), 300))
+    rows = [(n, "".join(rng.choice(list("ijklmnop"), 100)) + passage + "".join(rng.choice(list("qrstuvwx"), 100))) for n in range(40)]
+    rows += [(n, passage + "".join(rng.choice(list("qrstuvwx"), 50 + n))) for n in range(40, 60)]
+    written, stored = {}, repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda df, name: written.setdefault(name, stored(df, name)) if name != "found-elsewhere" else stored(df, name))
+    found = repeats.remove_repeats(docs_of(rows), length=80, gram=16, group=2).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in found) == brute_repeats(rows, 80)
+    assert {len(r.marks) for r in written["marks"].collect()} == {1}
+    assert written["cells"].count() < 2 * written["context-texts"].count()
